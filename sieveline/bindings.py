@@ -6,6 +6,7 @@ column expressions, so a detection over it grows with those files.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,23 @@ PARAMS: dict[str, dict] = {
 }
 
 
+# Telemetry table -> attribute of ``Telemetry`` that derives it.
+ROLES = {
+    "llm_requests": "requests",
+    "enrichment_ip": "enrichment",
+    "devices": "devices",
+    "moderation_events": "moderation",
+    "rate_limit_events": "rate_limits",
+    "identity_events": "identity",
+    "dns_events": "dns",
+    "k8s_audit_logs": "audit",
+    "resource_metrics": "metrics",
+    "network_flows": "flows",
+}
+# DNS detections that do not read ``parent_domain`` skip the edge build.
+WITHOUT_EDGES = ("q20_top_suspicious_domains", "q22_exposed_accounts", "q23_heuristic_breakdown", "q24_dns_rollup")
+
+
 def _choose(key: Column, *labels: str) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (F.pmod(key, F.lit(len(labels))) + 1).cast("int"))
 
@@ -246,18 +264,25 @@ class Telemetry:
             F.col("props").alias("details_json"),
         )
 
-    @cached_property
-    def sources(self) -> dict[str, DataFrame]:
-        """Telemetry tables under the names the packs read."""
-        return {
-            "llm_requests": self.requests,
-            "enrichment_ip": self.enrichment,
-            "devices": self.devices,
-            "moderation_events": self.moderation,
-            "rate_limit_events": self.rate_limits,
-            "identity_events": self.identity,
-            "dns_events": self.dns,
-            "k8s_audit_logs": self.audit,
-            "resource_metrics": self.metrics,
-            "network_flows": self.flows,
-        }
+    def lazy_sources(self, detection: str = "") -> Mapping[str, DataFrame]:
+        """Telemetry tables under the names the packs read, built on first use."""
+        roles = dict(ROLES)
+        if detection == "q10_cluster_keys":
+            roles["llm_requests"] = "coarse_requests"
+        if detection in WITHOUT_EDGES:
+            roles["dns_events"] = "dns_flagged"
+        return _Lazy(self, roles)
+
+
+class _Lazy(Mapping):
+    def __init__(self, telemetry: Telemetry, roles: Mapping[str, str]):
+        self._telemetry, self._roles = telemetry, roles
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self._telemetry, self._roles[name])
+
+    def __iter__(self):
+        return iter(self._roles)
+
+    def __len__(self) -> int:
+        return len(self._roles)
