@@ -5,25 +5,266 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sieveline.bindings import PARAMS, Telemetry
-from sieveline.plans.packs import DETECTIONS
+from sieveline.bindings import HEURISTICS, PARAMS, Telemetry
+from sieveline.functions import clock, hosts
+from sieveline.functions.scores import band, lenient_double
+from sieveline.operators.confusion import evaluate
+from sieveline.operators.firsts import distinct_entities
+from sieveline.operators.intervals import interval_join
+from sieveline.operators.neighbours import previous_value
+from sieveline.plans import features, hunts, packs, quality, signals
+from sieveline.plans.packs import DETECTIONS, PACKS
+from sieveline.sources import cleaning, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+Plan = Callable[[Telemetry], DataFrame]
 
+# Privileged-role term that benchmark event details can contain.
+TERM = '"k": 7'
 
-def detection_result(name: str, telemetry: Telemetry) -> DataFrame:
-    """Whole result of a detection on the benchmark tables."""
-    sources = telemetry.lazy_sources(name)
-    return DETECTIONS[name].result(sources, **PARAMS.get(name, {}))
+SIGNAL_IDS = {
+    "sg01_cross_tenant_diversity": "q03_tenant_diversity",
+    "sg02_hosting_vpn_concentration": "q02_pct_flagged_infra",
+    "sg03_synchronized_spikes": "q06_sync_org_spikes",
+    "sg04_template_reuse": "q07_template_reuse",
+    "sg05_content_cluster_spread": "q08_content_cluster_spread",
+    "sg06_policy_funnel": "q09_policy_funnel",
+    "sg07_rate_limit_pressure": "q11_rate_limit_summary",
+    "sg08_failed_login_bursts": "q12_failed_login_bursts",
+    "sg09_new_asn_after_failures": "q13_new_asn_after_failures",
+    "sg10_mfa_manipulation": "q14_mfa_device_added",
+    "sg11_mailbox_rule_abuse": "q16_mailbox_rule_creation",
+    "sg12_oauth_consent_abuse": "q17_oauth_consent_grants",
+    "sg13_ato_chain_detection": "q18_ato_chain_candidates",
+    "sg14_dns_triage_detection": "q24_dns_rollup",
+    "sg15_unusual_pod_creation": "q25_unusual_pod_creation",
+    "sg16_non_standard_registries": "q26_non_standard_registries",
+    "sg17_resource_anomalies": "q27_resource_anomalies",
+    "sg18_mining_pool_egress": "q28_mining_pool_egress",
+    "sg19_service_account_abuse": "q29_service_account_abuse",
+    "sg20_correlated_k8s_signals": "q30_correlated_signals",
+}
+BRIEF = ["id", "title", "weight", "score"]
 
 
-def _report(name: str) -> Query:
-    def run(spark: SparkSession, directory: str) -> DataFrame:
-        return DETECTIONS[name].report(detection_result(name, Telemetry(spark, directory)))
+def whole(name: str, telemetry: Telemetry) -> DataFrame:
+    """Whole, unordered result of a detection on the benchmark tables."""
+    return DETECTIONS[name].result(telemetry.lazy_sources(name), **PARAMS.get(name, {}))
 
-    return run
+
+def _report(name: str) -> Plan:
+    return lambda t: DETECTIONS[name].report(whole(name, t))
+
+
+def _signal(detection: str) -> Plan:
+    return lambda t: signals.catalog()[detection].of(whole(detection, t)).select(*BRIEF)
+
+
+def _pack_signals(t: Telemetry, pack: str) -> DataFrame:
+    return signals.score_results({d.name: whole(d.name, t) for d in PACKS[pack]})
+
+
+def _overall(pack: str) -> Plan:
+    return lambda t: signals.overall_risk(_pack_signals(t, pack))
+
+
+def _additive(t: Telemetry) -> DataFrame:
+    return signals.additive_signals({name: whole(name, t) for name in signals.ADDITIVE_WEIGHTS})
+
+
+def _manifest(pack: str) -> Plan:
+    def plan(t: Telemetry) -> DataFrame:
+        listing = packs.manifest({d.name: whole(d.name, t) for d in PACKS[pack]})
+        return listing.withColumn("columns", F.array_join("columns", ","))
+
+    return plan
+
+
+def _changes_after_sessions(t: Telemetry) -> DataFrame:
+    found = hunts.identity_changes_after_sessions(
+        t.agent_sessions, t.audit_events, "1 day", ("virtual_agent", "now_assist")
+    )
+    return found.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("events", "targets", "actors")})
+
+
+def _exposure(t: Telemetry) -> DataFrame:
+    # The last suspicious query rarely precedes the first failure, so the roles of a
+    # benchmark month are its two halves: exposure before the middle, failures after it.
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    found = hunts.exposure_then_failed_login(t.dns_flagged.where(F.col("ts") < middle), t.identity.where(F.col("ts") >= middle))
+    return found.withColumn("time_delta_hours", F.round("time_delta_hours", 4))
+
+
+def _domain_table(t: Telemetry) -> DataFrame:
+    table = features.domain_features(t.hosts, HEURISTICS)
+    return table.withColumn("entropy", F.round("entropy", 6))
+
+
+def _page_hosts(t: Telemetry) -> DataFrame:
+    pages = t.table("pages").select("page_id", hosts.url_host(F.col("url")).alias("host_raw"))
+    # Upper case and stray dots stand for the untidy hosts of raw logs.
+    untidy = F.concat(F.lit("."), F.upper("host_raw"), F.lit(". "))
+    return features.with_domain_parts(pages.withColumn("host_raw", untidy))
+
+
+def _document_entropy(t: Telemetry) -> DataFrame:
+    return t.table("pages").select("page_id", F.round(hosts.shannon_entropy(F.col("url")), 6).alias("entropy"))
+
+
+def _unified_identity(t: Telemetry) -> DataFrame:
+    others = t.identity.where(F.col("event_type") != "auth.signin")
+    return features.unified_identity_events(t.sessions, others, user_agent="agent/0")
+
+
+def _business_hours(t: Telemetry) -> DataFrame:
+    inside = clock.business_hours(F.col("timestamp"))
+    return t.audit.groupBy("namespace", inside.alias("business_hours")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def _clock(t: Telemetry) -> DataFrame:
+    ts, later = F.col("ts"), clock.shift(F.col("ts"), "95 seconds")
+    return t.table("events").select(
+        "event_id",
+        clock.bucket_start("ts", "10 minutes").alias("bucket"),
+        clock.calendar_start(t.table("events"), "ts", "hour").alias("hour_start"),
+        F.hour(ts).alias("hour_of_day"),
+        clock.weekday_sunday0(ts).alias("weekday"),
+        F.round(clock.span_hours(F.lit("2024-01-01").cast("timestamp_ntz"), ts), 6).alias("hours_since"),
+        clock.minute_boundaries(ts, later).alias("minutes_crossed"),
+    )
+
+
+def _address_classes(t: Telemetry) -> DataFrame:
+    return t.audit.groupBy(
+        hosts.address_class(F.col("source_ip")).alias("ip_classification"),
+        hosts.registry_domain(F.col("container_image")).alias("registry_domain"),
+    ).agg(F.count(F.lit(1)).alias("events"))
+
+
+def _lenient_numbers(t: Telemetry) -> DataFrame:
+    text = F.regexp_replace("props", r'[{}":k]', "")
+    odd = F.when(F.col("event_id") % 3 == 0, F.concat(text, F.lit("x"))).otherwise(text)
+    return t.table("events").select("event_id", lenient_double(odd).alias("number"))
+
+
+def _parsed_times(t: Telemetry) -> DataFrame:
+    text = F.when(F.col("event_id") % 7 == 0, "not a time").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    parsed = cleaning.parse_utc(t.table("events").select("event_id", text.alias("ts")), "ts")
+    return parsed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _keyed_interval(t: Telemetry) -> DataFrame:
+    errors = t.table("events").where(F.col("event_type") == "error").select("user_id", F.col("ts").alias("error_ts"))
+    bought = t.table("events").where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("purchase_ts"))
+    return interval_join(errors, bought, "error_ts", "purchase_ts", "6 hours", keys=["user_id"], salts=4)
+
+
+def _previous_event(t: Telemetry) -> DataFrame:
+    events = t.table("events").select("event_id", "user_id", "ts", "event_type")
+    return previous_value(events, ["user_id"], ["ts", "event_id"], "event_type", "previous_type", "1 day", "2 days")
+
+
+def _alignment(t: Telemetry) -> DataFrame:
+    reach = whole("q03_tenant_diversity", t)
+    return quality.signal_alignment(
+        [
+            ("diverse", reach.where(F.col("distinct_orgs") >= 22)),
+            ("flagged", reach.where(F.col("asn_type").isin("hosting", "vpn"))),
+            ("bursty", whole("q05_burst_zscore", t).where(F.col("zscore") >= 2.5)),
+            ("dense", reach.where(F.col("reqs_per_account") >= 1.4)),
+        ],
+        "asn",
+    )
+
+
+def _dns_bands(t: Telemetry) -> DataFrame:
+    return t.dns_flagged.groupBy(quality.dns_score_band(F.col("score")).alias("band")).agg(
+        F.count(F.lit(1)).alias("queries")
+    )
+
+
+def _completeness(t: Telemetry) -> DataFrame:
+    return quality.chain_completeness(whole("q18_ato_chain_candidates", t)).select(
+        "org_id", "account_id", "stages", "completeness"
+    )
+
+
+def _priorities(t: Telemetry) -> DataFrame:
+    scores = whole("q27_resource_anomalies", t).select(F.col("resource_anomaly_score").alias("score")).unionByName(
+        whole("q29_service_account_abuse", t).select(F.col("abuse_score").alias("score"))
+    ).unionByName(whole("q28_mining_pool_egress", t).select(F.col("confidence_score").alias("score")))
+    return scores.groupBy(quality.alert_priority(F.col("score")).alias("priority")).agg(F.count(F.lit(1)).alias("alerts"))
+
+
+def _quality(t: Telemetry) -> DataFrame:
+    row = evaluate(t.dns_flagged, "score", "is_malicious", threshold=3)
+    return row.withColumns({c: F.round(c, 6) for c in ("f1", "flagged_rate")})
+
+
+def _table_counts(t: Telemetry) -> DataFrame:
+    return tables.row_counts({name: t.table(name) for name in sorted(tables.discover(t.spark, t.directory))})
+
+
+PLANS: dict[str, Plan] = {
+    **{name: _report(name) for name in DETECTIONS},
+    **{key: _signal(detection) for key, detection in SIGNAL_IDS.items()},
+    **{f"sg22_overall_{pack}": _overall(pack) for pack in PACKS},
+    "sg23_ranked_signals": lambda t: signals.ranked_signals(_pack_signals(t, "takeover")).select(*BRIEF, "severity"),
+    "sg24_additive_signals": lambda t: _additive(t).drop("contribution"),
+    "sg24_additive_risk": lambda t: signals.additive_risk(_additive(t)),
+    "sg25_signal_severity": lambda t: _pack_signals(t, "cluster").select(
+        "id", band(F.col("score"), signals.SIGNAL_SEVERITY_STEPS, "low").alias("severity")
+    ),
+    "h01_users_near_sessions": lambda t: hunts.users_created_near_sessions(t.agent_sessions, t.audit_events),
+    "h02_role_grants_near_sessions": lambda t: hunts.role_grants_near_sessions(
+        t.agent_sessions, t.audit_events, within="2 hours", term=TERM
+    ),
+    "h03_resets_after_creation": lambda t: hunts.resets_after_creation(t.audit_events),
+    "h04_new_privileged_users": lambda t: hunts.new_privileged_users(t.audit_events, "6 hours", TERM),
+    "h05_changes_after_sessions": _changes_after_sessions,
+    "h06_exposure_then_failure": _exposure,
+    "ft01_suspicious_tld": lambda t: t.hosts.select(
+        "request_id", hosts.suspicious_tld(F.col("tld"), HEURISTICS.tlds).alias("suspicious_tld")
+    ),
+    "ft02_keyword_hit": lambda t: t.hosts.select(
+        "request_id", hosts.keyword_hit(F.col("host_raw"), HEURISTICS.keywords).alias("keyword_hit")
+    ),
+    "ft03_domain_entropy": _domain_table,
+    "ft03_text_entropy": _document_entropy,
+    "ft04_rare_domain": lambda t: t.dns_flagged.select("request_id", "base_domain", "rare_domain"),
+    "ft05_composite_score": lambda t: t.dns_flagged.select(
+        "request_id", "suspicious_tld", "keyword_hit", "high_entropy", "rare_domain", "score"
+    ),
+    "ft06_transition_edges": lambda t: features.with_transition_edges(
+        t.hosts, ["account_id", "device_fingerprint"], ["ts", "request_id"], slice_width="1 day"
+    ).select("request_id", "base_domain", "parent_domain"),
+    "ft07_base_domain": _page_hosts,
+    "ft08_unified_identity": _unified_identity,
+    "ft09_business_hours": _business_hours,
+    "ft10_dns_summary": lambda t: features.dns_summary(t.dns),
+    "ft11_distinct_accounts": lambda t: distinct_entities(t.requests, ["org_id", "account_id"]),
+    "ev01_quality": _quality,
+    "ev04_dns_bands": _dns_bands,
+    "ev05_chain_completeness": _completeness,
+    "ev06_alert_priority": _priorities,
+    "ev07_signal_alignment": _alignment,
+    "io05_table_counts": _table_counts,
+    "jn07_keyed_interval": _keyed_interval,
+    "wn02_previous_event": _previous_event,
+    "sc12_clock_functions": _clock,
+    "sc11_address_classes": _address_classes,
+    "sc28_lenient_numbers": _lenient_numbers,
+    "pf18_parsed_times": _parsed_times,
+    **{f"mf02_manifest_{pack}": _manifest(pack) for pack in PACKS},
+    "mf03_evidence": lambda t: signals.evidence_table(_pack_signals(t, "takeover")).drop("rationale"),
+}
+
+
+def _query(plan: Plan) -> Query:
+    return lambda spark, directory: plan(Telemetry(spark, directory))
 
 
 def queries() -> dict[str, Query]:
-    return {name: _report(name) for name in DETECTIONS}
+    return {name: _query(plan) for name, plan in PLANS.items()}
