@@ -90,10 +90,9 @@ def _changes_after_sessions(t: Telemetry) -> DataFrame:
 
 
 def _exposure(t: Telemetry) -> DataFrame:
-    # The last suspicious query rarely precedes the first failure, so the roles of a
-    # benchmark month are its two halves: exposure before the middle, failures after it.
-    middle = F.lit("2024-01-15").cast("timestamp_ntz")
-    found = hunts.exposure_then_failed_login(t.dns_flagged.where(F.col("ts") < middle), t.identity.where(F.col("ts") >= middle))
+    # Plain failures start before any exposure ends, so the labelled ones are hunted.
+    labelled = t.identity.where(F.col("is_attack"))
+    found = hunts.exposure_then_failed_login(t.dns_flagged, labelled, min_score=6, within="20 days")
     return found.withColumn("time_delta_hours", F.round("time_delta_hours", 4))
 
 
