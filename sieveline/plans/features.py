@@ -62,13 +62,16 @@ def domain_features(df: DataFrame, heuristics: DomainHeuristics = DomainHeuristi
     return flagged.withColumn("score", composite_score(heuristics.weights))
 
 
-def with_dns_features(df: DataFrame, heuristics: DomainHeuristics = DomainHeuristics()) -> DataFrame:
+def with_dns_features(
+    df: DataFrame, heuristics: DomainHeuristics = DomainHeuristics(), counted: DataFrame | None = None
+) -> DataFrame:
     """Adds the domain heuristics to DNS rows that carry ``base_domain``.
 
     Entropy and matching run once per distinct domain rather than once per query; the
     frequency needed for rarity is also what keeps popular domains off a hot task.
+    ``counted`` may name a cheaper frame with the same domains per row to count from.
     """
-    features = domain_features(df, heuristics)
+    features = domain_features(df if counted is None else counted, heuristics)
     return attach_by_frequency(df, features, "base_domain", "domain_count").drop("domain_count", "entropy")
 
 
@@ -93,7 +96,7 @@ def build_dns_events(
     """Full feature build from raw queries (``host_raw`` and entity columns)."""
     split = with_domain_parts(queries)
     edged = with_transition_edges(split, entity, order)
-    return with_dns_features(edged, heuristics).dropna(subset=["ts", "org_id", "account_id", "base_domain"])
+    return with_dns_features(edged, heuristics, counted=split).dropna(subset=["ts", "org_id", "account_id", "base_domain"])
 
 
 def dns_summary(dns: DataFrame) -> DataFrame:
