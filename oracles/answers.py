@@ -367,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT confidence_score FROM q28_mining_pool_egress) GROUP BY ALL""",
         "q27_resource_anomalies", "q28_mining_pool_egress", "q29_service_account_abuse", extra=Q)
     answers["ev07_signal_alignment"] = compose(
-        """SELECT asn, has_diverse + has_flagged + has_bursty + has_dense AS aligned_signals,
+        """SELECT asn, (has_diverse + has_flagged + has_bursty + has_dense)::BIGINT AS aligned_signals,
                has_diverse, has_flagged, has_bursty, has_dense,
                CASE WHEN aligned_signals >= 4 THEN 'high' WHEN aligned_signals >= 2 THEN 'medium' ELSE 'low' END AS confidence
         FROM (SELECT asn, (distinct_orgs >= 22)::INT AS has_diverse, (asn_type IN ('hosting', 'vpn'))::INT AS has_flagged,
@@ -390,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
     answers["sc12_clock_functions"] = """
         SELECT event_id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, date_trunc('hour', ts) AS hour_start,
                hour(ts)::INT AS hour_of_day, dayofweek(ts)::INT AS weekday,
-               round(epoch(ts - TIMESTAMP '2024-01-01') / 3600, 6) AS hours_since,
+               round(epoch(ts - TIMESTAMP '2024-01-01'), 6) AS seconds_since,
                datediff('minute', ts, ts + INTERVAL '95 seconds') AS minutes_crossed FROM events"""
     answers["sc11_address_classes"] = compose(
         """SELECT CASE WHEN source_ip LIKE '10.%' THEN 'internal' ELSE 'external' END AS ip_classification,

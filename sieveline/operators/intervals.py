@@ -44,22 +44,33 @@ def interval_join(
     within: str,
     keys: Sequence[str] = (),
     salts: int = 1,
+    replicate: str = "starts",
 ) -> DataFrame:
     """Inner join of ``starts`` with the ``points`` in ``[start, start + within]``.
 
     ``keys`` are equi-join columns of both sides (kept once; NULL matches nothing);
-    all other column names must differ.  With no keys the bin is the only equi key
-    and ``salts`` should be raised so that busy bins spread over several tasks.
+    all other column names must differ.  The ``replicate`` side, best the smaller one,
+    is copied to the second bin and to every salt; rows of the other side go to exactly
+    one bin and salt.  With no keys the bin is the only equi key and ``salts`` should be
+    raised so that busy bins spread over several tasks.
     """
-    first = bucket_start(start, within)
-    left = starts.withColumn(_BIN, first).withColumn(
-        _BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within)))
-    )
-    right = points.withColumn(_SALT, _row_salt(points, salts)).withColumn(_BIN, bucket_start(point, within))
-    left = left.withColumn(_SALT, _all_salts(salts))
-    equi = [*keys, _BIN, _SALT]
+    if replicate not in ("starts", "points"):
+        raise ValueError("replicate is 'starts' or 'points'")
+    copy_starts = replicate == "starts"
+
+    def placed(df: DataFrame, ts: str, copied: bool, step: int) -> DataFrame:
+        # The salt reads the partition id, so it must not share a projection with a generator.
+        out = df if copied else df.withColumn(_SALT, _row_salt(df, salts))
+        out = out.withColumn(_BIN, bucket_start(ts, within))
+        if copied:
+            out = out.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
+            out = out.withColumn(_SALT, _all_salts(salts)) if salts > 1 else out.withColumn(_SALT, F.lit(0))
+        return out
+
+    left = placed(starts, start, copy_starts, 1)
+    right = placed(points, point, not copy_starts, -1)
     in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
-    joined = left.alias("l").join(right.alias("r"), _same_keys("l", "r", equi) & in_range)
+    joined = left.alias("l").join(right.alias("r"), _same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range)
     kept_right = [F.col(f"r.{c}") for c in points.columns if c not in keys]
     return joined.select(*[F.col(f"l.{c}") for c in starts.columns], *kept_right)
 

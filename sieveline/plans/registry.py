@@ -130,7 +130,7 @@ def _clock(t: Telemetry) -> DataFrame:
         clock.calendar_start(t.table("events"), "ts", "hour").alias("hour_start"),
         F.hour(ts).alias("hour_of_day"),
         clock.weekday_sunday0(ts).alias("weekday"),
-        F.round(clock.span_hours(F.lit("2024-01-01").cast("timestamp_ntz"), ts), 6).alias("hours_since"),
+        F.round(clock.span_seconds(F.lit("2024-01-01").cast("timestamp_ntz"), ts), 6).alias("seconds_since"),
         clock.minute_boundaries(ts, later).alias("minutes_crossed"),
     )
 
