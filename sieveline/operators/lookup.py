@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_COUNT = "__count"
+# At most 1 / MIN_SHARE keys are ever broadcast.
+MIN_SHARE = 1e-5
 
 
 def frequency(df: DataFrame, key: str, out: str = "frequency") -> DataFrame:
@@ -20,6 +21,8 @@ def attach_by_frequency(df: DataFrame, table: DataFrame, key: str, count: str, h
     rows carry a random-looking salt instead of the key into the shuffle join that serves
     all other keys, so no task receives more than a sliver of one key.
     """
+    if not MIN_SHARE <= heavy_share <= 1:
+        raise ValueError(f"heavy_share lies between {MIN_SHARE} and 1, as 1 / heavy_share bounds the broadcast")
     payload = [c for c in table.columns if c != key]
     total = table.select(F.sum(count)).scalar()
     heavy = table.where(F.col(count) > heavy_share * total)

@@ -146,9 +146,10 @@ def run_pack(
 ) -> DataFrame:
     """Runs a pack over a directory of tables and writes its evidence below ``out_dir``.
 
-    Each report becomes a CSV artifact; a failing detection becomes a manifest row and the
-    run goes on.  Also writes the manifest, the table counts, the ranked signals and the
-    overall risk as JSON.  Row counts are observed while the artifact is written.
+    Each detection runs once: its whole result is written as a table, from which the CSV
+    report and the signal are then read.  A failing detection becomes a manifest row and
+    the run goes on.  Also writes the manifest, the table counts, the ranked signals and
+    the overall risk as JSON.
     """
     params = params or {}
     loaded = tables.load(spark, data_dir)
@@ -159,22 +160,22 @@ def run_pack(
     for detection in sorted(PACKS[pack], key=lambda d: d.name):
         path = f"{out_dir}/artifacts/{detection.name}"
         try:
-            result = detection.result(sources, **params.get(detection.name, {}))
+            whole = detection.result(sources, **params.get(detection.name, {}))
+            artifacts.write_parquet(whole, f"{out_dir}/results/{detection.name}")
+            written = spark.read.schema(whole.schema).parquet(f"{out_dir}/results/{detection.name}")
             seen = Observation(detection.name)
-            report = detection.report(result).observe(seen, F.count(F.lit(1)).alias("n"))
+            report = detection.report(written).observe(seen, F.count(F.lit(1)).alias("n"))
             artifacts.write_csv(report, path)
             entries.append((detection.name, path, seen.get["n"], report.columns, None))
         except Exception as error:  # a broken detection must not hide the others
             entries.append((detection.name, None, None, None, repr(error)))
             continue
         if detection.name in scorers:
-            scored.append(scorers[detection.name].of(result))
+            scored.append(scorers[detection.name].of(written))
     listing = spark.createDataFrame(entries, MANIFEST_SCHEMA)
-    signal_rows = reduce(DataFrame.unionByName, scored) if scored else signals.no_signals(spark)
-    # The scored rows are few; a written table keeps the detections from running again.
-    artifacts.write_json(signals.ranked_signals(signal_rows), f"{out_dir}/signals")
-    written = spark.read.schema(signals.no_signals(spark).schema).json(f"{out_dir}/signals")
-    artifacts.write_json(signals.overall_risk(written), f"{out_dir}/scoring")
+    rows = reduce(DataFrame.unionByName, scored) if scored else signals.no_signals(spark)
+    artifacts.write_json(signals.ranked_signals(rows), f"{out_dir}/signals")
+    artifacts.write_json(signals.overall_risk(rows), f"{out_dir}/scoring")
     artifacts.write_json(tables.row_counts(loaded), f"{out_dir}/table_counts")
     artifacts.write_json(listing, f"{out_dir}/findings")
     return listing
