@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.clock import bucket_start, shift
+from sieveline.operators.heavy import FLOOR_ROWS, heavy_keys, mark_heavy, same_keys
 
 _BIN, _SALT = "__bin", "__salt"
 
@@ -29,13 +30,6 @@ def _all_salts(salts: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
 
-def _same_keys(left_alias: str, right_alias: str, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(f"{left_alias}.{k}") == F.col(f"{right_alias}.{k}"))
-    return cond
-
-
 def interval_join(
     starts: DataFrame,
     points: DataFrame,
@@ -70,11 +64,31 @@ def interval_join(
     left = placed(starts, start, copy_starts, 1)
     right = placed(points, point, not copy_starts, -1)
     in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
-    joined = left.alias("l").join(right.alias("r"), _same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range)
+    joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range)
     kept_right = [F.col(f"r.{c}") for c in points.columns if c not in keys]
     return joined.select(*[F.col(f"l.{c}") for c in starts.columns], *kept_right)
 
 
+def _with_bounds(
+    anchors: DataFrame, points: DataFrame, anchor: str, point: str, lookback: str, keys: Sequence[str]
+) -> DataFrame:
+    """Adds the earliest point of an anchor's bin and the latest point of the bin before.
+
+    With bins as wide as the look-back these two decide whether any point matches.
+    """
+    kind = points.schema[point].dataType
+    bounds = points.groupBy(*keys, bucket_start(point, lookback).alias(_BIN)).agg(
+        F.min(point).alias("__lo"), F.max(point).alias("__hi")
+    )
+    here = bounds.select(*keys, _BIN, "__lo", F.lit(None).cast(kind).alias("__hi"))
+    before = bounds.select(
+        *keys, shift(F.col(_BIN), lookback).alias(_BIN), F.lit(None).cast(kind).alias("__lo"), "__hi"
+    )
+    edges = here.unionByName(before).groupBy(*keys, _BIN).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+    joined = anchors.alias("l").join(edges.alias("e"), same_keys("l", "e", [*keys, _BIN]), "left")
+    return joined.select(*[F.col(f"l.{c}") for c in anchors.columns], "e.__lo", "e.__hi")
+
+
 def lookback_join(
     anchors: DataFrame,
     points: DataFrame,
@@ -82,46 +96,35 @@ def lookback_join(
     point: str,
     lookback: str,
     keys: Sequence[str],
-    salts: int = 4,
+    salts: int = 16,
+    floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Left outer join of ``anchors`` with every point in ``[anchor - lookback, anchor]``.
 
-    Whether an anchor has any match follows from the earliest point of its own bin and
-    the latest point of the bin before, two numbers per (keys, bin).  Matched anchors
-    then meet the salted points once per salt, unmatched ones are kept a single time,
-    so a busy bin spreads over ``salts`` tasks and no anchor is lost or repeated.
+    Entities with few points join on (keys, bin) directly.  Points of heavy entities are
+    salted, and their anchors meet every salt; whether such an anchor has any match is
+    settled beforehand from two numbers per (keys, bin), so an unmatched anchor is kept
+    exactly once and a matched one leaves no empty row behind.
     """
-    bounds = (
-        points.groupBy(*keys, bucket_start(point, lookback).alias(_BIN))
-        .agg(F.min(point).alias("__lo"), F.max(point).alias("__hi"))
-    )
-    here = bounds.select(*keys, _BIN, F.col("__lo"), F.lit(None).cast(points.schema[point].dataType).alias("__hi"))
-    previous = bounds.select(
-        *keys, shift(F.col(_BIN), lookback).alias(_BIN),
-        F.lit(None).cast(points.schema[point].dataType).alias("__lo"), F.col("__hi"),
-    )
-    edges = here.unionByName(previous).groupBy(*keys, _BIN).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
-
-    binned = anchors.withColumn(_BIN, bucket_start(anchor, lookback)).alias("l")
-    flagged = binned.join(edges.alias("e"), _same_keys("l", "e", [*keys, _BIN]), "left").select(
-        *[F.col(f"l.{c}") for c in [*anchors.columns, _BIN]],
-        F.coalesce(
-            (F.col("e.__lo") <= F.col(f"l.{anchor}"))
-            | (F.col("e.__hi") >= shift(F.col(f"l.{anchor}"), lookback, -1)),
-            F.lit(False),
-        ).alias("__matched"),
-    )
-    salted = flagged.withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col("__matched"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(-1)))
-        ),
+    keys = list(keys)
+    heavy = heavy_keys(points, keys, floor=floor)
+    marked_points = mark_heavy(points, heavy, keys, "__heavy")
+    busy = marked_points.where("__heavy")
+    binned = mark_heavy(anchors, heavy, keys, "__heavy").withColumn(_BIN, bucket_start(anchor, lookback))
+    flagged = _with_bounds(binned, busy, anchor, point, lookback, keys)
+
+    matched = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
+        F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
     )
-    candidates = points.withColumn(_SALT, _row_salt(points, salts)).withColumn(_BIN, bucket_start(point, lookback))
-    candidates = candidates.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), lookback))))
+    copies = F.when(F.col("__heavy") & matched, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = flagged.withColumn("__matched", F.col("__heavy") & matched).withColumn(_SALT, F.explode(copies))
+
+    placed = marked_points.withColumn(_SALT, F.when(F.col("__heavy"), _row_salt(points, salts)).otherwise(F.lit(0)))
+    placed = placed.withColumn(_BIN, bucket_start(point, lookback))
+    placed = placed.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), lookback))))
     in_range = F.col(f"r.{point}").between(shift(F.col(f"l.{anchor}"), lookback, -1), F.col(f"l.{anchor}"))
     joined = salted.alias("l").join(
-        candidates.alias("r"), _same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range, "left"
+        placed.alias("r"), same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range, "left"
     )
     kept = joined.where(~F.col("l.__matched") | F.col(f"r.{point}").isNotNull())
     return kept.select(
@@ -138,21 +141,20 @@ def first_match_after(
     within: str,
     keys: Sequence[str],
     slice_width: str = "1 minute",
+    floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """For each (keys, anchor time): the first point in ``[anchor, anchor + within]``.
 
-    Equal-time rows collapse to their smallest row on either side.  The search runs in
-    slices: inside a slice an ordered window finds the next point; across slices only
-    one carried row per (keys, slice) is looked at.  No anchor-point pairs are built,
-    and no window partition exceeds one entity's slice, or the calendar's slices.
+    Equal-time rows collapse to their smallest row on either side, and an ordered window
+    finds the next point; no anchor-point pairs are built.  Heavy entities are cut into
+    time slices: the window then runs inside a slice, and one carried row per slice tells
+    the first point of the slices after it.  No window partition exceeds an ordinary
+    entity, one slice of a heavy one, or the calendar's number of slices.
     """
     keys = list(keys)
     anchor_cols = [c for c in anchors.columns if c not in (*keys, anchor)]
     point_cols = [c for c in points.columns if c not in (*keys, point)]
-    for c in (*keys, anchor):
-        anchors = anchors.where(F.col(c).isNotNull())
-    for c in (*keys, point):
-        points = points.where(F.col(c).isNotNull())
+    anchors, points = anchors.dropna(subset=[*keys, anchor]), points.dropna(subset=[*keys, point])
 
     anchor_row = F.struct(*anchor_cols).alias("__anchor")
     point_row = F.struct(F.col(point), *point_cols).alias("__point")
@@ -163,13 +165,14 @@ def first_match_after(
         points.select(*keys, F.col(point).alias("__t"), F.lit(None).cast(anchor_type).alias("__anchor"), point_row)
     )
     instants = tagged.groupBy(*keys, "__t").agg(F.min("__anchor").alias("__anchor"), F.min("__point").alias("__point"))
-    instants = instants.withColumn("__slice", bucket_start("__t", slice_width))
+    instants = mark_heavy(instants, heavy_keys(tagged.select(*keys), keys, floor=floor), keys, "__heavy")
+    instants = instants.withColumn("__slice", F.when(F.col("__heavy"), bucket_start("__t", slice_width)))
 
     # Descending order turns "next point" into a running last value.
     nearest = Window.partitionBy(*keys, "__slice").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
     within_slice = instants.withColumn("__near", F.last("__point", ignorenulls=True).over(nearest))
 
-    slices = instants.groupBy(*keys, "__slice").agg(F.min("__point").alias("__first"))
+    slices = instants.where("__heavy").groupBy(*keys, "__slice").agg(F.min("__point").alias("__first"))
     later = Window.partitionBy(*keys).orderBy(F.desc("__slice")).rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.select(*keys, "__slice", F.last("__first", ignorenulls=True).over(later).alias("__far"))
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most 1 / MIN_SHARE keys are ever broadcast.
-MIN_SHARE = 1e-5
+from sieveline.operators.heavy import MIN_SHARE
 
 
 def frequency(df: DataFrame, key: str, out: str = "frequency") -> DataFrame:

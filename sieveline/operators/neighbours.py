@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.clock import bucket_start, shift
+from sieveline.operators.heavy import FLOOR_ROWS, heavy_keys, mark_heavy, same_keys
 
 
 def previous_value(
@@ -18,28 +19,29 @@ def previous_value(
     out: str,
     slice_width: str = "1 hour",
     max_gap: str | None = None,
+    floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per ``keys`` in ``order`` (whose first column is the timestamp).
 
-    Rows are ordered inside (keys, slice) partitions; the first row of a slice takes the
-    last value of the entity's previous non-empty slice, found among one row per slice.
-    ``max_gap`` drops a predecessor that lies further back than that.
+    Ordinary entities are one window partition each.  Entities that are heavy are cut into
+    time slices; the first row of a slice takes the last value of the entity's previous
+    non-empty slice, found among one row per slice.  ``max_gap`` drops a predecessor that
+    lies further back than that.
     """
     keys, order = list(keys), list(order)
     ts = order[0]
     previous = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
-    sliced = df.withColumn("__slice", bucket_start(ts, slice_width))
+    marked = mark_heavy(df, heavy_keys(df.select(*keys), keys, floor=floor), keys, "__heavy")
+    sliced = marked.withColumn("__slice", F.when(F.col("__heavy"), bucket_start(ts, slice_width)))
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
     near = sliced.withColumn("__near", F.lag(previous).over(inside))
 
     newest = F.max(F.struct(*[F.col(c) for c in order], previous.alias("__row")))["__row"]
-    ends = sliced.groupBy(*keys, "__slice").agg(newest.alias("__last"))
+    ends = sliced.where("__heavy").groupBy(*keys, "__slice").agg(newest.alias("__last"))
     across = Window.partitionBy(*keys).orderBy("__slice")
     carried = ends.select(*keys, "__slice", F.lag("__last").over(across).alias("__far"))
 
-    same_slice = F.lit(True)
-    for k in [*keys, "__slice"]:
-        same_slice = same_slice & F.col(f"n.{k}").eqNullSafe(F.col(f"c.{k}"))
+    same_slice = same_keys("n", "c", keys, null_safe=True) & (F.col("n.__slice") == F.col("c.__slice"))
     hit = F.coalesce(F.col("n.__near"), F.col("c.__far"))
     joined = near.alias("n").join(carried.alias("c"), same_slice, "left").withColumn("__hit", hit)
     kept = F.col("__hit.v")

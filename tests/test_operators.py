@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sieveline.operators.baseline import group_zscore
 from sieveline.operators.confusion import evaluate
+from sieveline.operators.heavy import heavy_keys, mark_heavy
 from sieveline.operators.firsts import distinct_entities, first_seen
 from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
@@ -108,8 +109,8 @@ def test_interval_edges_are_inclusive(spark):
     assert rows(interval_join(starts, points, "s", "p", "60 minutes", ["k"]), "p") == [(T0,), (T0 + hour,)]
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_lookback_join_equals_plain_left_join(spark, salts):
+@pytest.mark.parametrize("salts, floor", [(1, 0), (5, 0), (5, 30), (5, 10**6)])
+def test_lookback_join_equals_plain_left_join(spark, salts, floor):
     anchors, points = moments(6, 90, 240, hot=0.4), moments(7, 90, 240, hot=0.4)
     points += points[:20]  # exact copies match separately
     back = timedelta(minutes=30)
@@ -119,20 +120,21 @@ def test_lookback_join_equals_plain_left_join(spark, salts):
         want += [(i, j) for j in hits] or [(i, None)]
     left = spark.createDataFrame(anchors, "k string, t timestamp_ntz, i int")
     right = spark.createDataFrame(points, "k string, p timestamp_ntz, j int")
-    got = lookback_join(left, right, "t", "p", "30 minutes", ["k"], salts)
+    got = lookback_join(left, right, "t", "p", "30 minutes", ["k"], salts, floor)
     assert sorted(((r.i, r.j) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_lookback_keeps_identical_anchors(spark):
+@pytest.mark.parametrize("floor", [0, 100])
+def test_lookback_keeps_identical_anchors(spark, floor):
     left = spark.createDataFrame([("k", T0), ("k", T0)], "k string, t timestamp_ntz")
     right = spark.createDataFrame([("k", T0)], "k string, p timestamp_ntz")
     none = right.where("false")
-    assert lookback_join(left, right, "t", "p", "1 hour", ["k"]).count() == 2
-    assert rows(lookback_join(left, none, "t", "p", "1 hour", ["k"]), "p") == [(None,), (None,)]
+    assert lookback_join(left, right, "t", "p", "1 hour", ["k"], floor=floor).count() == 2
+    assert rows(lookback_join(left, none, "t", "p", "1 hour", ["k"], floor=floor), "p") == [(None,), (None,)]
 
 
-@pytest.mark.parametrize("slice_width", ["1 minute", "1 hour", "1 day"])
-def test_first_match_after_equals_brute_force(spark, slice_width):
+@pytest.mark.parametrize("slice_width, floor", [("1 minute", 0), ("1 hour", 0), ("1 day", 0), ("1 minute", 50), ("1 minute", 10**6)])
+def test_first_match_after_equals_brute_force(spark, slice_width, floor):
     anchors, points = moments(8, 120, 900, hot=0.3), moments(9, 60, 900, hot=0.3)
     reach = timedelta(hours=4)
     want = {}
@@ -144,7 +146,7 @@ def test_first_match_after_equals_brute_force(spark, slice_width):
     want = sorted((k, t, *v) for (k, t), v in want.items() if v)
     left = spark.createDataFrame(anchors, "k string, t timestamp_ntz, i int")
     right = spark.createDataFrame(points, "k string, p timestamp_ntz, j int").repartition(3)
-    got = first_match_after(left, right, "t", "p", "4 hours", ["k"], slice_width)
+    got = first_match_after(left, right, "t", "p", "4 hours", ["k"], slice_width, floor)
     assert rows(got, "k", "t", "i", "p", "j") == sorted(want, key=repr)
 
 
@@ -157,8 +159,9 @@ def test_first_match_edges(spark):
         assert [(r.i, r.j) for r in got] == ([(1, 9)] if hit else [])
 
 
+@pytest.mark.parametrize("floor", [0, 65, 10**6])
 @pytest.mark.parametrize("slice_width, gap", [("10 minutes", None), ("1 day", None), ("1 hour", "15 minutes")])
-def test_previous_value_equals_plain_lag(spark, slice_width, gap):
+def test_previous_value_equals_plain_lag(spark, slice_width, gap, floor):
     data = moments(10, 200, 400, hot=0.3)
     limit = timedelta(minutes=15) if gap else None
     want, last = [], {}
@@ -167,7 +170,7 @@ def test_previous_value_equals_plain_lag(spark, slice_width, gap):
         want.append((i, None if before is None or (limit and before[0] < t - limit) else before[1]))
         last[k] = (t, i)
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, i int").repartition(4)
-    got = previous_value(df, ["k"], ["t", "i"], "i", "before", slice_width, gap)
+    got = previous_value(df, ["k"], ["t", "i"], "i", "before", slice_width, gap, floor)
     assert rows(got, "i", "before") == sorted(want, key=repr)
 
 
@@ -189,6 +192,16 @@ def test_frequency_lookup_bounds_its_broadcast(spark):
         attach_by_frequency(df, frequency(df, "k", "n"), "k", "n", 1e-9)
 
 
+def test_heavy_keys_need_both_rows_and_share(spark):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [(None,)] * 5, "k string")
+    assert rows(heavy_keys(df, ["k"], floor=4), "k") == sorted([("a",), (None,)], key=repr)
+    assert rows(heavy_keys(df, ["k"], share=0.4, floor=0), "k") == [("a",)]
+    marked = mark_heavy(df, heavy_keys(df, ["k"], floor=4), ["k"], "hot")
+    assert marked.where("hot").count() == 11 and marked.count() == 14
+    with pytest.raises(ValueError):
+        heavy_keys(df, ["k"], share=1e-9)
+
+
 def test_evaluate_counts_and_empty_denominators(spark):
     df = spark.createDataFrame([(2, True), (2, False), (0, True), (0, False)], "score int, label boolean")
     row = evaluate(df, "score", "label").first()
