@@ -23,16 +23,37 @@ def same_keys(left: str, right: str, keys: Sequence[str], null_safe: bool = Fals
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = MIN_SHARE, floor: int = FLOOR_ROWS) -> DataFrame:
-    """Keys with more than ``floor`` rows and more than ``share`` of all rows: at most ``1 / share``."""
+    """Keys with more than ``floor`` rows and more than ``share`` of all rows, with their ``rows``.
+
+    At most ``1 / share`` keys can qualify.
+    """
     if not MIN_SHARE <= share <= 1:
         raise ValueError(f"share lies between {MIN_SHARE} and 1, as 1 / share bounds the result")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.select(F.sum("__n")).scalar()
-    return counts.where((F.col("__n") > floor) & (F.col("__n") > share * total)).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    total = counts.select(F.sum("rows")).scalar()
+    return counts.where((F.col("rows") > floor) & (F.col("rows") > share * total))
 
 
 def mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Adds the boolean ``out``; ``heavy`` is broadcast, as :func:`heavy_keys` bounds its size."""
-    found = heavy.select(*keys, F.lit(True).alias("__found"))
-    joined = df.alias("d").join(F.broadcast(found).alias("h"), same_keys("d", "h", keys, null_safe=True), "left")
-    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.coalesce("h.__found", F.lit(False)).alias(out))
+    """Adds ``out``: the row count of a heavy key, NULL for any other key.
+
+    ``heavy`` is broadcast, as :func:`heavy_keys` bounds its size.
+    """
+    joined = df.alias("d").join(F.broadcast(heavy).alias("h"), same_keys("d", "h", keys, null_safe=True), "left")
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("h.rows").alias(out))
+
+
+def salts_of(rows: Column, most: int, floor: int = FLOOR_ROWS) -> Column:
+    """How many salts a key with that many rows is split over; ordinary keys (NULL) get one."""
+    wanted = F.least(F.lit(most), F.ceil(rows / F.lit(max(floor, 1)))).cast("int")
+    return F.coalesce(wanted, F.lit(1))
+
+
+def row_salt(df: DataFrame, salts: Column) -> Column:
+    """One salt below ``salts`` per row; the partition id spreads exact copies of a row as well."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), salts).cast("int")
+
+
+def every_salt(salts: Column) -> Column:
+    """All salts below ``salts``, as an array to explode."""
+    return F.sequence(F.lit(0), salts - 1)

@@ -14,22 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.clock import bucket_start, shift
-from sieveline.operators.heavy import FLOOR_ROWS, heavy_keys, mark_heavy, same_keys
+from sieveline.operators.heavy import (
+    FLOOR_ROWS,
+    every_salt,
+    heavy_keys,
+    mark_heavy,
+    row_salt,
+    salts_of,
+    same_keys,
+)
 
 _BIN, _SALT = "__bin", "__salt"
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    """One salt per row; the partition id spreads exact copies of a row as well."""
-    if salts == 1:
-        return F.lit(0)
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
-
-
-def _all_salts(salts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-
-
 def interval_join(
     starts: DataFrame,
     points: DataFrame,
@@ -39,32 +36,40 @@ def interval_join(
     keys: Sequence[str] = (),
     salts: int = 1,
     replicate: str = "starts",
+    floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Inner join of ``starts`` with the ``points`` in ``[start, start + within]``.
 
     ``keys`` are equi-join columns of both sides (kept once; NULL matches nothing);
-    all other column names must differ.  The ``replicate`` side, best the smaller one,
-    is copied to the second bin and to every salt; rows of the other side go to exactly
-    one bin and salt.  With no keys the bin is the only equi key and ``salts`` should be
-    raised so that busy bins spread over several tasks.
+    all other column names must differ.  The ``replicate`` side, best the smaller one, is
+    copied to the second bin; rows of the other side go to exactly one.  With ``salts``
+    above 1, heavy keys of that other side (heavy bins, if there are no keys) are split
+    over up to so many salts, to which only their partners are copied.
     """
     if replicate not in ("starts", "points"):
         raise ValueError("replicate is 'starts' or 'points'")
     copy_starts = replicate == "starts"
-
-    def placed(df: DataFrame, ts: str, copied: bool, step: int) -> DataFrame:
-        # The salt reads the partition id, so it must not share a projection with a generator.
-        out = df if copied else df.withColumn(_SALT, _row_salt(df, salts))
-        out = out.withColumn(_BIN, bucket_start(ts, within))
-        if copied:
-            out = out.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
-            out = out.withColumn(_SALT, _all_salts(salts)) if salts > 1 else out.withColumn(_SALT, F.lit(0))
-        return out
-
-    left = placed(starts, start, copy_starts, 1)
-    right = placed(points, point, not copy_starts, -1)
+    copied, copied_ts, step = (starts, start, 1) if copy_starts else (points, point, -1)
+    single, single_ts = (points, point) if copy_starts else (starts, start)
+
+    first = copied.withColumn(_BIN, bucket_start(copied_ts, within))
+    copied = first.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
+    single = single.withColumn(_BIN, bucket_start(single_ts, within))
+    equi = [*keys, _BIN]
+    if salts > 1:
+        group = list(keys) or [_BIN]
+        heavy = heavy_keys(single.select(*group), group, floor=floor)
+        copied = mark_heavy(copied, heavy, group, "__rows").withColumn(
+            _SALT, F.explode(every_salt(salts_of(F.col("__rows"), salts, floor)))
+        )
+        single = single.withColumn("__spread", row_salt(single, F.lit(2**31 - 1)))
+        single = mark_heavy(single, heavy, group, "__rows").withColumn(
+            _SALT, F.pmod("__spread", salts_of(F.col("__rows"), salts, floor))
+        )
+        equi.append(_SALT)
+    left, right = (copied, single) if copy_starts else (single, copied)
     in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
-    joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range)
+    joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range)
     kept_right = [F.col(f"r.{c}") for c in points.columns if c not in keys]
     return joined.select(*[F.col(f"l.{c}") for c in starts.columns], *kept_right)
 
@@ -107,19 +112,20 @@ def lookback_join(
     exactly once and a matched one leaves no empty row behind.
     """
     keys = list(keys)
-    heavy = heavy_keys(points, keys, floor=floor)
-    marked_points = mark_heavy(points, heavy, keys, "__heavy")
-    busy = marked_points.where("__heavy")
-    binned = mark_heavy(anchors, heavy, keys, "__heavy").withColumn(_BIN, bucket_start(anchor, lookback))
+    heavy = heavy_keys(points.select(*keys), keys, floor=floor)
+    marked_points = mark_heavy(points, heavy, keys, "__rows")
+    busy = marked_points.where(F.col("__rows").isNotNull())
+    binned = mark_heavy(anchors, heavy, keys, "__rows").withColumn(_BIN, bucket_start(anchor, lookback))
     flagged = _with_bounds(binned, busy, anchor, point, lookback, keys)
 
+    is_heavy, width = F.col("__rows").isNotNull(), salts_of(F.col("__rows"), salts, floor)
     matched = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
         F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
     )
-    copies = F.when(F.col("__heavy") & matched, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted = flagged.withColumn("__matched", F.col("__heavy") & matched).withColumn(_SALT, F.explode(copies))
-
-    placed = marked_points.withColumn(_SALT, F.when(F.col("__heavy"), _row_salt(points, salts)).otherwise(F.lit(0)))
+    salted = flagged.withColumn("__matched", is_heavy & matched).withColumn(
+        _SALT, F.explode(F.when(F.col("__matched"), every_salt(width)).otherwise(F.array(F.lit(0))))
+    )
+    placed = marked_points.withColumn(_SALT, F.when(is_heavy, row_salt(points, width)).otherwise(F.lit(0)))
     placed = placed.withColumn(_BIN, bucket_start(point, lookback))
     placed = placed.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), lookback))))
     in_range = F.col(f"r.{point}").between(shift(F.col(f"l.{anchor}"), lookback, -1), F.col(f"l.{anchor}"))
@@ -165,14 +171,15 @@ def first_match_after(
         points.select(*keys, F.col(point).alias("__t"), F.lit(None).cast(anchor_type).alias("__anchor"), point_row)
     )
     instants = tagged.groupBy(*keys, "__t").agg(F.min("__anchor").alias("__anchor"), F.min("__point").alias("__point"))
-    instants = mark_heavy(instants, heavy_keys(tagged.select(*keys), keys, floor=floor), keys, "__heavy")
-    instants = instants.withColumn("__slice", F.when(F.col("__heavy"), bucket_start("__t", slice_width)))
+    instants = mark_heavy(instants, heavy_keys(tagged.select(*keys), keys, floor=floor), keys, "__rows")
+    is_heavy = F.col("__rows").isNotNull()
+    instants = instants.withColumn("__slice", F.when(is_heavy, bucket_start("__t", slice_width)))
 
     # Descending order turns "next point" into a running last value.
     nearest = Window.partitionBy(*keys, "__slice").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
     within_slice = instants.withColumn("__near", F.last("__point", ignorenulls=True).over(nearest))
 
-    slices = instants.where("__heavy").groupBy(*keys, "__slice").agg(F.min("__point").alias("__first"))
+    slices = instants.where(is_heavy).groupBy(*keys, "__slice").agg(F.min("__point").alias("__first"))
     later = Window.partitionBy(*keys).orderBy(F.desc("__slice")).rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.select(*keys, "__slice", F.last("__first", ignorenulls=True).over(later).alias("__far"))
 

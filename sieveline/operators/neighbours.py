@@ -31,13 +31,14 @@ def previous_value(
     keys, order = list(keys), list(order)
     ts = order[0]
     previous = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
-    marked = mark_heavy(df, heavy_keys(df.select(*keys), keys, floor=floor), keys, "__heavy")
-    sliced = marked.withColumn("__slice", F.when(F.col("__heavy"), bucket_start(ts, slice_width)))
+    marked = mark_heavy(df, heavy_keys(df.select(*keys), keys, floor=floor), keys, "__rows")
+    is_heavy = F.col("__rows").isNotNull()
+    sliced = marked.withColumn("__slice", F.when(is_heavy, bucket_start(ts, slice_width)))
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
     near = sliced.withColumn("__near", F.lag(previous).over(inside))
 
     newest = F.max(F.struct(*[F.col(c) for c in order], previous.alias("__row")))["__row"]
-    ends = sliced.where("__heavy").groupBy(*keys, "__slice").agg(newest.alias("__last"))
+    ends = sliced.where(is_heavy).groupBy(*keys, "__slice").agg(newest.alias("__last"))
     across = Window.partitionBy(*keys).orderBy("__slice")
     carried = ends.select(*keys, "__slice", F.lag("__last").over(across).alias("__far"))
 

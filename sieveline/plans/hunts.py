@@ -15,9 +15,9 @@ ROLE_GRANTED = ("role_grant", "sys_user_has_role_insert")
 PASSWORD_RESET = ("password_reset", "account_recovery")
 IDENTITY_CHANGES = ("user_create", "role_grant", "password_reset")
 
-# Joins on time alone have no entity to spread rows by, so busy bins are salted harder.
-TIME_ONLY_SALTS = 8
-KEYED_SALTS = 4
+# Most salts of one heavy group: whole time bins can be far busier than one entity's bins.
+TIME_ONLY_SALTS = 1024
+KEYED_SALTS = 16
 
 
 def _events(audit: DataFrame, kinds: Sequence[str]) -> DataFrame:

@@ -157,7 +157,7 @@ def _parsed_times(t: Telemetry) -> DataFrame:
 def _keyed_interval(t: Telemetry) -> DataFrame:
     errors = t.table("events").where(F.col("event_type") == "error").select("user_id", F.col("ts").alias("error_ts"))
     bought = t.table("events").where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("purchase_ts"))
-    return interval_join(errors, bought, "error_ts", "purchase_ts", "6 hours", keys=["user_id"], salts=4)
+    return interval_join(errors, bought, "error_ts", "purchase_ts", "6 hours", keys=["user_id"], salts=16)
 
 
 def _previous_event(t: Telemetry) -> DataFrame:

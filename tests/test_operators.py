@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from sieveline.operators.baseline import group_zscore
 from sieveline.operators.confusion import evaluate
-from sieveline.operators.heavy import heavy_keys, mark_heavy
 from sieveline.operators.firsts import distinct_entities, first_seen
+from sieveline.operators.heavy import heavy_keys, mark_heavy
 from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
 from sieveline.operators.neighbours import previous_value
@@ -77,14 +77,14 @@ def test_first_seen_ignores_null_keys(spark):
 
 
 @pytest.mark.parametrize("replicate", ["starts", "points"])
-@pytest.mark.parametrize("salts", [1, 4])
-def test_interval_join_equals_plain_join(spark, replicate, salts):
+@pytest.mark.parametrize("salts, floor", [(1, 0), (4, 0), (4, 30), (4, 10**6)])
+def test_interval_join_equals_plain_join(spark, replicate, salts, floor):
     left, right = moments(2, 80, 300, hot=0.3), moments(3, 120, 300, hot=0.3)
     within = timedelta(minutes=20)
     want = sorted((a[2], b[2]) for a in left for b in right if a[0] is not None and a[0] == b[0] and a[1] <= b[1] <= a[1] + within)
     starts = spark.createDataFrame(left, "k string, s timestamp_ntz, i int")
     points = spark.createDataFrame(right, "k string, p timestamp_ntz, j int").repartition(3)
-    got = interval_join(starts, points, "s", "p", "20 minutes", ["k"], salts, replicate)
+    got = interval_join(starts, points, "s", "p", "20 minutes", ["k"], salts, replicate, floor)
     assert got.columns == ["k", "s", "i", "p", "j"]
     assert sorted((r.i, r.j) for r in got.collect()) == want
 
@@ -95,7 +95,7 @@ def test_interval_join_on_time_alone(spark, replicate):
     want = sorted((a[2], b[2]) for a in left for b in right if a[1] <= b[1] <= a[1] + timedelta(minutes=30))
     starts = spark.createDataFrame(left, "k string, s timestamp, i int").drop("k")
     points = spark.createDataFrame(right, "k string, p timestamp, j int").drop("k")
-    got = interval_join(starts, points, "s", "p", "30 minutes", salts=3, replicate=replicate)
+    got = interval_join(starts, points, "s", "p", "30 minutes", salts=3, replicate=replicate, floor=10)
     assert sorted((r.i, r.j) for r in got.collect()) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -194,10 +194,10 @@ def test_frequency_lookup_bounds_its_broadcast(spark):
 
 def test_heavy_keys_need_both_rows_and_share(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [(None,)] * 5, "k string")
-    assert rows(heavy_keys(df, ["k"], floor=4), "k") == sorted([("a",), (None,)], key=repr)
+    assert rows(heavy_keys(df, ["k"], floor=4), "k", "rows") == sorted([("a", 6), (None, 5)], key=repr)
     assert rows(heavy_keys(df, ["k"], share=0.4, floor=0), "k") == [("a",)]
     marked = mark_heavy(df, heavy_keys(df, ["k"], floor=4), ["k"], "hot")
-    assert marked.where("hot").count() == 11 and marked.count() == 14
+    assert marked.where("hot IS NOT NULL").count() == 11 and marked.count() == 14
     with pytest.raises(ValueError):
         heavy_keys(df, ["k"], share=1e-9)
 
