@@ -9,10 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.functions.hosts import last_label, url_host
 from sieveline.plans.features import DomainHeuristics, with_dns_features, with_transition_edges
 
 # Heuristic settings that separate the hosts of the benchmark pages.
@@ -61,10 +60,6 @@ ROLES = {
 WITHOUT_EDGES = ("q20_top_suspicious_domains", "q22_exposed_accounts", "q23_heuristic_breakdown", "q24_dns_rollup")
 
 
-def _choose(key: Column, *labels: str) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), (F.pmod(key, F.lit(len(labels))) + 1).cast("int"))
-
-
 class Telemetry:
     """Telemetry views of one benchmark directory."""
 
@@ -80,96 +75,101 @@ class Telemetry:
     @cached_property
     def requests(self) -> DataFrame:
         """``llm_requests``: events, with the customer's nation as the organisation."""
-        nation = self.table("customer").select("c_custkey", F.col("c_nationkey").cast("bigint").alias("org_id"))
-        events = self.table("events")
-        return events.join(nation, events["user_id"] == nation["c_custkey"]).select(
-            F.col("event_id").alias("request_id"),
-            "ts", "org_id",
-            F.col("user_id").alias("account_id"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("asn"),
-            (F.col("event_id") % 40).alias("device_fingerprint"),
-            (F.col("event_id") % 200).alias("template_hash"),
-            F.col("event_type").alias("content_cluster_id"),
-            (F.col("value") > 100).alias("is_automation_suspected"),
-            "event_type", "value",
+        nation = self.table("customer").selectExpr("c_custkey AS user_id", "CAST(c_nationkey AS BIGINT) AS org_id")
+        return self.table("events").join(nation, "user_id").selectExpr(
+            "event_id AS request_id",
+            "ts",
+            "org_id",
+            "user_id AS account_id",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS asn",
+            "event_id % 40 AS device_fingerprint",
+            "event_id % 200 AS template_hash",
+            "event_type AS content_cluster_id",
+            "value > 100 AS is_automation_suspected",
+            "event_type",
+            "value",
         )
 
     @cached_property
     def coarse_requests(self) -> DataFrame:
         """``requests`` with few devices and templates, so that five-part keys repeat."""
-        return self.requests.withColumns(
-            {"device_fingerprint": F.col("request_id") % 2, "template_hash": F.col("request_id") % 4}
+        kept = [c for c in self.requests.columns if c not in ("device_fingerprint", "template_hash")]
+        return self.requests.selectExpr(
+            *kept, "request_id % 2 AS device_fingerprint", "request_id % 4 AS template_hash"
         )
 
     @cached_property
     def enrichment(self) -> DataFrame:
         """``enrichment_ip``: one row per distinct network number of the events."""
-        networks = self.table("events").select(F.get_json_object("props", "$.k").cast("bigint").alias("asn")).distinct()
-        asn = F.col("asn")
-        return networks.select(
+        networks = self.table("events").selectExpr("CAST(get_json_object(props, '$.k') AS BIGINT) AS asn").distinct()
+        return networks.selectExpr(
             "asn",
-            asn.cast("string").alias("ip"),
-            _choose(asn, "hosting", "vpn", "residential", "corporate").alias("asn_type"),
-            _choose(asn, "cloud", "edge", "isp").alias("provider_category"),
-            F.concat(F.lit("p"), (asn % 16).cast("string")).alias("provider_brand_bucket"),
+            "CAST(asn AS STRING) AS ip",
+            "CASE asn % 4 WHEN 0 THEN 'hosting' WHEN 1 THEN 'vpn' WHEN 2 THEN 'residential' ELSE 'corporate' END AS asn_type",
+            "CASE asn % 3 WHEN 0 THEN 'cloud' WHEN 1 THEN 'edge' ELSE 'isp' END AS provider_category",
+            "concat('p', asn % 16) AS provider_brand_bucket",
         )
 
     @cached_property
     def devices(self) -> DataFrame:
         """``devices``: every second fingerprint is known."""
-        device = F.col("device_fingerprint")
-        known = self.table("events").select((F.col("event_id") % 40).alias("device_fingerprint")).distinct()
-        return known.where(device % 2 == 0).select(
+        known = self.table("events").selectExpr("event_id % 40 AS device_fingerprint").distinct()
+        return known.where("device_fingerprint % 2 = 0").selectExpr(
             "device_fingerprint",
-            (device % 3 == 0).alias("is_headless"),
-            _choose(device, "chrome", "firefox", "safari").alias("browser_family"),
-            _choose(device, "linux", "mac", "windows", "android", "ios").alias("os_family"),
+            "device_fingerprint % 3 = 0 AS is_headless",
+            "element_at(array('chrome', 'firefox', 'safari'), int(device_fingerprint % 3 + 1)) AS browser_family",
+            "element_at(array('linux', 'mac', 'windows', 'android', 'ios'), int(device_fingerprint % 5 + 1)) AS os_family",
         )
 
     @cached_property
     def moderation(self) -> DataFrame:
-        value = F.col("value")
-        action = F.when(value > 200, "block").when(value > 100, "warn").otherwise("allow")
-        return self.requests.select("request_id", "ts", action.alias("policy_action"))
+        """``moderation_events``: one outcome per request, by event value."""
+        return self.requests.selectExpr(
+            "request_id",
+            "ts",
+            "CASE WHEN value > 200 THEN 'block' WHEN value > 100 THEN 'warn' ELSE 'allow' END AS policy_action",
+        )
 
     @cached_property
     def rate_limits(self) -> DataFrame:
-        limited = self.requests.where(F.col("value") > 150)
-        return limited.select(
-            "ts", "asn",
-            F.when(F.col("asn") < 35, F.lit("")).otherwise(F.col("account_id").cast("string")).alias("account_id"),
-            F.when(F.col("event_type") == "error", "temporary_block").otherwise("throttle").alias("enforcement_action"),
+        """``rate_limit_events``: high-value requests; low network numbers are limited as a whole."""
+        return self.requests.where("value > 150").selectExpr(
+            "ts",
+            "asn",
+            "CASE WHEN asn < 35 THEN '' ELSE CAST(account_id AS STRING) END AS account_id",
+            "CASE WHEN event_type = 'error' THEN 'temporary_block' ELSE 'throttle' END AS enforcement_action",
         )
 
     @cached_property
     def identity(self) -> DataFrame:
         """``identity_events``: event kinds stand for sign-ins and persistence steps."""
-        kind, network = F.col("event_type"), F.col("asn")
-        attack = F.col("value") > 100
-        return self.requests.select(
-            "ts", "org_id", "account_id",
-            network.cast("string").alias("ip"),
-            "asn", "device_fingerprint",
-            F.concat(F.lit("agent/"), (F.col("request_id") % 5).cast("string")).alias("user_agent"),
-            F.when(kind.isin("error", "click", "view"), "auth.signin")
-            .when(kind == "signup", "auth.mfa.add")
-            .when(network % 2 == 0, "mailbox.rule.create")
-            .otherwise("oauth.consent.grant")
-            .alias("event_type"),
-            F.when(kind == "error", "failure").when(kind.isin("click", "view"), "success").otherwise("").alias("outcome"),
-            F.when(attack, F.concat(F.lit("c"), (F.col("request_id") % 7).cast("string"))).otherwise("").alias("campaign_id"),
-            attack.alias("is_attack"),
+        return self.requests.selectExpr(
+            "ts",
+            "org_id",
+            "account_id",
+            "CAST(asn AS STRING) AS ip",
+            "asn",
+            "device_fingerprint",
+            "concat('agent/', request_id % 5) AS user_agent",
+            "CASE WHEN event_type IN ('error', 'click', 'view') THEN 'auth.signin' WHEN event_type = 'signup' THEN "
+            "'auth.mfa.add' WHEN asn % 2 = 0 THEN 'mailbox.rule.create' ELSE 'oauth.consent.grant' END AS event_type",
+            "CASE WHEN event_type = 'error' THEN 'failure' WHEN event_type IN ('click', 'view') THEN 'success' "
+            "ELSE '' END AS outcome",
+            "CASE WHEN value > 100 THEN concat('c', request_id % 7) ELSE '' END AS campaign_id",
+            "value > 100 AS is_attack",
         )
 
     @cached_property
     def sessions(self) -> DataFrame:
         """``sessions``: clicks and views; sessions of every 11th account lack an address."""
-        return self.requests.where(F.col("event_type").isin("click", "view")).select(
-            F.col("request_id").alias("session_id"),
-            "account_id", "org_id",
-            F.col("ts").alias("start_ts"),
-            F.when(F.col("account_id") % 11 != 0, F.col("asn").cast("string")).alias("ip"),
-            "asn", "device_fingerprint",
+        return self.requests.where("event_type IN ('click', 'view')").selectExpr(
+            "request_id AS session_id",
+            "account_id",
+            "org_id",
+            "ts AS start_ts",
+            "CASE WHEN account_id % 11 != 0 THEN CAST(asn AS STRING) END AS ip",
+            "asn",
+            "device_fingerprint",
         )
 
     @cached_property
@@ -177,13 +177,18 @@ class Telemetry:
         """Raw DNS queries: each request visits one page, pages taken in turn."""
         pages = self.table("pages")
         n_pages = pages.select(F.count(F.lit(1))).scalar()
-        visited = pages.select("page_id", url_host(F.col("url")).alias("host_raw"))
+        visited = pages.selectExpr("page_id", "split_part(url, '/', 3) AS host_raw")
         requests = self.requests.withColumn("page_id", F.col("request_id") % n_pages)
-        return requests.join(visited, "page_id").select(
-            "ts", "request_id", "org_id", "account_id", "device_fingerprint", "host_raw",
-            F.col("host_raw").alias("base_domain"),
-            last_label(F.col("host_raw")).alias("tld"),
-            (F.col("event_type") == "error").alias("is_malicious"),
+        return requests.join(visited, "page_id").selectExpr(
+            "ts",
+            "request_id",
+            "org_id",
+            "account_id",
+            "device_fingerprint",
+            "host_raw",
+            "host_raw AS base_domain",
+            "substring_index(host_raw, '.', -1) AS tld",
+            "event_type = 'error' AS is_malicious",
         )
 
     @cached_property
@@ -199,84 +204,80 @@ class Telemetry:
 
     @cached_property
     def audit(self) -> DataFrame:
-        """``k8s_audit_logs``: orders as pod events."""
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        external = F.col("o_orderstatus") == "F"
-        labelled = F.col("o_totalprice") > 200000
-        host = F.when(external, _choose(key, "docker.io", "ghcr.io", "quay.io")).otherwise("registry.internal")
-        return self.table("orders").select(
-            (F.col("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"))).alias("timestamp"),
-            F.when(F.col("o_orderstatus") == "P", "pod_delete").otherwise("pod_create").alias("event_type"),
-            F.col("o_orderpriority").alias("namespace"),
-            F.concat(F.lit("pod-"), key.cast("string")).alias("pod_name"),
-            key.alias("pod_id"),
-            F.concat(_choose(customer, "10", "10", "185"), F.lit(".0.0."), (customer % 5).cast("string")).alias("source_ip"),
-            F.concat(F.lit("sa-"), (customer % 20).cast("string")).alias("service_account"),
-            F.concat(host, F.lit("/img"), (key % 4).cast("string")).alias("container_image"),
-            F.when(external, "external").otherwise("internal").alias("registry_type"),
-            (key % 8 + 1).cast("double").alias("resource_requests_cpu"),
-            F.when(external, (key % 4).cast("double")).alias("resource_requests_gpu"),
-            F.when(key % 17 == 0, 403).otherwise(201).cast("bigint").alias("response_code"),
-            labelled.alias("is_malicious"),
-            F.when(labelled, F.concat(F.lit("chain-"), (key % 50).cast("string"))).alias("attack_chain_id"),
+        """``k8s_audit_logs``: orders as pod events; finished ones use external images."""
+        external = "o_orderstatus = 'F'"
+        labelled = "o_totalprice > 200000"
+        return self.table("orders").selectExpr(
+            "o_orderdate + make_dt_interval(0, int(o_orderkey % 24)) AS timestamp",
+            "CASE WHEN o_orderstatus = 'P' THEN 'pod_delete' ELSE 'pod_create' END AS event_type",
+            "o_orderpriority AS namespace",
+            "concat('pod-', o_orderkey) AS pod_name",
+            "o_orderkey AS pod_id",
+            "concat(CASE WHEN o_custkey % 3 = 2 THEN '185' ELSE '10' END, '.0.0.', o_custkey % 5) AS source_ip",
+            "concat('sa-', o_custkey % 20) AS service_account",
+            f"concat(CASE WHEN NOT {external} THEN 'registry.internal' WHEN o_orderkey % 3 = 0 THEN 'docker.io' "
+            "WHEN o_orderkey % 3 = 1 THEN 'ghcr.io' ELSE 'quay.io' END, '/img', o_orderkey % 4) AS container_image",
+            f"CASE WHEN {external} THEN 'external' ELSE 'internal' END AS registry_type",
+            "CAST(o_orderkey % 8 + 1 AS DOUBLE) AS resource_requests_cpu",
+            f"CASE WHEN {external} THEN CAST(o_orderkey % 4 AS DOUBLE) END AS resource_requests_gpu",
+            "CASE WHEN o_orderkey % 17 = 0 THEN 403L ELSE 201L END AS response_code",
+            f"{labelled} AS is_malicious",
+            f"CASE WHEN {labelled} THEN concat('chain-', o_orderkey % 50) END AS attack_chain_id",
         )
 
-    def _pods(self) -> list[Column]:
-        key = F.col("l_orderkey")
-        labelled = F.col("l_returnflag") == "R"
-        return [
-            (F.col("l_shipdate") + F.make_dt_interval(hours=(F.col("l_linenumber") * 5).cast("int"))).alias("timestamp"),
-            F.concat(F.lit("ns-"), (key % 5).cast("string")).alias("namespace"),
-            key.alias("pod_id"),
-            F.concat(F.lit("pod-"), key.cast("string")).alias("pod_name"),
-            labelled.alias("is_malicious"),
-            F.when(labelled, F.concat(F.lit("chain-"), (key % 50).cast("string"))).alias("attack_chain_id"),
-        ]
+    def _lines(self, *columns: str) -> DataFrame:
+        return self.table("lineitem").selectExpr(
+            "l_shipdate + make_dt_interval(0, l_linenumber * 5) AS timestamp",
+            "concat('ns-', l_orderkey % 5) AS namespace",
+            "l_orderkey AS pod_id",
+            "concat('pod-', l_orderkey) AS pod_name",
+            "l_returnflag = 'R' AS is_malicious",
+            "CASE WHEN l_returnflag = 'R' THEN concat('chain-', l_orderkey % 50) END AS attack_chain_id",
+            *columns,
+        )
 
     @cached_property
     def metrics(self) -> DataFrame:
         """``resource_metrics``: order lines as samples."""
-        return self.table("lineitem").select(
-            *self._pods(),
-            F.col("l_quantity").cast("bigint").alias("cpu_cores_used"),
-            F.round(F.col("l_tax") * 100).cast("bigint").alias("memory_gb_used"),
-            F.round(F.col("l_discount") * 1000).cast("bigint").alias("gpu_utilization_pct"),
+        return self._lines(
+            "CAST(l_quantity AS BIGINT) AS cpu_cores_used",
+            "CAST(round(l_tax * 100) AS BIGINT) AS memory_gb_used",
+            "CAST(round(l_discount * 1000) AS BIGINT) AS gpu_utilization_pct",
         )
 
     @cached_property
     def flows(self) -> DataFrame:
         """``network_flows``: order lines as connections, returned lines as pool traffic."""
-        price = F.col("l_extendedprice")
-        return self.table("lineitem").select(
-            *self._pods(),
-            F.concat(F.lit("host-"), F.col("l_suppkey").cast("string")).alias("dst_host"),
-            (F.col("l_suppkey") % 4 + 3333).alias("dst_port"),
-            F.round(price * 100000).cast("bigint").alias("bytes_sent"),
-            F.round(price * 100).cast("bigint").alias("bytes_received"),
-            (F.col("l_quantity") * 60).cast("bigint").alias("connection_duration_sec"),
-            (F.col("l_returnflag") == "R").alias("is_mining_pool"),
+        return self._lines(
+            "concat('host-', l_suppkey) AS dst_host",
+            "l_suppkey % 4 + 3333 AS dst_port",
+            "CAST(round(l_extendedprice * 100000) AS BIGINT) AS bytes_sent",
+            "CAST(round(l_extendedprice * 100) AS BIGINT) AS bytes_received",
+            "CAST(l_quantity * 60 AS BIGINT) AS connection_duration_sec",
+            "l_returnflag = 'R' AS is_mining_pool",
         )
 
     @cached_property
     def agent_sessions(self) -> DataFrame:
-        return self.table("events").where(F.col("event_type") == "click").select(
-            F.col("event_id").alias("session_id"),
-            F.col("user_id").alias("user_email"),
-            F.col("ts").alias("started_at"),
-            _choose(F.col("event_id"), "virtual_agent", "now_assist", "portal").alias("source"),
+        """``agent_sessions``: clicks."""
+        return self.table("events").where("event_type = 'click'").selectExpr(
+            "event_id AS session_id",
+            "user_id AS user_email",
+            "ts AS started_at",
+            "element_at(array('virtual_agent', 'now_assist', 'portal'), int(event_id % 3 + 1)) AS source",
         )
 
     @cached_property
     def audit_events(self) -> DataFrame:
-        kind = F.col("event_type")
-        return self.table("events").where(kind.isin("signup", "purchase", "error")).select(
-            F.col("ts").alias("event_time"),
-            F.when(kind == "signup", "user_create").when(kind == "purchase", "role_grant")
-            .otherwise("password_reset").alias("event_type"),
-            F.concat(F.lit("actor"), (F.col("event_id") % 10).cast("string")).alias("actor"),
-            F.col("user_id").alias("target"),
-            F.col("user_id").alias("target_email"),
-            F.col("props").alias("details_json"),
+        """``audit_events``: sign-ups create users, purchases grant roles, errors reset passwords."""
+        return self.table("events").where("event_type IN ('signup', 'purchase', 'error')").selectExpr(
+            "ts AS event_time",
+            "CASE event_type WHEN 'signup' THEN 'user_create' WHEN 'purchase' THEN 'role_grant' "
+            "ELSE 'password_reset' END AS event_type",
+            "concat('actor', event_id % 10) AS actor",
+            "user_id AS target",
+            "user_id AS target_email",
+            "props AS details_json",
         )
 
     def lazy_sources(self, detection: str = "") -> Mapping[str, DataFrame]:
