@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sieveline.operators.baseline import group_zscore
 from sieveline.operators.confusion import evaluate
 from sieveline.operators.firsts import distinct_entities, first_seen
-from sieveline.operators.heavy import heavy_keys, mark_heavy
+from sieveline.operators.heavy import heavy_keys, mark_heavy, salts_of
 from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
 from sieveline.operators.neighbours import previous_value
@@ -202,6 +202,11 @@ def test_heavy_keys_need_both_rows_and_share(spark):
         heavy_keys(df, ["k"], share=1e-9)
 
 
+def test_salts_grow_with_rows_and_stay_one_for_ordinary_keys(spark):
+    df = spark.createDataFrame([(None,), (150,), (5000,)], "rows long")
+    assert [r.s for r in df.select(salts_of(F.col("rows"), 16, 100).alias("s")).collect()] == [1, 2, 16]
+
+
 def test_evaluate_counts_and_empty_denominators(spark):
     df = spark.createDataFrame([(2, True), (2, False), (0, True), (0, False)], "score int, label boolean")
     row = evaluate(df, "score", "label").first()
