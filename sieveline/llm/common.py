@@ -41,3 +41,18 @@ def word_count(text: Column) -> Column:
 def is_held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; a missing id counts as the text ``null``."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % folds == fold
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_class`` documents of each class that are not held out.
+
+    Which ones is settled by a digest of the id.  Null ids, null labels and labels other than 0 and 1 are left out; where an id
+    has several labels the larger counts, where it has several rows the text with the smallest hash.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~is_held_out(F.col("doc_id"), folds, held_out))
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    place = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    chosen = [known.where(F.col("label") == c).orderBy(place, "doc_id").limit(per_class) for c in (0, 1)]
+    ids = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * per_class rows at most
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
