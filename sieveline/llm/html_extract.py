@@ -185,11 +185,16 @@ def varied(blocks: list[Block], labels: list[int], spare: list[str], draw: np.ra
     top = ("html", "body")
     for _ in range(draw.integers(0, 3)):
         junk(top, draw.integers(1, 6))
+    form, left = (), 0
     for (text, path, links), label in zip(blocks, labels):
+        if left == 0 and draw.random() < 0.12:
+            form, left = FORMS[draw.integers(len(FORMS)) if draw.random() < 0.6 else draw.integers(2)], draw.integers(1, 7)
         if rename and label:
             path = tuple(x for t in path for x in (outer if t in ("article", "main") else (t,)))
-        if label and path[-1:] == ("p",) and draw.random() < 0.2:
-            path = (*path[:-1], *FORMS[draw.integers(len(FORMS))])
+        if label and left:
+            left -= 1
+            if path[-1:] == ("p",):
+                path = (*path[:-1], *form)
         if draw.random() < 0.1:
             path = tuple(t for t in path if t[0] not in ".#@")
         out.append((text, path, links))
