@@ -10,9 +10,11 @@ windows.  A group leaves at most a few windows part empty.  Window ids carry the
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +26,7 @@ from sieveline.llm.common import read
 WINDOW = 2048
 END_ID = 1
 GROUP = 1 << 17
-#: Words whose ids a task remembers; beyond it the memory starts anew, which changes no ids.
+#: Words whose ids a task remembers, in each of two generations; forgetting changes no ids.
 REMEMBERED = 1 << 18
 
 
@@ -87,31 +89,70 @@ def best_fit_decreasing(lengths: array, ties: list, window: int) -> tuple[list[i
     return windows, offsets, n
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: itself where it prints, else the next from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+_LETTERS = byte_letters()
+
+
+def spelled(word: bytes) -> str | None:
+    """A word of Latin letters (up to U+024F, composed) as the byte-level model reads it, lower case; None for any other word."""
+    if word.isalpha():
+        return word.lower().decode()
+    try:
+        text = word.decode()
+    except UnicodeDecodeError:
+        return None
+    if not text or max(text) >= "\u0250" or not text.isalpha() or not is_normalized("NFC", text):
+        return None
+    text = "".join(map(str.lower, text))
+    return text.encode().decode("latin-1").translate(_LETTERS) if text.isalpha() else None
+
+
+class WordIds(dict):
+    """Ids of words, as little-endian unsigned 32-bit numbers; a word that is not there is read by the tokenizer."""
+
+    def __init__(self, tokenizer, older: dict | None = None):
+        self.tokenizer, self.spell, self.older = tokenizer, tokenizer.model.tokenize, older or {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word[-1:] in b".," and spelled(word[:-1]) is not None:  # letters and a mark are read apart
+                ids = self[word[:-1]] + self[word[-1:]]
+            else:
+                letters = spelled(word)
+                if letters is None:
+                    found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                else:
+                    found = [t.id for t in self.spell(letters)]
+                ids = array("I", found).tobytes()
+        self[word] = ids
+        return ids
+
+
 def word_encoder(path: str) -> Callable[[str], bytes]:
     """Ids of a text as little-endian unsigned 32-bit numbers, by a tokenizer that drops white space and reads word by word.
 
     Words between ASCII white space are looked up one by one, which gives the ids of the whole text; a round trip test holds it.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
+    known = WordIds(Tokenizer.from_file(path))
 
     def encode(text: str) -> bytes:
         nonlocal known
-        words = text.encode("utf-8", "surrogatepass").split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
         if len(known) > REMEMBERED:
-            known = {}
-        new = list({w for w in words if w not in known})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                known[w] = array("I", e.ids).tobytes()
-        return b"".join([known[w] for w in words])
+            known.older = {}
+            known = WordIds(known.tokenizer, known)
+        raw = text.encode("utf-8", "surrogatepass")
+        words = (raw if b"<|" in raw else raw.lower()).split()  # special tokens are told by case, words are not
+        return b"".join(map(known.__getitem__, words))
 
     return encode
 
@@ -137,6 +178,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         id_type: pa.DataType = pa.int64()
 
         def add(to: list[list], doc, start: int, ids: bytes, total: int, sequence: int) -> None:
+            # Ids are held for ``with_ids`` only: the names end before them otherwise.
             for column, value in zip(to, (doc, start, len(ids) // 4, zlib.crc32(ids), total, sequence, 0, ids)):
                 column.append(value)
 
@@ -168,7 +210,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                     next_window += 1
                 if cut < total:
                     add(tails, doc, cut, ids[4 * cut :], total, 0)
-                if len(tails[0]) >= GROUP:
+                if len(tails[0]) >= (GROUP // 16 if with_ids else GROUP):
                     yield pack_tails()
             if rows[0]:
                 yield flush(rows)
