@@ -27,6 +27,7 @@ from sieveline.llm.common import is_held_out, labelled_sample, read
 #: Labelled documents of each class that the model is fitted on, at most.
 PER_CLASS = 1000
 BUCKETS = 1 << 18
+MASK = BUCKETS - 1
 WIDTH = 8
 GRAMS = (3, 4, 5)
 LONGEST = 40
@@ -36,7 +37,7 @@ STEPS = 60
 WORST_OF_TOXIC, WORST_OF_CLEAN = 4, 30
 #: Bucket shares below this are not sped up further: what one text alone holds teaches little.
 FLOOR = 1e-4
-#: Words whose number a task remembers; beyond it the memory starts anew.
+#: Words whose number a task remembers, in each of two generations; forgetting changes no score.
 REMEMBERED = 1 << 18
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -53,11 +54,31 @@ def grams(word: str) -> list[int]:
         parts = [raw[: LONGEST // 2], raw[-LONGEST // 2 :]]
     else:
         parts = [raw]
-    found = [zlib.crc32(raw.encode("utf-8", "surrogatepass"))]
+    found = [zlib.crc32(raw.encode("utf-8", "surrogatepass")) & MASK]
     for part in parts:
-        for n in GRAMS:
-            found += [zlib.crc32(part[i : i + n].encode("utf-8", "surrogatepass")) for i in range(len(part) - n + 1)]
-    return [x % BUCKETS for x in found]
+        if part.isascii():  # bytes are characters then
+            code = part.encode()
+            for n in GRAMS:
+                found += [zlib.crc32(code[i : i + n]) & MASK for i in range(len(code) - n + 1)]
+        else:
+            for n in GRAMS:
+                found += [zlib.crc32(part[i : i + n].encode("utf-8", "surrogatepass")) & MASK for i in range(len(part) - n + 1)]
+    return found
+
+
+class WordNumbers(dict):
+    """What a word adds to the log-odds; a word that is not there is the mean of its n-grams."""
+
+    def __init__(self, number: list[float], older: dict | None = None):
+        self.number, self.older = number, older or {}
+
+    def __missing__(self, word: str) -> float:
+        value = self.older.get(word)
+        if value is None:
+            at = grams(word)
+            value = sum(map(self.number.__getitem__, at)) / len(at)
+        self[word] = value
+        return value
 
 
 def spans(n: int, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
@@ -154,11 +175,8 @@ def calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return scale / spread, offset - scale * middle / spread
 
 
-def worst_logit(words: list[str], number: np.ndarray, known: dict[str, float]) -> float:
-    for w in words:
-        if w not in known:
-            known[w] = float(number[grams(w)].mean())
-    return float(passage_means(np.fromiter((known[w] for w in words), np.float64, len(words))).max())
+def worst_logit(words: list[str], known: WordNumbers) -> float:
+    return float(passage_means(np.fromiter(map(known.__getitem__, words), np.float64, len(words))).max())
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -182,8 +200,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
         model.train(parts, np.array(part_labels), np.array(part_weight), STEPS)
     number = model.bucket()
     judged = np.flatnonzero(unseen) if len(set(labels[unseen])) == 2 else fitted
-    known: dict[str, float] = {}
-    logits = np.array([worst_logit(words_of(texts[i]), number, known) for i in judged])
+    known = WordNumbers(number.tolist())
+    logits = np.array([worst_logit(words_of(texts[i]), known) for i in judged])
     scale, offset = calibrated(logits, labels[judged])
     return number * scale, offset
 
@@ -207,13 +225,14 @@ def with_scores(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, offset = shared.value
-        known: dict[str, float] = {}
+        known = WordNumbers(number.tolist())
 
         def score(text: str | None) -> float:
             nonlocal known
             if len(known) > REMEMBERED:
-                known = {}
-            return float(sigmoid(worst_logit(words_of(text), number, known) + offset))
+                known.older = {}
+                known = WordNumbers(known.number, known)
+            return float(sigmoid(worst_logit(words_of(text), known) + offset))
 
         for batch in batches:
             column = pa.array([score(t.as_py()) for t in batch.column(place)], pa.float64())
