@@ -72,7 +72,8 @@ def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain
         if entropy_gain is not None:
             now = -shares.agg(F.sum(F.col("share") * F.log("share"))).first()[0]
             target_entropy = now + entropy_gain * (math.log(sources) - now)
-        exponent = smallest_exponent(shares, target_entropy, most_repeats, budget_share, least / tokens)
+        if target_entropy is not None or most_repeats is not None:
+            exponent = smallest_exponent(shares, target_entropy, most_repeats, budget_share, least / tokens)
     power = F.pow(F.col("share"), F.lit(exponent))
     normal = shares.agg(F.sum(power)).first()[0] or 1.0
     weight = power / F.lit(normal)

@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def part_counts(fp: Column, parts: int) -> list[Column]:
     bits = 64 // parts
     mask = (1 << bits) - 1
-    return [F.bit_count(F.shiftrightunsigned(fp, bits * k).bitwiseAND(F.lit(mask).cast("long"))) for k in range(parts)]
+    return [F.bit_count(F.shiftrightunsigned(fp, bits * k).bitwiseAND(F.lit(mask if parts > 1 else -1).cast("long"))) for k in range(parts)]
 
 
 def half_ball(parts: int, radius: int) -> list[tuple[int, ...]]:
