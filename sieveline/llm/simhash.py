@@ -16,7 +16,9 @@ never the links; components come from large-star and small-star rounds on those
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import product
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -121,8 +123,7 @@ def link_edges(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tile: i
     place = [F.expr(f"(class div {cells**k}) % {cells}") for k in range(parts)]
     moves = [
         F.when(
-            F.greatest(*[p + d for p, d in zip(place, by)]).between(0, cells - 1)
-            & (F.least(*[p + d for p, d in zip(place, by)]) >= 0),
+            reduce(and_, [(p + d).between(0, cells - 1) for p, d in zip(place, by)]),
             sum(((p + d) * cells**k for k, (p, d) in enumerate(zip(place, by))), F.lit(0).cast("long")),
         )
         for by in half_ball(parts, radius)
