@@ -303,9 +303,9 @@ def oracle_sql() -> dict[str, str]:
     answers["h06_exposure_then_failure"] = compose(
         """SELECT account_id, last_suspicious_dns, first_failed_login,
                round(epoch(first_failed_login - last_suspicious_dns) / 3600, 4) AS time_delta_hours
-        FROM (SELECT account_id, max(ts) AS last_suspicious_dns FROM dns WHERE score >= 6 GROUP BY account_id)
-        JOIN (SELECT account_id, min(ts) AS first_failed_login FROM failed WHERE is_attack GROUP BY account_id) USING (account_id)
-        WHERE first_failed_login >= last_suspicious_dns AND first_failed_login <= last_suspicious_dns + INTERVAL '20 days'""",
+        FROM (SELECT account_id, max(ts) AS last_suspicious_dns FROM dns WHERE score >= 7 GROUP BY account_id)
+        JOIN (SELECT account_id, min(ts) AS first_failed_login FROM failed GROUP BY account_id) USING (account_id)
+        WHERE first_failed_login >= last_suspicious_dns AND first_failed_login <= last_suspicious_dns + INTERVAL '60 days'""",
         "dns", "failed")
     answers["ft01_suspicious_tld"] = compose("SELECT request_id, tld = 'net' AS suspicious_tld FROM hosts", "hosts")
     answers["ft02_keyword_hit"] = compose(

@@ -9,9 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What may surround a host in raw logs: blanks, tabs, line ends and other ASCII and Latin-1 white space.
+WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def clean_host(host: Column) -> Column:
-    """Lower case, no surrounding blanks, no leading or trailing dots."""
-    return F.btrim(F.lower(F.trim(host)), F.lit("."))
+    """Lower case, no surrounding white space, no leading or trailing dots."""
+    return F.btrim(F.lower(F.btrim(host, F.lit(WHITE_SPACE))), F.lit("."))
 
 
 def base_domain(host: Column) -> Column:

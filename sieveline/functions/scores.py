@@ -46,9 +46,13 @@ def positive_ratio(numerator: Column, denominator: Column, digits: int) -> Colum
     return F.when(denominator > 0, F.round(numerator.cast("double") / denominator, digits))
 
 
+NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
 def lenient_double(value: Column) -> Column:
-    """Number parsed from trimmed text; blanks and malformed text become NULL."""
-    return F.trim(value.cast("string")).try_cast("double")
+    """Number parsed from trimmed text; blanks and malformed text (type suffixes, hex digits) become NULL."""
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def f1_score(precision: Column, recall: Column) -> Column:

@@ -43,11 +43,9 @@ def mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str], out: str) -
     return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("h.rows").alias(out))
 
 
-def salts_of(rows: Column, most: int, floor: int = FLOOR_ROWS) -> Column:
-    """How many salts a key with that many rows is split over; ordinary keys (NULL) get one."""
-    # ``least`` skips NULLs, so ordinary keys need their own branch.
-    wanted = F.least(F.lit(most), F.ceil(rows / F.lit(max(floor, 1)))).cast("int")
-    return F.when(rows.isNull(), F.lit(1)).otherwise(wanted)
+def salts_of(rows: Column, floor: int = FLOOR_ROWS) -> Column:
+    """How many salts a key with that many rows is split over, ``floor`` rows each; ordinary keys (NULL) get one."""
+    return F.when(rows.isNull(), F.lit(1)).otherwise(F.ceil(rows / F.lit(max(floor, 1))).cast("int"))
 
 
 def row_salt(df: DataFrame, salts: Column) -> Column:

@@ -34,7 +34,7 @@ def interval_join(
     point: str,
     within: str,
     keys: Sequence[str] = (),
-    salts: int = 1,
+    split: bool = False,
     replicate: str = "starts",
     floor: int = FLOOR_ROWS,
 ) -> DataFrame:
@@ -42,9 +42,9 @@ def interval_join(
 
     ``keys`` are equi-join columns of both sides (kept once; NULL matches nothing);
     all other column names must differ.  The ``replicate`` side, best the smaller one, is
-    copied to the second bin; rows of the other side go to exactly one.  With ``salts``
-    above 1, heavy keys of that other side (heavy bins, if there are no keys) are split
-    over up to so many salts, to which only their partners are copied.
+    copied to the second bin; rows of the other side go to exactly one.  With ``split``,
+    each (keys, bin) that is heavy on a side is cut into as many salts as its rows there ask
+    for, to all of which its partners on the other side are copied.
     """
     if replicate not in ("starts", "points"):
         raise ValueError("replicate is 'starts' or 'points'")
@@ -56,17 +56,19 @@ def interval_join(
     copied = first.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
     single = single.withColumn(_BIN, bucket_start(single_ts, within))
     equi = [*keys, _BIN]
-    if salts > 1:
-        group = list(keys) or [_BIN]
-        heavy = heavy_keys(single.select(*group), group, floor=floor)
-        copied = mark_heavy(copied, heavy, group, "__rows").withColumn(
-            _SALT, F.explode(every_salt(salts_of(F.col("__rows"), salts, floor)))
-        )
-        single = single.withColumn("__spread", row_salt(single, F.lit(2**31 - 1)))
-        single = mark_heavy(single, heavy, group, "__rows").withColumn(
-            _SALT, F.pmod("__spread", salts_of(F.col("__rows"), salts, floor))
-        )
-        equi.append(_SALT)
+    if split:
+        cell = [*keys, _BIN]
+        heavy = [heavy_keys(side.select(*cell), cell, floor=floor) for side in (single, copied)]
+        sides = []
+        for at, side in enumerate((single, copied)):
+            side = side.withColumn("__spread", row_salt(side, F.lit(2**31 - 1)))
+            own, other = f"{_SALT}{at}", f"{_SALT}{1 - at}"
+            side = mark_heavy(side, heavy[at], cell, "__rows")
+            side = side.withColumn(own, F.pmod("__spread", salts_of(F.col("__rows"), floor))).drop("__rows")
+            side = mark_heavy(side, heavy[1 - at], cell, "__rows")
+            sides.append(side.withColumn(other, F.explode(every_salt(salts_of(F.col("__rows"), floor)))))
+        single, copied = sides
+        equi += [f"{_SALT}0", f"{_SALT}1"]
     left, right = (copied, single) if copy_starts else (single, copied)
     in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
     joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range)
@@ -101,7 +103,6 @@ def lookback_join(
     point: str,
     lookback: str,
     keys: Sequence[str],
-    salts: int = 16,
     floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Left outer join of ``anchors`` with every point in ``[anchor - lookback, anchor]``.
@@ -118,7 +119,7 @@ def lookback_join(
     binned = mark_heavy(anchors, heavy, keys, "__rows").withColumn(_BIN, bucket_start(anchor, lookback))
     flagged = _with_bounds(binned, busy, anchor, point, lookback, keys)
 
-    is_heavy, width = F.col("__rows").isNotNull(), salts_of(F.col("__rows"), salts, floor)
+    is_heavy, width = F.col("__rows").isNotNull(), salts_of(F.col("__rows"), floor)
     matched = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
         F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
     )

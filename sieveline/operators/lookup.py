@@ -16,9 +16,10 @@ def attach_by_frequency(df: DataFrame, table: DataFrame, key: str, count: str, h
     """Left join of ``df`` with a per-key ``table`` that knows each key's row ``count`` in ``df``.
 
     Keys above ``heavy_share`` of all rows are looked up in a broadcast copy: at most
-    ``1 / heavy_share`` keys can be that frequent, whatever the size of the data.  Their
-    rows carry a random-looking salt instead of the key into the shuffle join that serves
-    all other keys, so no task receives more than a sliver of one key.
+    ``1 / heavy_share`` keys can be that frequent, whatever the size of the data.  All rows
+    then pass one shuffle join on (route, salt).  An ordinary row carries its key and the
+    key's hash; a heavy row, or one without a key, carries no route and a salt of its own,
+    so that these rows are spread over all tasks.
     """
     if not MIN_SHARE <= heavy_share <= 1:
         raise ValueError(f"heavy_share lies between {MIN_SHARE} and 1, as 1 / heavy_share bounds the broadcast")
@@ -28,13 +29,12 @@ def attach_by_frequency(df: DataFrame, table: DataFrame, key: str, count: str, h
     heavy = heavy.select(F.col(key).alias("__key"), F.struct(*payload).alias("__heavy"))
     marked = df.join(F.broadcast(heavy), df[key] == heavy["__key"], "left").drop("__key")
 
-    is_heavy = F.col("__heavy").isNotNull()
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    routed = marked.withColumn("__route", F.when(~is_heavy, F.col(key))).withColumn(
-        "__salt", F.when(is_heavy, spread).otherwise(F.lit(0).cast("bigint"))
+    ordinary = F.col("__heavy").isNull() & F.col(key).isNotNull()
+    routed = marked.withColumn("__route", F.when(ordinary, F.col(key))).withColumn(
+        "__salt", F.when(ordinary, F.xxhash64(key)).otherwise(F.xxhash64(F.monotonically_increasing_id()))
     )
     rest = table.where(F.col(count) <= heavy_share * total).select(
-        F.col(key).alias("__route"), F.lit(0).cast("bigint").alias("__salt"), F.struct(*payload).alias("__rest")
+        F.col(key).alias("__route"), F.xxhash64(key).alias("__salt"), F.struct(*payload).alias("__rest")
     )
     joined = routed.join(rest, ["__route", "__salt"], "left")
     found = F.coalesce(F.col("__heavy"), F.col("__rest"))

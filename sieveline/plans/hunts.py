@@ -15,10 +15,6 @@ ROLE_GRANTED = ("role_grant", "sys_user_has_role_insert")
 PASSWORD_RESET = ("password_reset", "account_recovery")
 IDENTITY_CHANGES = ("user_create", "role_grant", "password_reset")
 
-# Most salts of one heavy group: whole time bins can be far busier than one entity's bins.
-TIME_ONLY_SALTS = 1024
-KEYED_SALTS = 16
-
 
 def _events(audit: DataFrame, kinds: Sequence[str]) -> DataFrame:
     return audit.where(F.col("event_type").isin(*kinds))
@@ -35,7 +31,7 @@ def users_created_near_sessions(sessions: DataFrame, audit: DataFrame, within: s
         "event_time", "actor", F.col("target").alias("new_user"), "target_email"
     )
     near = interval_join(
-        opened, created, "started_at", "event_time", within, salts=TIME_ONLY_SALTS, replicate="points"
+        opened, created, "started_at", "event_time", within, split=True, replicate="points"
     )
     return near.drop("started_at")
 
@@ -54,9 +50,9 @@ def role_grants_near_sessions(
         F.col("actor").alias("role_grant_actor"),
         F.col("event_time").alias("role_grant_time"),
     )
-    escalated = interval_join(created, granted, "created_at", "role_grant_time", within, ["new_user"], KEYED_SALTS)
+    escalated = interval_join(created, granted, "created_at", "role_grant_time", within, ["new_user"], split=True)
     opened = sessions.select("session_id", "started_at")
-    near = interval_join(opened, escalated, "started_at", "created_at", within, salts=TIME_ONLY_SALTS, replicate="points")
+    near = interval_join(opened, escalated, "started_at", "created_at", within, split=True, replicate="points")
     return near.drop("started_at", "created_at")
 
 
@@ -69,7 +65,7 @@ def resets_after_creation(audit: DataFrame, within: str = "2 hours") -> DataFram
         F.col("actor").alias("reset_actor"),
         "details_json",
     )
-    return interval_join(created, reset, "created_at", "reset_time", within, ["user_created"], KEYED_SALTS).drop("created_at")
+    return interval_join(created, reset, "created_at", "reset_time", within, ["user_created"], split=True).drop("created_at")
 
 
 def new_privileged_users(audit: DataFrame, within: str = "1800 seconds", term: str = "admin") -> DataFrame:
@@ -80,7 +76,7 @@ def new_privileged_users(audit: DataFrame, within: str = "1800 seconds", term: s
     granted = _events(audit, ROLE_GRANTED).where(_mentions(F.col("details_json"), term)).select(
         F.col("target").alias("user"), F.col("event_time").alias("t_role"), F.col("details_json").alias("details")
     )
-    return interval_join(created, granted, "t_create", "t_role", within, ["user"], KEYED_SALTS).select(
+    return interval_join(created, granted, "t_create", "t_role", within, ["user"], split=True).select(
         "t_create", "user", "actor", "t_role", "details"
     )
 
@@ -94,7 +90,7 @@ def identity_changes_after_sessions(
     changes = _events(audit, IDENTITY_CHANGES).select(
         F.col("target_email").alias("session_user"), "event_time", "event_type", "target", "actor"
     )
-    pairs = interval_join(opened, changes, "started_at", "event_time", within, ["session_user"], KEYED_SALTS)
+    pairs = interval_join(opened, changes, "started_at", "event_time", within, ["session_user"], split=True)
     return pairs.groupBy("session_user", "session_id").agg(
         *[
             F.array_sort(F.collect_set(column)).alias(name)

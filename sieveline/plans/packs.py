@@ -136,6 +136,12 @@ def manifest(results: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def _first_values(report: DataFrame, values: int = 6) -> str | None:
+    """The first columns of a report's first row as readable text."""
+    row = report.first()
+    return None if row is None else ", ".join(f"{k}={v}" for k, v in list(row.asDict().items())[:values])
+
+
 def run_pack(
     spark: SparkSession,
     pack: str,
@@ -143,20 +149,22 @@ def run_pack(
     out_dir: str,
     strict: bool = False,
     params: Mapping[str, Mapping[str, Any]] | None = None,
+    case_id: str | None = None,
 ) -> DataFrame:
     """Runs a pack over a directory of tables and writes its evidence below ``out_dir``.
 
     Each detection runs once: its whole result is written as a table, from which the CSV
     report and the signal are then read.  A failing detection becomes a manifest row and
-    the run goes on.  Also writes the manifest, the table counts, the ranked signals and
-    the overall risk as JSON.
+    the run goes on.  Also writes as JSON: the manifest (case id, generation time, data directory,
+    table counts, findings), the findings and table counts alone, the ranked signals, the overall
+    risk, and the evidence of each signal with its report's first row and path.
     """
     params = params or {}
     loaded = tables.load(spark, data_dir)
     if strict:
         tables.require(loaded, pack)
     sources = tables.with_optional(spark, loaded)
-    scorers, entries, scored = signals.catalog(), [], []
+    scorers, entries, scored, tops = signals.catalog(), [], [], []
     for detection in sorted(PACKS[pack], key=lambda d: d.name):
         path = f"{out_dir}/artifacts/{detection.name}"
         try:
@@ -172,10 +180,21 @@ def run_pack(
             continue
         if detection.name in scorers:
             scored.append(scorers[detection.name].of(written))
+            tops.append((scorers[detection.name].id, path, _first_values(report)))
     listing = spark.createDataFrame(entries, MANIFEST_SCHEMA)
     rows = reduce(DataFrame.unionByName, scored) if scored else signals.no_signals(spark)
     artifacts.write_json(signals.ranked_signals(rows), f"{out_dir}/signals")
     artifacts.write_json(signals.overall_risk(rows), f"{out_dir}/scoring")
-    artifacts.write_json(tables.row_counts(loaded), f"{out_dir}/table_counts")
+    found = spark.createDataFrame(tops, "id string, artifact string, top_row string")
+    artifacts.write_json(signals.evidence_table(rows).join(found, "id", "left"), f"{out_dir}/evidence")
+    counts = tables.row_counts(loaded)
+    artifacts.write_json(counts, f"{out_dir}/table_counts")
     artifacts.write_json(listing, f"{out_dir}/findings")
+    # One row a table and a finding: both lists are as long as the pack's catalogue.
+    document = spark.createDataFrame(
+        [(case_id or pack, data_dir, [tuple(r) for r in counts.collect()], entries)],
+        f"case_id string, data_dir string, table_counts array<{counts.schema.simpleString()}>,"
+        f" findings array<struct<{MANIFEST_SCHEMA.replace(' ', ':').replace(',:', ',')}>>",
+    )
+    artifacts.write_json(document.withColumn("generated_at", F.current_timestamp()), f"{out_dir}/manifest")
     return listing

@@ -90,9 +90,7 @@ def _changes_after_sessions(t: Telemetry) -> DataFrame:
 
 
 def _exposure(t: Telemetry) -> DataFrame:
-    # Plain failures start before any exposure ends, so the labelled ones are hunted.
-    labelled = t.identity.where(F.col("is_attack"))
-    found = hunts.exposure_then_failed_login(t.dns_flagged, labelled, min_score=6, within="20 days")
+    found = hunts.exposure_then_failed_login(t.dns_flagged, t.identity, min_score=7, within="60 days")
     return found.withColumn("time_delta_hours", F.round("time_delta_hours", 4))
 
 
@@ -157,7 +155,7 @@ def _parsed_times(t: Telemetry) -> DataFrame:
 def _keyed_interval(t: Telemetry) -> DataFrame:
     errors = t.table("events").where(F.col("event_type") == "error").select("user_id", F.col("ts").alias("error_ts"))
     bought = t.table("events").where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("purchase_ts"))
-    return interval_join(errors, bought, "error_ts", "purchase_ts", "6 hours", keys=["user_id"], salts=16)
+    return interval_join(errors, bought, "error_ts", "purchase_ts", "6 hours", keys=["user_id"], split=True)
 
 
 def _previous_event(t: Telemetry) -> DataFrame:

@@ -299,9 +299,9 @@ def no_signals(spark: SparkSession) -> DataFrame:
     )
 
 
-def evidence_table(signals: DataFrame, keys: int = 6) -> DataFrame:
-    """Ranked signals with at most ``keys`` evidence entries as readable text."""
-    entries = F.slice(F.map_entries("evidence"), 1, keys)
+def evidence_table(signals: DataFrame, keys: int | None = None) -> DataFrame:
+    """Ranked signals with all evidence entries, or the first ``keys``, as readable text."""
+    entries = F.map_entries("evidence") if keys is None else F.slice(F.map_entries("evidence"), 1, keys)
     text = F.array_join(
         F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), ", "
     )

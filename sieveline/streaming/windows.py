@@ -44,9 +44,9 @@ def synchronized_org_spikes(
 ) -> DataFrame:
     """Many organisations on one flagged provider bucket, from a stream of requests.
 
-    Exact distinct counts come from two chained aggregations: one row per organisation and
-    account, then per organisation, then per window.  An account belongs to one organisation,
-    so the accounts of a window are the sum over its organisations.
+    Exact distinct counts come from chained aggregations: one row per organisation and account,
+    then one per organisation and one per account, then one per window.  An account that is
+    active in several organisations counts once.
     """
     about = enrichment.where(F.col("asn_type").isin(*types)).select("asn", "asn_type", "provider_brand_bucket")
     infra = ["provider_brand_bucket", "asn_type"]
@@ -56,11 +56,16 @@ def synchronized_org_spikes(
         .groupBy(F.window("ts", width).alias("w"), *infra, "org_id", "account_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    per_org = per_account.groupBy(F.window(F.window_time("w"), width).alias("w"), *infra, "org_id").agg(
-        F.sum("n").alias("n"), F.count("account_id").alias("accounts")
+    org, account = (
+        F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("id"), n.cast("bigint").alias("n"))
+        for kind, column, n in (("org", "org_id", F.col("n")), ("account", "account_id", F.lit(0)))
     )
-    spikes = per_org.groupBy(F.window(F.window_time("w"), width).alias("w"), *infra).agg(
-        F.sum("n").alias("reqs"), F.count("org_id").alias("orgs"), F.sum("accounts").alias("accounts")
+    tagged = per_account.withColumn("tag", F.explode(F.array(org, account))).select("w", *infra, "tag.*")
+    per_id = tagged.groupBy(F.window(F.window_time("w"), width).alias("w"), *infra, "kind", "id").agg(F.sum("n").alias("n"))
+    spikes = per_id.groupBy(F.window(F.window_time("w"), width).alias("w"), *infra).agg(
+        F.sum("n").alias("reqs"),
+        F.count(F.when(F.col("kind") == "org", F.col("id"))).alias("orgs"),
+        F.count(F.when(F.col("kind") == "account", F.col("id"))).alias("accounts"),
     )
     return spikes.where(F.col("orgs") >= min_orgs).select(
         F.col("w.start").alias("bucket_ts"), *infra, "reqs", "orgs", "accounts"

@@ -114,3 +114,13 @@ def test_ratios_and_clamp(spark):
 @pytest.mark.parametrize("text, value", [(" 3.5 ", 3.5), ("", None), ("x", None), ("-2", -2.0), (None, None)])
 def test_lenient_double(spark, text, value):
     assert one(spark, scores.lenient_double(F.lit(text).cast("string"))) == value
+
+
+@pytest.mark.parametrize("text, value", [("5d", None), ("5f", None), ("0x1p3", None), ("-1.5e3", -1500.0), (".5", 0.5), ("7.", 7.0), ("1 2", None)])
+def test_lenient_double_takes_plain_numbers_only(spark, text, value):
+    assert one(spark, scores.lenient_double(F.lit(text).cast("string"))) == value
+
+
+@pytest.mark.parametrize("host", ["a.Example.com\n", "\ta.example.com.", "\r\n .a.example.com\x0b", "a.example.com\xa0"])
+def test_hosts_lose_all_white_space(spark, host):
+    assert one(spark, hosts.base_domain(F.lit(host))) == "example.com"

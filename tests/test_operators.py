@@ -84,7 +84,7 @@ def test_interval_join_equals_plain_join(spark, replicate, salts, floor):
     want = sorted((a[2], b[2]) for a in left for b in right if a[0] is not None and a[0] == b[0] and a[1] <= b[1] <= a[1] + within)
     starts = spark.createDataFrame(left, "k string, s timestamp_ntz, i int")
     points = spark.createDataFrame(right, "k string, p timestamp_ntz, j int").repartition(3)
-    got = interval_join(starts, points, "s", "p", "20 minutes", ["k"], salts, replicate, floor)
+    got = interval_join(starts, points, "s", "p", "20 minutes", ["k"], salts > 1, replicate, floor)
     assert got.columns == ["k", "s", "i", "p", "j"]
     assert sorted((r.i, r.j) for r in got.collect()) == want
 
@@ -95,7 +95,7 @@ def test_interval_join_on_time_alone(spark, replicate):
     want = sorted((a[2], b[2]) for a in left for b in right if a[1] <= b[1] <= a[1] + timedelta(minutes=30))
     starts = spark.createDataFrame(left, "k string, s timestamp, i int").drop("k")
     points = spark.createDataFrame(right, "k string, p timestamp, j int").drop("k")
-    got = interval_join(starts, points, "s", "p", "30 minutes", salts=3, replicate=replicate, floor=10)
+    got = interval_join(starts, points, "s", "p", "30 minutes", split=True, replicate=replicate, floor=10)
     assert sorted((r.i, r.j) for r in got.collect()) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -109,8 +109,8 @@ def test_interval_edges_are_inclusive(spark):
     assert rows(interval_join(starts, points, "s", "p", "60 minutes", ["k"]), "p") == [(T0,), (T0 + hour,)]
 
 
-@pytest.mark.parametrize("salts, floor", [(1, 0), (5, 0), (5, 30), (5, 10**6)])
-def test_lookback_join_equals_plain_left_join(spark, salts, floor):
+@pytest.mark.parametrize("floor", [0, 30, 10**6])
+def test_lookback_join_equals_plain_left_join(spark, floor):
     anchors, points = moments(6, 90, 240, hot=0.4), moments(7, 90, 240, hot=0.4)
     points += points[:20]  # exact copies match separately
     back = timedelta(minutes=30)
@@ -120,7 +120,7 @@ def test_lookback_join_equals_plain_left_join(spark, salts, floor):
         want += [(i, j) for j in hits] or [(i, None)]
     left = spark.createDataFrame(anchors, "k string, t timestamp_ntz, i int")
     right = spark.createDataFrame(points, "k string, p timestamp_ntz, j int")
-    got = lookback_join(left, right, "t", "p", "30 minutes", ["k"], salts, floor)
+    got = lookback_join(left, right, "t", "p", "30 minutes", ["k"], floor)
     assert sorted(((r.i, r.j) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
@@ -204,7 +204,7 @@ def test_heavy_keys_need_both_rows_and_share(spark):
 
 def test_salts_grow_with_rows_and_stay_one_for_ordinary_keys(spark):
     df = spark.createDataFrame([(None,), (150,), (5000,)], "rows long")
-    assert [r.s for r in df.select(salts_of(F.col("rows"), 16, 100).alias("s")).collect()] == [1, 2, 16]
+    assert [r.s for r in df.select(salts_of(F.col("rows"), 100).alias("s")).collect()] == [1, 2, 50]
 
 
 def test_evaluate_counts_and_empty_denominators(spark):
@@ -215,3 +215,28 @@ def test_evaluate_counts_and_empty_denominators(spark):
     assert row.true_positives + row.false_negatives == row.malicious_events
     none = evaluate(df.where("score = 0"), "score", "label").first()
     assert none.precision is None and none.recall == 0.0 and none.f1 is None
+
+
+def test_frequency_lookup_spreads_hot_and_missing_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(40000).selectExpr("CASE WHEN id % 10 < 6 THEN 'hot' WHEN id % 10 < 9 THEN 'k' || id END AS k", "id")
+        table = df.where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        got = attach_by_frequency(df, table, "k", "n", 0.5)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "__salt" in plan.split("SortMergeJoin", 1)[1].split("\n")[0].split("LeftOuter")[0]
+        spread = got.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in spread) < 2 * 40000 / len(spread) and sum(r["count"] for r in spread) == 40000
+        assert got.where("n IS NULL").count() == 4000 and got.where("n = 24000").count() == 24000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_interval_join_splits_either_hot_side(spark):
+    for hot in (0, 1):
+        left, right = moments(6, 40 if hot else 300, 60, hot=0.9), moments(7, 300 if hot else 40, 60, hot=0.9)
+        starts = spark.createDataFrame(left, "k string, s timestamp, i int")
+        points = spark.createDataFrame(right, "k string, p timestamp, j int")
+        plain = interval_join(starts, points, "s", "p", "30 minutes", ["k"])
+        split = interval_join(starts, points, "s", "p", "30 minutes", ["k"], split=True, floor=5)
+        assert rows(split, "i", "j") == rows(plain, "i", "j")

@@ -75,6 +75,11 @@ def test_takeover_pack_end_to_end(spark, data_dir, tmp_path):
     assert set(dict(texts.dtypes).values()) == {"string"} and texts.columns == entries["q14_mfa_device_added"].columns
     scoring = spark.read.json(f"{tmp_path}/scoring").first()
     ranked = spark.read.json(f"{tmp_path}/signals").collect()
+    document = spark.read.json(f"{tmp_path}/manifest").first()
+    assert (document.case_id, document.data_dir) == ("takeover", data_dir) and document.generated_at
+    assert len(document.findings) == 8 and document.table_counts
+    evidence = spark.read.json(f"{tmp_path}/evidence").collect()
+    assert len(evidence) == len(ranked) and all(r.artifact.startswith(f"{tmp_path}/artifacts/") and "=" in r.top_row for r in evidence)
     assert scoring.signal_count == len(ranked) == 6
     weights = {r.id: (r.weight, r.score_0_1) for r in ranked}
     want = sum(w * s for w, s in weights.values()) / sum(w for w, _ in weights.values())
@@ -131,3 +136,15 @@ def test_parquet_sink_uses_zstd(spark, tmp_path):
     artifacts.write_parquet(spark.range(10).coalesce(1), f"{tmp_path}/t")
     (part,) = tmp_path.glob("t/*.parquet")
     assert pq.ParquetFile(part).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_times_are_utc_in_any_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2024-01-01 00:00:00", "2024-01-01T00:00:00.5", "2024-01-01", "2024-01-01 00:00:00Z", "2024-01-01T02:00:00+02:00", "soon"]
+        df = cleaning.parse_utc(spark.createDataFrame([(t,) for t in texts], "ts string"), "ts")
+        assert sorted(r[0] for r in df.selectExpr("unix_millis(ts)").collect()) == [1704067200000] * 4 + [1704067200500]
+        kept = cleaning.parse_utc(spark.sql("SELECT timestamp_seconds(1704067200) AS ts"), "ts")
+        assert [r[0] for r in kept.selectExpr("unix_seconds(ts)").collect()] == [1704067200]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

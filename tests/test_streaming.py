@@ -45,7 +45,7 @@ def test_streamed_spikes_equal_batch(spark, tmp_path):
     enrichment = table(spark, "enrichment_ip", [
         {"asn": 1, "asn_type": "vpn", "provider_brand_bucket": "p"}, {"asn": 2, "asn_type": "corporate", "provider_brand_bucket": "p"}])
     def request(i, **extra):
-        return {"request_id": str(i), "ts": at(i / 6), "org_id": f"o{i % 12}", "account_id": f"a{i % 24}", "asn": 1 + (i % 5 == 0), **extra}
+        return {"request_id": str(i), "ts": at(i / 6), "org_id": f"o{i % 12}", "account_id": f"a{i % 7}", "asn": 1 + (i % 5 == 0), **extra}
     requests = table(spark, "llm_requests", [request(i) for i in range(300)])
     closing = table(spark, "llm_requests", [request(0, ts=at(0) + timedelta(days=d), asn=1) for d in (2, 3, 4)])
     got = replay(spark, requests, closing,
