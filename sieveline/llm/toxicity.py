@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ FOLDS, HELD_OUT = 3, 1
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    """Lower-case words; of a word repeated on end one is read, as saying it often makes it no other word."""
+    return [w for w, _ in groupby((text or "").lower().split())]
 
 
 def grams(word: str) -> list[int]:
