@@ -114,6 +114,39 @@ def _signal(key: str) -> str:
     )
 
 
+# Saturation of the scaled signals: the point where the score starts and the length over which it rises.
+_SCALED = {
+    "sg04_template_reuse": ("max(orgs)", 0, 40),
+    "sg05_content_cluster_spread": ("max(orgs)", 0, 30),
+    "sg08_failed_login_bursts": ("max(failures_in_10m)", 2, 8),
+    "sg09_new_asn_after_failures": ("count(DISTINCT account_id)", 0, 400),
+    "sg10_mfa_manipulation": ("count(DISTINCT account_id)", 0, 200),
+    "sg11_mailbox_rule_abuse": ("count(DISTINCT account_id)", 0, 160),
+    "sg12_oauth_consent_abuse": ("count(DISTINCT account_id)", 0, 600),
+    "sg13_ato_chain_detection": ("count(*) FILTER (WHERE risk_score >= 80)", 0, 250),
+    "sg15_unusual_pod_creation": ("count(*) FILTER (WHERE anomaly_score >= 4)", 0, 500),
+    "sg16_non_standard_registries": ("count(*) FILTER (WHERE avg_risk_score >= 4)", 0, 350),
+    "sg17_resource_anomalies": ("count(*) FILTER (WHERE resource_anomaly_score >= 5)", 0, 30000),
+    "sg18_mining_pool_egress": ("count(DISTINCT pod_id)", 0, 20000),
+    "sg19_service_account_abuse": ("count(*) FILTER (WHERE abuse_score >= 5)", 0, 240),
+    "sg20_correlated_k8s_signals": ("count(DISTINCT pod_id) FILTER (WHERE confidence_score = 10)", 0, 1000),
+}
+
+
+def _scaled(pack: str) -> tuple[str, list[str]]:
+    rows = []
+    for key in PACK_SIGNALS[pack]:
+        detection, ident, title, weight, sql = SIGNALS[key]
+        if key in _SCALED:
+            metric, start, length = _SCALED[key]
+            sql = f"SELECT {_clamp(f'({metric} - {start}) / {length}.0::DOUBLE')} AS s FROM {detection}"
+        rows.append(
+            f"SELECT '{ident}' AS id, '{title}' AS title, {weight}::DOUBLE AS weight, s, round_even(s * 100, 1)::DOUBLE AS score "
+            f"FROM ({sql}) WHERE (SELECT count(*) FROM {detection}) > 0"
+        )
+    return "(" + " UNION ALL ".join(rows) + ")", [SIGNALS[k][0] for k in PACK_SIGNALS[pack]]
+
+
 def _signals(keys: list[str]) -> tuple[str, list[str]]:
     return "(" + " UNION ALL ".join(_signal(k) for k in keys) + ")", [SIGNALS[k][0] for k in keys]
 
@@ -122,8 +155,8 @@ def _severity(score: str, high: int, medium: int) -> str:
     return f"CASE WHEN {score} >= {high} THEN 'high' WHEN {score} >= {medium} THEN 'medium' ELSE 'low' END"
 
 
-def _overall(pack: str) -> str:
-    rows, needs = _signals(PACK_SIGNALS[pack])
+def _overall(pack: str, scaled: bool = False) -> str:
+    rows, needs = _scaled(pack) if scaled else _signals(PACK_SIGNALS[pack])
     return compose(
         f"""SELECT overall_risk_score, signal_count, {_severity('overall_risk_score', 70, 40)} AS severity
         FROM (SELECT coalesce(round_even(100 * (sum(weight * s) / sum(weight)), 0), 0)::INT AS overall_risk_score,
@@ -274,6 +307,49 @@ def oracle_sql() -> dict[str, str]:
                      CASE WHEN total >= 0.4 THEN 'CRITICAL' WHEN total >= 0.25 THEN 'HIGH'
                           WHEN total >= 0.15 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level FROM {_ADDITIVE_ROWS})""",
         *ADDITIVE, extra=Q)
+    for pack in ("coordinated", "takeover", "cluster"):
+        rows, needs = _scaled(pack)
+        answers[f"sg21_scaled_signals_{pack}"] = compose(
+            f"SELECT id, title, weight, score, {_severity('score', 80, 40)} AS severity FROM {rows}", *needs, extra=Q)
+        answers[f"sg22_scaled_overall_{pack}"] = _overall(pack, scaled=True)
+    counts = " UNION ALL ".join(f"SELECT count(*) AS n, {w}::DOUBLE AS w FROM {name}" for name, w in ADDITIVE.items())
+    answers["sg24_additive_levels"] = compose(
+        f"""SELECT full_rows::BIGINT AS full_rows, round(total, 3) AS total_score, risk_level,
+            CASE risk_level
+              WHEN 'CRITICAL' THEN 'Immediate investigation required - high confidence cryptomining detected'
+              WHEN 'HIGH' THEN 'Priority investigation - multiple abuse indicators present'
+              WHEN 'MEDIUM' THEN 'Review flagged pods and service accounts for anomalous behavior'
+              ELSE 'Continue monitoring - isolated signals detected' END AS recommendation
+        FROM (SELECT full_rows, round(sum(least(1.0::DOUBLE, n / full_rows::DOUBLE) * w), 9) AS total,
+                     CASE WHEN total >= 0.4 THEN 'CRITICAL' WHEN total >= 0.25 THEN 'HIGH'
+                          WHEN total >= 0.15 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+              FROM ({counts}), (VALUES (1000), (30000), (60000), (100000)) v(full_rows) GROUP BY full_rows)""",
+        *ADDITIVE, extra=Q)
+    answers["q05_default_width"] = compose(
+        """SELECT asn, asn_type, provider_brand_bucket, bucket_ts, reqs, accounts, orgs, round((reqs - m) / s, 2) AS zscore
+        FROM (SELECT *, avg(reqs) OVER (PARTITION BY asn) AS m, stddev_pop(reqs) OVER (PARTITION BY asn) AS s
+              FROM (SELECT asn, time_bucket(INTERVAL '15 minutes', ts) AS bucket_ts, count(*) AS reqs,
+                           count(DISTINCT account_id) AS accounts, count(DISTINCT org_id) AS orgs
+                    FROM requests GROUP BY ALL))
+        JOIN networks USING (asn) WHERE s > 0 ORDER BY zscore DESC, reqs DESC, asn, bucket_ts LIMIT 400""", "requests", "networks")
+    answers["q06_default_width"] = compose(
+        """SELECT time_bucket(INTERVAL '15 minutes', ts) AS bucket_ts, provider_brand_bucket, asn_type, count(*) AS reqs,
+               count(DISTINCT org_id) AS orgs, count(DISTINCT account_id) AS accounts
+        FROM requests JOIN networks USING (asn) WHERE asn_type IN ('vpn', 'hosting') GROUP BY ALL HAVING orgs >= 2
+        ORDER BY orgs DESC, accounts DESC, reqs DESC, bucket_ts, provider_brand_bucket, asn_type LIMIT 300""",
+        "requests", "networks")
+    answers["q25_default_width"] = compose(
+        Q["q25_unusual_pod_creation"][1].replace("date_trunc('month'", "date_trunc('hour'") + " " + REPORT["q25_unusual_pod_creation"],
+        "created")
+    answers["ev05_ordered_completeness"] = compose(
+        """SELECT org_id, account_id, 2 + mfa + rule + consent AS stages,
+               CASE WHEN stages >= 4 THEN 'high' WHEN stages = 3 THEN 'medium' ELSE 'low' END AS completeness
+        FROM (SELECT c.org_id, c.account_id, coalesce(bool_or(i.event_type = 'auth.mfa.add'), false)::INT AS mfa,
+                     coalesce(bool_or(i.event_type = 'mailbox.rule.create'), false)::INT AS rule,
+                     coalesce(bool_or(i.event_type = 'oauth.consent.grant'), false)::INT AS consent
+              FROM q18_ato_chain_candidates c
+              LEFT JOIN identity i ON i.org_id = c.org_id AND i.account_id = c.account_id AND i.ts >= c.new_asn_success_ts
+              GROUP BY ALL)""", "q18_ato_chain_candidates", "identity", extra=Q)
     answers["h01_users_near_sessions"] = compose(
         f"""SELECT a.session_id, a.user_email AS session_user, c.event_time, c.actor, c.target AS new_user, c.target AS target_email
         FROM agents a JOIN changes c ON {_NEAR} '30 minutes' WHERE c.kind = 'user_create'""", "agents", "changes")

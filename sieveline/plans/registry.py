@@ -16,6 +16,7 @@ from sieveline.operators.intervals import interval_join
 from sieveline.operators.neighbours import previous_value
 from sieveline.plans import features, hunts, packs, quality, signals
 from sieveline.plans.packs import DETECTIONS, PACKS
+from sieveline.plans.takeover import takeover_chains
 from sieveline.sources import cleaning, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,26 @@ SIGNAL_IDS = {
 }
 BRIEF = ["id", "title", "weight", "score"]
 
+# Span and start of the scores whose usual ones the benchmark tables exceed, so that a score tells more than its sign.
+SATURATION = {
+    "q07_template_reuse": (40, 0),
+    "q08_content_cluster_spread": (30, 0),
+    "q12_failed_login_bursts": (8, 2),
+    "q13_new_asn_after_failures": (400, 0),
+    "q14_mfa_device_added": (200, 0),
+    "q16_mailbox_rule_creation": (160, 0),
+    "q17_oauth_consent_grants": (600, 0),
+    "q18_ato_chain_candidates": (250, 0),
+    "q25_unusual_pod_creation": (500, 0),
+    "q26_non_standard_registries": (350, 0),
+    "q27_resource_anomalies": (30_000, 0),
+    "q28_mining_pool_egress": (20_000, 0),
+    "q29_service_account_abuse": (240, 0),
+    "q30_correlated_signals": (1_000, 0),
+}
+# Rows at which an additive signal has its whole weight; each gives another risk level.
+ADDITIVE_FULL = (1_000, 30_000, 60_000, 100_000)
+
 
 def whole(name: str, telemetry: Telemetry) -> DataFrame:
     """Whole, unordered result of a detection on the benchmark tables."""
@@ -70,6 +91,24 @@ def _overall(pack: str) -> Plan:
     return lambda t: signals.overall_risk(_pack_signals(t, pack))
 
 
+def _scaled_signals(t: Telemetry, pack: str) -> DataFrame:
+    return signals.score_results({d.name: whole(d.name, t) for d in PACKS[pack]}, SATURATION)
+
+
+def _scaled(pack: str) -> Plan:
+    return lambda t: signals.ranked_signals(_scaled_signals(t, pack)).select(*BRIEF, "severity")
+
+
+def _scaled_overall(pack: str) -> Plan:
+    return lambda t: signals.overall_risk(_scaled_signals(t, pack))
+
+
+def _additive_levels(t: Telemetry) -> DataFrame:
+    counts = signals.additive_counts({name: whole(name, t) for name in signals.ADDITIVE_WEIGHTS})
+    scaled = counts.withColumn("full_rows", F.explode(F.array(*[F.lit(n).cast("long") for n in ADDITIVE_FULL])))
+    return signals.additive_risk(signals.additive_shares(scaled, F.col("full_rows")), "full_rows")
+
+
 def _additive(t: Telemetry) -> DataFrame:
     return signals.additive_signals({name: whole(name, t) for name in signals.ADDITIVE_WEIGHTS})
 
@@ -188,6 +227,15 @@ def _completeness(t: Telemetry) -> DataFrame:
     )
 
 
+def _ordered_completeness(t: Telemetry) -> DataFrame:
+    chains = takeover_chains(t.identity, **PARAMS["q18_ato_chain_candidates"], ordered=True)
+    return quality.chain_completeness(chains).select("org_id", "account_id", "stages", "completeness")
+
+
+def _default_width(name: str, **params: object) -> Plan:
+    return lambda t: DETECTIONS[name].report(DETECTIONS[name].result(t.lazy_sources(name), **params))
+
+
 def _priorities(t: Telemetry) -> DataFrame:
     scores = whole("q27_resource_anomalies", t).select(F.col("resource_anomaly_score").alias("score")).unionByName(
         whole("q29_service_account_abuse", t).select(F.col("abuse_score").alias("score"))
@@ -206,9 +254,15 @@ def _table_counts(t: Telemetry) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     **{name: _report(name) for name in DETECTIONS},
+    "q05_default_width": _default_width("q05_burst_zscore"),
+    "q06_default_width": _default_width("q06_sync_org_spikes", min_orgs=2),
+    "q25_default_width": _default_width("q25_unusual_pod_creation"),
     **{key: _signal(detection) for key, detection in SIGNAL_IDS.items()},
     **{f"sg22_overall_{pack}": _overall(pack) for pack in PACKS},
     "sg23_ranked_signals": lambda t: signals.ranked_signals(_pack_signals(t, "takeover")).select(*BRIEF, "severity"),
+    **{f"sg21_scaled_signals_{pack}": _scaled(pack) for pack in ("coordinated", "takeover", "cluster")},
+    **{f"sg22_scaled_overall_{pack}": _scaled_overall(pack) for pack in ("coordinated", "takeover", "cluster")},
+    "sg24_additive_levels": _additive_levels,
     "sg24_additive_signals": lambda t: _additive(t).drop("contribution"),
     "sg24_additive_risk": lambda t: signals.additive_risk(_additive(t)),
     "sg25_signal_severity": lambda t: _pack_signals(t, "cluster").select(
@@ -245,6 +299,7 @@ PLANS: dict[str, Plan] = {
     "ev01_quality": _quality,
     "ev04_dns_bands": _dns_bands,
     "ev05_chain_completeness": _completeness,
+    "ev05_ordered_completeness": _ordered_completeness,
     "ev06_alert_priority": _priorities,
     "ev07_signal_alignment": _alignment,
     "io05_table_counts": _table_counts,

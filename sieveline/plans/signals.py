@@ -85,8 +85,15 @@ def _funnel_rates(funnel: DataFrame) -> DataFrame:
     )
 
 
-def catalog() -> dict[str, Signal]:
-    """Scorer of each detection that has one; needs an active session, as columns do."""
+def catalog(saturation: Mapping[str, tuple[float, float]] | None = None) -> dict[str, Signal]:
+    """Scorer of each detection that has one; needs an active session, as columns do.
+
+    ``saturation`` overrides, by detection, the span over which a count's score rises and the count it starts at.
+    """
+
+    def rising(detection: str, metric: str, full: float, start: float = 0) -> Column:
+        return _saturating(metric, *(saturation or {}).get(detection, (full, start)))
+
     diversity = ["distinct_orgs", "distinct_accounts", "requests"]
     share = ["pct_hosting_vpn", "hosting_vpn_reqs", "total_reqs"]
     quality = F.when(
@@ -97,7 +104,7 @@ def catalog() -> dict[str, Signal]:
         "q03_tenant_diversity": Signal(
             "cross_tenant_diversity_asn", "Cross-tenant diversity on shared infrastructure", 1.2,
             {name: _top(diversity, name) for name in diversity},
-            _saturating("distinct_orgs", 25, 5),
+            rising("q03_tenant_diversity", "distinct_orgs", 25, 5),
             ("One network serves %s organisations and %s accounts.", "distinct_orgs", "distinct_accounts"),
         ),
         "q02_pct_flagged_infra": Signal(
@@ -110,17 +117,17 @@ def catalog() -> dict[str, Signal]:
         "q06_sync_org_spikes": Signal(
             "synchronized_spikes", "Synchronized spikes across tenants", 1.0,
             {"reqs": _top(["reqs", "orgs"], "reqs"), "orgs": _top(["reqs", "orgs"], "orgs")},
-            _saturating("reqs", 500),
+            rising("q06_sync_org_spikes", "reqs", 500),
             ("The largest shared spike has %s requests from %s organisations.", "reqs", "orgs"),
         ),
         "q07_template_reuse": Signal(
             "template_reuse", "Template reuse across orgs", 0.8,
-            {"orgs": F.max("orgs")}, _saturating("orgs", 10),
+            {"orgs": F.max("orgs")}, rising("q07_template_reuse", "orgs", 10),
             ("One template is used in %s organisations.", "orgs"),
         ),
         "q08_content_cluster_spread": Signal(
             "content_cluster_spread", "Content cluster spread", 0.7,
-            {"orgs": F.max("orgs")}, _saturating("orgs", 12),
+            {"orgs": F.max("orgs")}, rising("q08_content_cluster_spread", "orgs", 12),
             ("One content cluster appears in %s organisations.", "orgs"),
         ),
         "q09_policy_funnel": Signal(
@@ -142,33 +149,33 @@ def catalog() -> dict[str, Signal]:
         ),
         "q12_failed_login_bursts": Signal(
             "failed_login_bursts", "Failed Login Bursts", 1.0,
-            {"max_burst": F.max("failures_in_10m")}, _saturating("max_burst", 24, 6),
+            {"max_burst": F.max("failures_in_10m")}, rising("q12_failed_login_bursts", "max_burst", 24, 6),
             ("The largest burst has %s failed sign-ins.", "max_burst"),
         ),
         "q13_new_asn_after_failures": Signal(
             "new_asn_after_failures", "New ASN Success After Failures", 1.5,
-            {"account_count": _entities("account_id")}, _saturating("account_count", 15),
+            {"account_count": _entities("account_id")}, rising("q13_new_asn_after_failures", "account_count", 15),
             ("%s accounts signed in from a new network after failures.", "account_count"),
         ),
         "q14_mfa_device_added": Signal(
             "mfa_manipulation", "MFA Device Manipulation", 1.3,
-            {"account_count": _entities("account_id")}, _saturating("account_count", 10),
+            {"account_count": _entities("account_id")}, rising("q14_mfa_device_added", "account_count", 10),
             ("%s accounts enrolled a second-factor device.", "account_count"),
         ),
         "q16_mailbox_rule_creation": Signal(
             "mailbox_rule_abuse", "Mailbox Rule Abuse", 1.2,
-            {"account_count": _entities("account_id")}, _saturating("account_count", 10),
+            {"account_count": _entities("account_id")}, rising("q16_mailbox_rule_creation", "account_count", 10),
             ("%s accounts created mailbox rules.", "account_count"),
         ),
         "q17_oauth_consent_grants": Signal(
             "oauth_consent_abuse", "OAuth Consent Abuse", 1.1,
-            {"account_count": _entities("account_id")}, _saturating("account_count", 8),
+            {"account_count": _entities("account_id")}, rising("q17_oauth_consent_grants", "account_count", 8),
             ("%s accounts granted application consent.", "account_count"),
         ),
         "q18_ato_chain_candidates": Signal(
             "ato_chain_detection", "Account Takeover Chain Detection", 2.0,
             {"high_risk_count": _reaching("risk_score", 80), "medium_risk_count": _reaching("risk_score", 50, 80)},
-            _saturating("high_risk_count", 20),
+            rising("q18_ato_chain_candidates", "high_risk_count", 20),
             ("%s high-risk and %s medium-risk takeover chains.", "high_risk_count", "medium_risk_count"),
         ),
         "q24_dns_rollup": Signal(
@@ -185,41 +192,43 @@ def catalog() -> dict[str, Signal]:
         ),
         "q25_unusual_pod_creation": Signal(
             "unusual_pod_creation", "Unusual Pod Creation Patterns", 0.8,
-            {"high_anomaly_count": _reaching("anomaly_score", 4)}, _saturating("high_anomaly_count", 15),
+            {"high_anomaly_count": _reaching("anomaly_score", 4)}, rising("q25_unusual_pod_creation", "high_anomaly_count", 15),
             ("%s creation spikes score 4 or more.", "high_anomaly_count"),
         ),
         "q26_non_standard_registries": Signal(
             "non_standard_registries", "Non-Standard Container Registries", 1.0,
-            {"high_risk_count": _reaching("avg_risk_score", 4)}, _saturating("high_risk_count", 15),
+            {"high_risk_count": _reaching("avg_risk_score", 4)}, rising("q26_non_standard_registries", "high_risk_count", 15),
             ("%s service account and registry pairs have an average risk of 4 or more.", "high_risk_count"),
         ),
         "q27_resource_anomalies": Signal(
             "resource_anomalies", "K8s Resource Anomalies", 1.2,
-            {"critical_count": _reaching("resource_anomaly_score", 5)}, _saturating("critical_count", 20),
+            {"critical_count": _reaching("resource_anomaly_score", 5)}, rising("q27_resource_anomalies", "critical_count", 20),
             ("%s pods show sustained high utilisation.", "critical_count"),
         ),
         "q28_mining_pool_egress": Signal(
             "mining_pool_egress", "Mining Pool Connections (DEFINITIVE)", 2.0,
-            {"pod_count": _entities("pod_id")}, _saturating("pod_count", 10),
+            {"pod_count": _entities("pod_id")}, rising("q28_mining_pool_egress", "pod_count", 10),
             ("%s pods talk to known mining pools.", "pod_count"),
         ),
         "q29_service_account_abuse": Signal(
             "service_account_abuse", "Service Account Abuse", 1.1,
-            {"high_abuse_count": _reaching("abuse_score", 5)}, _saturating("high_abuse_count", 15),
+            {"high_abuse_count": _reaching("abuse_score", 5)}, rising("q29_service_account_abuse", "high_abuse_count", 15),
             ("%s service account origins score 5 or more.", "high_abuse_count"),
         ),
         "q30_correlated_signals": Signal(
             "correlated_k8s_signals", "Correlated K8s Attack Signals", 2.5,
             {"correlated_pod_count": _entities("pod_id", F.col("confidence_score") == 10)},
-            _saturating("correlated_pod_count", 10),
+            rising("q30_correlated_signals", "correlated_pod_count", 10),
             ("%s pods show all three signals.", "correlated_pod_count"),
         ),
     }
 
 
-def score_results(results: Mapping[str, DataFrame]) -> DataFrame:
+def score_results(
+    results: Mapping[str, DataFrame], saturation: Mapping[str, tuple[float, float]] | None = None
+) -> DataFrame:
     """Signals of every detection result that has a scorer; the others are skipped."""
-    scorers = catalog()
+    scorers = catalog(saturation)
     rows = [scorers[name].of(df) for name, df in sorted(results.items()) if name in scorers]
     if not rows:
         raise ValueError("none of the given detection results has a scorer")
@@ -260,33 +269,43 @@ ADDITIVE_ADVICE = {
 }
 
 
-def additive_signals(results: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count, normalised and weighted score of each cluster detection result."""
-    rows = []
-    for name, weight in ADDITIVE_WEIGHTS.items():
-        if name in results:
-            counted = results[name].agg(F.count(F.lit(1)).alias("row_count"))
-            share = F.least(F.lit(1.0), F.col("row_count") / 10.0)
-            rows.append(
-                counted.select(
-                    F.lit(name).alias("signal"), "row_count", F.lit(weight).alias("weight"),
-                    F.round(share, 3).alias("normalized_score"),
-                    F.round(share * weight, 3).alias("weighted_score"),
-                    (share * weight).alias("contribution"),
-                )
-            )
+def additive_counts(results: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count and weight of each cluster detection result."""
+    rows = [
+        results[name].agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("signal"), "row_count", F.lit(weight).alias("weight")
+        )
+        for name, weight in ADDITIVE_WEIGHTS.items()
+        if name in results
+    ]
     if not rows:
         raise ValueError("no cluster detection result given")
     return reduce(DataFrame.unionByName, rows)
 
 
-def additive_risk(signals: DataFrame) -> DataFrame:
-    """Total of the additive scores with level and advice."""
+def additive_shares(counts: DataFrame, full: Column | float = 10.0) -> DataFrame:
+    """Normalised and weighted score of each count; a detection with ``full`` rows reaches its whole weight."""
+    share = F.least(F.lit(1.0), F.col("row_count") / (full if isinstance(full, Column) else F.lit(float(full))))
+    return counts.select(
+        "*",
+        F.round(share, 3).alias("normalized_score"),
+        F.round(share * F.col("weight"), 3).alias("weighted_score"),
+        (share * F.col("weight")).alias("contribution"),
+    )
+
+
+def additive_signals(results: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count, normalised and weighted score of each cluster detection result."""
+    return additive_shares(additive_counts(results))
+
+
+def additive_risk(signals: DataFrame, *by: str) -> DataFrame:
+    """Total of the additive scores with level and advice, for each ``by``."""
     total = F.round(F.sum("contribution"), 9)
     level = band(F.col("total"), ADDITIVE_LEVELS, "LOW")
     advice = F.create_map(*[F.lit(x) for pair in ADDITIVE_ADVICE.items() for x in pair])
-    return signals.agg(total.alias("total")).withColumn("risk_level", level).select(
-        F.round("total", 3).alias("total_score"), "risk_level", advice[F.col("risk_level")].alias("recommendation")
+    return signals.groupBy(*by).agg(total.alias("total")).withColumn("risk_level", level).select(
+        *by, F.round("total", 3).alias("total_score"), "risk_level", advice[F.col("risk_level")].alias("recommendation")
     )
 
 
