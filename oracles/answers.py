@@ -274,6 +274,14 @@ def _evidence() -> str:
         *[SIGNALS[k][0] for k in _TAKEOVER_ROWS], extra=Q)
 
 
+# Default lists of the domain heuristics.
+_TLDS = (
+    "xyz top icu club link click tk cf ml ga gq pw win loan date party racing stream bid trade accountant faith science download webcam"
+)
+_KEYWORDS = (
+    "login secure verification verify update account support auth office microsoft apple paypal bank wallet crypto giftcard helpdesk"
+)
+
 _NEAR = "c.event_time >= a.started_at AND c.event_time <= a.started_at + INTERVAL "
 
 
@@ -455,6 +463,36 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
                   "labels conversations").split())
+    answers["io04_loaded_tables"] = answers["io05_table_counts"] + "".join(
+        f" UNION ALL SELECT '{t}', 0" for t in ("sessions", "rate_limit_events", "osint_observations"))
+    answers["io02_named_table"] = "SELECT event_type, count(*) AS n_events, 0::BIGINT AS n_sessions FROM events GROUP BY event_type"
+    answers["io03_required_tables"] = compose(
+        """SELECT 'k8s_audit_logs' AS table_name, count(*) AS row_count FROM audit
+        UNION ALL SELECT 'resource_metrics', count(*) FROM lines UNION ALL SELECT 'network_flows', count(*) FROM lines""",
+        "audit", "lines")
+    answers["io06_csv_round_trip"] = compose("SELECT * FROM requests", "requests")
+    answers["io07_parquet_round_trip"] = compose("SELECT * FROM identity", "identity")
+    answers["io09_json_round_trip"] = answers["sg22_scaled_overall_cluster"]
+    answers["pf16_defaults_and_numbers"] = """
+        SELECT event_id, event_type, CASE WHEN event_id % 3 <> 0 THEN regexp_extract(props, '([0-9]+)', 1)::BIGINT END AS number,
+               '' AS campaign_id FROM events"""
+    dns = PACK_DETECTIONS["dns"]
+    answers["mf01_run_of_a_pack"] = f"""SELECT name, CASE WHEN name <> '{dns[2]}' THEN row_count END AS row_count,
+               CASE WHEN name <> '{dns[2]}' THEN columns END AS columns, name = '{dns[2]}' AS failed
+        FROM ({answers["mf02_manifest_dns"]})"""
+    answers["ft05_dns_build"] = compose(
+        f"""SELECT ts, request_id, org_id, account_id, device_fingerprint, host_raw, base_domain, split_part(base_domain, '.', -1) AS tld,
+               coalesce(lag(base_domain) OVER (PARTITION BY account_id, device_fingerprint ORDER BY ts, request_id), '') AS parent_domain,
+               suspicious_tld, keyword_hit, high_entropy, rare_domain,
+               (2 * suspicious_tld::INT + 3 * keyword_hit::INT + high_entropy::INT + rare_domain::INT)::BIGINT AS score
+        FROM (SELECT *, regexp_extract(host_raw, '[^.]+[.][^.]+$') AS base_domain FROM hosts_raw)
+        JOIN (SELECT base_domain, count(*) <= 5 AS rare_domain,
+                     split_part(base_domain, '.', -1) IN ({", ".join(f"'{x}'" for x in _TLDS.split())}) AS suspicious_tld,
+                     regexp_matches(base_domain, '{"|".join(_KEYWORDS.split())}') AS keyword_hit,
+                     list_aggregate(regexp_extract_all(replace(base_domain, '.', ''), '.'), 'entropy') > 3.5 AS high_entropy
+              FROM (SELECT regexp_extract(host_raw, '[^.]+[.][^.]+$') AS base_domain FROM hosts_raw) GROUP BY base_domain)
+        USING (base_domain)""", "hosts_raw", extra={
+            "hosts_raw": (("hosts",), "SELECT ts, request_id, org_id, account_id, device_fingerprint, host_raw FROM hosts")})
     answers["jn07_keyed_interval"] = """
         SELECT e.user_id, e.ts AS error_ts, p.ts AS purchase_ts FROM events e JOIN events p
           ON p.user_id = e.user_id AND p.ts >= e.ts AND p.ts <= e.ts + INTERVAL '6 hours'

@@ -17,7 +17,7 @@ from sieveline.operators.neighbours import previous_value
 from sieveline.plans import features, hunts, packs, quality, signals
 from sieveline.plans.packs import DETECTIONS, PACKS
 from sieveline.plans.takeover import takeover_chains
-from sieveline.sources import cleaning, tables
+from sieveline.sources import artifacts, cleaning, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Telemetry], DataFrame]
@@ -252,6 +252,70 @@ def _table_counts(t: Telemetry) -> DataFrame:
     return tables.row_counts({name: t.table(name) for name in sorted(tables.discover(t.spark, t.directory))})
 
 
+def _loaded_counts(t: Telemetry) -> DataFrame:
+    """Rows of every loaded table and, with none, of the stand-ins for optional ones."""
+    return tables.row_counts(tables.with_optional(t.spark, tables.load(t.spark, t.directory)))
+
+
+def _named_table(t: Telemetry) -> DataFrame:
+    """A loaded table by the name it was registered under, in a session of its own views."""
+    session = t.spark.newSession()
+    tables.with_optional(session, tables.load(session, t.directory, register=True), register=True)
+    return session.sql(
+        "SELECT event_type, count(*) AS n_events, count(session_id) AS n_sessions FROM events"
+        " LEFT JOIN sessions ON sessions.session_id = CAST(event_id AS STRING) GROUP BY event_type"
+    )
+
+
+def _required_counts(t: Telemetry) -> DataFrame:
+    """Rows of the tables the cluster pack requires, once none is missing."""
+    sources = t.lazy_sources()
+    tables.require(sources, "cluster")
+    return tables.row_counts({name: sources[name] for name in tables.REQUIRED["cluster"]})
+
+
+def _csv_round_trip(t: Telemetry) -> DataFrame:
+    path, df = artifacts.work_folder(t.spark, "csv"), t.requests
+    artifacts.write_csv(df, path)
+    return artifacts.read_csv(t.spark, path, df.schema)
+
+
+def _parquet_round_trip(t: Telemetry) -> DataFrame:
+    path, df = artifacts.work_folder(t.spark, "parquet"), t.identity
+    artifacts.write_parquet(df, path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
+def _json_round_trip(t: Telemetry) -> DataFrame:
+    path, df = artifacts.work_folder(t.spark, "json"), signals.overall_risk(_scaled_signals(t, "cluster"))
+    artifacts.write_json(df, path)
+    return artifacts.read_json(t.spark, path, df.schema)
+
+
+def _defaults_and_numbers(t: Telemetry) -> DataFrame:
+    """Events with a column they lack and a number read from text, of which a third is malformed."""
+    text = F.regexp_replace("props", r'[{}":k ]', "")
+    odd = F.when(F.col("event_id") % 3 == 0, F.concat(text, F.lit("x"))).otherwise(text)
+    slim = t.table("events").select("event_id", "event_type", odd.alias("number"))
+    filled = cleaning.fill_absent(slim, {"campaign_id": "", "event_type": "unused"})
+    return cleaning.coerce_numbers(filled, {"number": "bigint"})
+
+
+def _run_of_a_pack(t: Telemetry) -> DataFrame:
+    """What a pack run lists over telemetry tables in a folder, one of its detections failing."""
+    folder = artifacts.work_folder(t.spark, "pack")
+    artifacts.write_parquet(t.dns, f"{folder}/data/dns_events.parquet")
+    broken = {"q22_exposed_accounts": {"no_such_parameter": 1}}
+    listing = packs.run_pack(t.spark, "dns", f"{folder}/data", f"{folder}/out", strict=True, params=broken)
+    return listing.select("name", "row_count", F.array_join("columns", ",").alias("columns"), F.col("error").isNotNull().alias("failed"))
+
+
+def _dns_build(t: Telemetry) -> DataFrame:
+    """The whole feature build from raw hosts, with the default lists and thresholds and the default entity."""
+    raw = t.hosts.select("ts", "request_id", "org_id", "account_id", "device_fingerprint", "host_raw")
+    return features.build_dns_events(raw, order=("ts", "request_id"))
+
+
 PLANS: dict[str, Plan] = {
     **{name: _report(name) for name in DETECTIONS},
     "q05_default_width": _default_width("q05_burst_zscore"),
@@ -302,7 +366,16 @@ PLANS: dict[str, Plan] = {
     "ev05_ordered_completeness": _ordered_completeness,
     "ev06_alert_priority": _priorities,
     "ev07_signal_alignment": _alignment,
+    "io02_named_table": _named_table,
+    "io03_required_tables": _required_counts,
+    "io04_loaded_tables": _loaded_counts,
     "io05_table_counts": _table_counts,
+    "io06_csv_round_trip": _csv_round_trip,
+    "io07_parquet_round_trip": _parquet_round_trip,
+    "io09_json_round_trip": _json_round_trip,
+    "pf16_defaults_and_numbers": _defaults_and_numbers,
+    "mf01_run_of_a_pack": _run_of_a_pack,
+    "ft05_dns_build": _dns_build,
     "jn07_keyed_interval": _keyed_interval,
     "wn02_previous_event": _previous_event,
     "sc12_clock_functions": _clock,

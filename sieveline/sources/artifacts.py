@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def work_folder(spark: SparkSession, what: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; a temporary one only in local mode without it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="sieveline-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+# Text sinks keep microseconds, which Spark's own formats cut to milliseconds.
+TEXT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **TEXT_TIMES).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
@@ -17,10 +38,14 @@ def write_parquet(df: DataFrame, path: str, max_records_per_file: int = 0) -> No
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**TEXT_TIMES).json(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Typed when a schema is given, otherwise every column as text; never an inference pass."""
     reader = spark.read.option("header", True)
     return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).json(path)

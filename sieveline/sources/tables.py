@@ -51,8 +51,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, directory: str, register: bool = True) -> dict[str, DataFrame]:
-    """Every discovered table, conformed to its declared schema if it has one."""
+def load(spark: SparkSession, directory: str, register: bool = False) -> dict[str, DataFrame]:
+    """Every discovered table, conformed to its declared schema if it has one.
+
+    ``register`` makes each a temporary view of its name, replacing any view of that name.
+    """
     tables = {}
     for name, path in discover(spark, directory).items():
         df = spark.read.parquet(path)
@@ -77,11 +80,12 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[name])
 
 
-def with_optional(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """``tables`` plus an empty typed stand-in for each optional table that is absent."""
+def with_optional(spark: SparkSession, tables: Mapping[str, DataFrame], register: bool = False) -> dict[str, DataFrame]:
+    """``tables`` plus an empty typed stand-in for each optional table that is absent, as a view too with ``register``."""
     stand_ins = {name: empty(spark, name) for name in OPTIONAL if name not in tables}
-    for name, df in stand_ins.items():
-        df.createOrReplaceTempView(name)
+    if register:
+        for name, df in stand_ins.items():
+            df.createOrReplaceTempView(name)
     return {**tables, **stand_ins}
 
 

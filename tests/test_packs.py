@@ -34,7 +34,7 @@ def data_dir(spark, tmp_path_factory):
 def test_discovery_and_loading(spark, data_dir):
     found = tables.discover(spark, data_dir)
     assert list(found) == sorted(found) and "llm_requests" in found
-    loaded = tables.load(spark, data_dir)
+    loaded = tables.load(spark, data_dir, register=True)
     assert loaded["identity_events"].schema == SCHEMAS["identity_events"]
     assert spark.sql("SELECT count(*) AS n FROM llm_requests").first().n == 60
     counts = {r.table_name: r.row_count for r in tables.row_counts(loaded).collect()}
@@ -50,7 +50,7 @@ def test_conform_fills_absent_and_malformed(spark):
 
 
 def test_required_tables_differ_per_pack(spark, data_dir):
-    loaded = tables.load(spark, data_dir, register=False)
+    loaded = tables.load(spark, data_dir)
     tables.require(loaded, "takeover")
     tables.require(loaded, "coordinated")
     assert tables.missing(loaded, "dns") == ["dns_events"]
@@ -59,7 +59,7 @@ def test_required_tables_differ_per_pack(spark, data_dir):
 
 
 def test_absent_optional_tables_are_empty_and_typed(spark, data_dir):
-    full = tables.with_optional(spark, tables.load(spark, data_dir))
+    full = tables.with_optional(spark, tables.load(spark, data_dir), register=True)
     assert full["rate_limit_events"].schema == SCHEMAS["rate_limit_events"]
     assert spark.sql("SELECT * FROM osint_observations").count() == 0
 
@@ -148,3 +148,11 @@ def test_times_are_utc_in_any_session(spark):
         assert [r[0] for r in kept.selectExpr("unix_seconds(ts)").collect()] == [1704067200]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_text_sinks_keep_microseconds(spark, tmp_path):
+    rows = spark.sql("SELECT 1 AS i, TIMESTAMP_NTZ '2024-01-02 03:04:05.678901' AS t, TIMESTAMP '2024-01-02 03:04:05.678901' AS u")
+    artifacts.write_csv(rows, str(tmp_path / "csv"))
+    artifacts.write_json(rows, str(tmp_path / "json"))
+    assert artifacts.read_csv(spark, str(tmp_path / "csv"), rows.schema).collect() == rows.collect()
+    assert artifacts.read_json(spark, str(tmp_path / "json"), rows.schema).collect() == rows.collect()
