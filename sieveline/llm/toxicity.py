@@ -31,6 +31,7 @@ BUCKETS = 1 << 18
 MASK = BUCKETS - 1
 WIDTH = 8
 GRAMS = (3, 4, 5)
+#: Characters of a word that are read at once.
 LONGEST = 40
 PASSAGE = 4
 STAGES = 3
@@ -45,26 +46,29 @@ FOLDS, HELD_OUT = 3, 1
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case words; of a word repeated on end one is read, as saying it often makes it no other word."""
-    return [w for w, _ in groupby((text or "").lower().split())]
+    """Lower-case words; of a word repeated on end one is read, as saying it often makes it no other word.
+
+    A word over ``LONGEST`` characters is read as half-overlapping pieces of that length, so that nothing in it is diluted.
+    """
+    words = [w for w, _ in groupby((text or "").lower().split())]
+    if max(map(len, words), default=0) > LONGEST:
+        step = LONGEST // 2
+        words = [w[i : i + LONGEST] for w in words for i in (range(0, len(w) - step, step) if len(w) > LONGEST else (0,))]
+    return words
 
 
 def grams(word: str) -> list[int]:
-    """Buckets of a word and its n-grams; of a word over ``LONGEST`` characters only the n-grams of both ends."""
+    """Buckets of a word and its n-grams."""
     raw = f"<{word}>"
-    if len(raw) > LONGEST:
-        parts = [raw[: LONGEST // 2], raw[-LONGEST // 2 :]]
+    if raw.isascii():  # bytes are characters then
+        code = raw.encode()
+        found = [zlib.crc32(code) & MASK]
+        for n in GRAMS:
+            found += [zlib.crc32(code[i : i + n]) & MASK for i in range(len(code) - n + 1)]
     else:
-        parts = [raw]
-    found = [zlib.crc32(raw.encode("utf-8", "surrogatepass")) & MASK]
-    for part in parts:
-        if part.isascii():  # bytes are characters then
-            code = part.encode()
-            for n in GRAMS:
-                found += [zlib.crc32(code[i : i + n]) & MASK for i in range(len(code) - n + 1)]
-        else:
-            for n in GRAMS:
-                found += [zlib.crc32(part[i : i + n].encode("utf-8", "surrogatepass")) & MASK for i in range(len(part) - n + 1)]
+        found = [zlib.crc32(raw.encode("utf-8", "surrogatepass")) & MASK]
+        for n in GRAMS:
+            found += [zlib.crc32(raw[i : i + n].encode("utf-8", "surrogatepass")) & MASK for i in range(len(raw) - n + 1)]
     return found
 
 

@@ -420,3 +420,13 @@ def test_best_fit_takes_the_tightest_window():
 
 def test_pack_of_nothing(spark):
     assert packing.pack(small.nothing(spark), TOKENIZER).count() == 0
+
+
+def test_toxicity_reads_long_words_whole():
+    long = "".join(chr(97 + i * 7 % 26) for i in range(1003))
+    pieces = toxicity.words_of(f"short {long} end")
+    assert pieces[0] == "short" and pieces[-1] == "end" and max(map(len, pieces)) == toxicity.LONGEST
+    step = toxicity.LONGEST // 2
+    assert pieces[1] + "".join(p[step:] for p in pieces[2:-1]) == long
+    assert toxicity.words_of("a" * toxicity.LONGEST) == ["a" * toxicity.LONGEST]
+    assert toxicity.words_of(None) == []
