@@ -194,7 +194,7 @@ class Telemetry:
     @cached_property
     def dns(self) -> DataFrame:
         """``dns_events``: queries with heuristics and the account's previous host as parent."""
-        edged = with_transition_edges(self.hosts, ["account_id"], ["ts", "request_id"], slice_width="1 day")
+        edged = with_transition_edges(self.hosts, ["account_id"], ["ts", "request_id"])
         return with_dns_features(edged, HEURISTICS, counted=self.hosts)
 
     @cached_property

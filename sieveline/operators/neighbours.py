@@ -1,39 +1,57 @@
-"""The previous row of an entity in time order, with hot entities split along time."""
+"""The previous row of an entity in time order, with hot entities split by rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.clock import bucket_start, shift
+from sieveline.functions.clock import shift, span_seconds
 from sieveline.operators.heavy import FLOOR_ROWS, heavy_keys, mark_heavy, same_keys
 
 
+def row_slices(df: DataFrame, is_heavy: Column, keys: Sequence[str], ts: str, resolution: float, floor: int) -> DataFrame:
+    """Adds ``__slice``: consecutive stretches of a heavy entity's time, NULL for the rows of any other.
+
+    Rows are counted per ``resolution`` (in seconds) and a slice ends where ``floor`` rows are reached, so it holds at most
+    ``floor`` rows and those of one ``resolution`` more.  The running count is a window over one row per entity and ``resolution``.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
+    timed = df.withColumn("__tick", F.when(is_heavy, F.floor(span_seconds(epoch, F.col(ts)) / resolution)))
+    ticks = timed.where(F.col("__tick").isNotNull()).groupBy(*keys, "__tick").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__tick").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    ticks = ticks.select(*keys, "__tick", F.floor(before / F.lit(max(floor, 1))).alias("__slice"))
+    here = same_keys("d", "s", keys, null_safe=True) & (F.col("d.__tick") == F.col("s.__tick"))
+    return timed.alias("d").join(ticks.alias("s"), here, "left").select(*[F.col(f"d.{c}") for c in df.columns], "s.__slice")
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     out: str,
-    slice_width: str = "1 hour",
+    resolution: float = 1,
     max_gap: str | None = None,
     floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per ``keys`` in ``order`` (whose first column is the timestamp).
 
     Ordinary entities are one window partition each.  Entities that are heavy are cut into
-    time slices; the first row of a slice takes the last value of the entity's previous
-    non-empty slice, found among one row per slice.  ``max_gap`` drops a predecessor that
-    lies further back than that.
+    slices of about ``floor`` rows; the first row of a slice takes the last value of the
+    entity's previous slice, found among one row per slice.  A slice never ends inside one
+    ``resolution``, and rows without a timestamp are a slice of their own, the first one.
+    ``max_gap`` drops a predecessor that lies further back than that.
     """
     keys, order = list(keys), list(order)
     ts = order[0]
     previous = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
     marked = mark_heavy(df, heavy_keys(df.select(*keys), keys, floor=floor), keys, "__rows")
     is_heavy = F.col("__rows").isNotNull()
-    sliced = marked.withColumn("__slice", F.when(is_heavy, bucket_start(ts, slice_width)))
+    sliced = row_slices(marked, is_heavy, keys, ts, resolution, floor)
+    sliced = sliced.withColumn("__slice", F.when(is_heavy, F.coalesce("__slice", F.lit(-1))))
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
     near = sliced.withColumn("__near", F.lag(previous).over(inside))
 

@@ -80,10 +80,9 @@ def with_transition_edges(
     entity: Sequence[str] = ("account_id", "device_fingerprint"),
     order: Sequence[str] = ("ts",),
     max_gap: str | None = None,
-    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Adds ``parent_domain``: the entity's previous domain, ``''`` when there is none."""
-    edged = previous_value(df, entity, order, "base_domain", "parent_domain", slice_width, max_gap)
+    edged = previous_value(df, entity, order, "base_domain", "parent_domain", max_gap=max_gap)
     return edged.withColumn("parent_domain", F.coalesce("parent_domain", F.lit("")))
 
 

@@ -199,7 +199,7 @@ def _keyed_interval(t: Telemetry) -> DataFrame:
 
 def _previous_event(t: Telemetry) -> DataFrame:
     events = t.table("events").select("event_id", "user_id", "ts", "event_type")
-    return previous_value(events, ["user_id"], ["ts", "event_id"], "event_type", "previous_type", "1 day", "2 days")
+    return previous_value(events, ["user_id"], ["ts", "event_id"], "event_type", "previous_type", max_gap="2 days")
 
 
 def _alignment(t: Telemetry) -> DataFrame:
@@ -353,7 +353,7 @@ PLANS: dict[str, Plan] = {
         "request_id", "suspicious_tld", "keyword_hit", "high_entropy", "rare_domain", "score"
     ),
     "ft06_transition_edges": lambda t: features.with_transition_edges(
-        t.hosts, ["account_id", "device_fingerprint"], ["ts", "request_id"], slice_width="1 day"
+        t.hosts, ["account_id", "device_fingerprint"], ["ts", "request_id"]
     ).select("request_id", "base_domain", "parent_domain"),
     "ft07_base_domain": _page_hosts,
     "ft08_unified_identity": _unified_identity,

@@ -10,7 +10,7 @@ from sieveline.operators.firsts import distinct_entities, first_seen
 from sieveline.operators.heavy import heavy_keys, mark_heavy, salts_of
 from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
-from sieveline.operators.neighbours import previous_value
+from sieveline.operators.neighbours import previous_value, row_slices
 from sieveline.operators.ranking import ranked
 from sieveline.operators.spread import first_non_null, spread_profile
 
@@ -160,8 +160,8 @@ def test_first_match_edges(spark):
 
 
 @pytest.mark.parametrize("floor", [0, 65, 10**6])
-@pytest.mark.parametrize("slice_width, gap", [("10 minutes", None), ("1 day", None), ("1 hour", "15 minutes")])
-def test_previous_value_equals_plain_lag(spark, slice_width, gap, floor):
+@pytest.mark.parametrize("resolution, gap", [(600, None), (86400, None), (3600, "15 minutes")])
+def test_previous_value_equals_plain_lag(spark, resolution, gap, floor):
     data = moments(10, 200, 400, hot=0.3)
     limit = timedelta(minutes=15) if gap else None
     want, last = [], {}
@@ -170,10 +170,23 @@ def test_previous_value_equals_plain_lag(spark, slice_width, gap, floor):
         want.append((i, None if before is None or (limit and before[0] < t - limit) else before[1]))
         last[k] = (t, i)
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, i int").repartition(4)
-    got = previous_value(df, ["k"], ["t", "i"], "i", "before", slice_width, gap, floor)
+    got = previous_value(df, ["k"], ["t", "i"], "i", "before", resolution, gap, floor)
     assert rows(got, "i", "before") == sorted(want, key=repr)
 
 
+def test_slices_of_a_hot_entity_hold_few_rows(spark):
+    # Nine in ten rows lie in one of the ten hours.
+    timed = "CASE WHEN id % 10 = 0 THEN id * 7200 ELSE id * 60 END"
+    df = spark.range(5000).selectExpr("'hot' AS k", f"timestamp_millis({timed}) AS t", "id")
+    df = df.unionAll(spark.sql("SELECT 'hot', CAST(NULL AS TIMESTAMP), 9000L"))
+    sizes = row_slices(df, F.lit(True), ["k"], "t", 1, 200).groupBy("__slice").count()
+    got = {r["__slice"]: r["count"] for r in sizes.collect()}
+    assert got.pop(None) == 1 and sum(got.values()) == 5000
+    assert max(got.values()) <= 250 and len(got) >= 20
+    found = previous_value(df, ["k"], ["t", "id"], "id", "before", floor=200).orderBy("t", "id").collect()
+    assert [r.before for r in found] == [None, *[r.id for r in found[:-1]]]
+
+
 @pytest.mark.parametrize("heavy_share", [0.2, 1e-5, 1.0])
 def test_frequency_lookup_is_exact_for_heavy_and_rare_keys(spark, heavy_share):
     rng = random.Random(11)
