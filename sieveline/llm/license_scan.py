@@ -3,8 +3,11 @@
 A template is licence wording with markup: ``<<beginOptional>> ... <<endOptional>>`` may be left out, and
 ``<<var;name=...;most=N>>`` stands for up to N words of any kind.  It compiles into a token automaton, and a text is accepted
 where the automaton reads consecutive words of it from a template's first word to its last: mandatory wording has to stand there
-exactly.  Before an automaton runs, the template's longest mandatory phrase is looked for; only places near one are tried,
-which changes no result, as every accepted passage holds that phrase.
+exactly.  Before an automaton runs, the start of the
+template's longest mandatory phrase is looked for; only places near one are tried, which changes no result, as every accepted
+passage holds that phrase.
+
+Whole licences (``*-text``) are read from the stored texts, from the first to the last sentence of their terms.
 
 One pass without a shuffle: a text is scanned inside its Arrow batch and nothing is kept between texts.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,20 +33,107 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Label and template of the notices the scan knows.
-TEMPLATES = {
+LICENSES = Path(__file__).parent / "licenses"
+
+
+def whole_text(file: str, first: str, last: str) -> str:
+    """The mandatory wording of a stored licence: from ``first`` to ``last``; titles and appendices may be left out."""
+    text = " ".join((LICENSES / file).read_text().split())
+    begin = text.index(first)
+    return text[begin : text.index(last, begin) + len(last)]
+
+
+def optional(text: str) -> str:
+    return f"<<beginOptional>>{text}<<endOptional>>"
+
+
+def var(name: str, most: int) -> str:
+    return f"<<var;name={name};most={most}>>"
+
+
+def gnu_notices(name: str, title: str, versions: tuple[str, ...]) -> dict[str, str]:
+    """The notice that GNU licences ask for, of one version or of that and any later one."""
+    found = {}
+    for version in versions:
+        said = version.removesuffix(".0") + (optional(".0") if version.endswith(".0") else "")
+        start = f"redistribute it and/or modify it under the terms of the GNU {title} Public License"
+        start += optional(f", version {said},") + " as published by the Free Software Foundation"
+        found[f"{name}-{version}-or-later-notice"] = (
+            f"{start}{optional(';')} either version {said} of the License, or {optional('(')}at your option{optional(')')} any later version"
+        )
+        found[f"{name}-{version}-only-notice"] = (
+            f"redistribute it and/or modify it under the terms of the GNU {title} Public License as published by the Free Software"
+            f" Foundation{optional(';')} {optional('only')} version {said} of the License",
+            f"redistribute it and/or modify it under the terms of the GNU {title} Public License, version {said}, as published by the"
+            " Free Software Foundation",
+        )
+    return found
+
+
+BSD_START = (
+    f"Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    f" conditions are met: {optional('1.')} Redistributions of source code must retain the above copyright notice, this list of conditions"
+    f" and the following disclaimer. {optional('2.')} Redistributions in binary form must reproduce the above copyright notice, this list of"
+    " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+BSD_NAMES = (
+    f" {optional('3.')} Neither the name of {var('holder', 15)} nor the names of {var('its', 2)} contributors may be used to endorse or"
+    " promote products derived from this software without specific prior written permission."
+)
+BSD_END = (
+    f" THIS SOFTWARE IS PROVIDED BY {var('holders', 12)} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,"
+    " THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL"
+    f" {var('holders', 12)} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT"
+    " NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER"
+    " CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING"
+    " IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
+)
+IS_KIND = optional(f"This {var('kind', 3)} is ")
+
+#: Label and template, or templates, of the notices and whole licences the scan knows.
+TEMPLATES: dict[str, str | tuple[str, ...]] = {
     "apache-2.0-notice": "Licensed under the Apache License<<beginOptional>>, Version 2.0<<endOptional>>"
     "<<beginOptional>> (the \"License\")<<endOptional>>",
-    "gpl-notice": "<<beginOptional>>This <<var;name=kind;most=3>> is <<endOptional>>licensed under the <<beginOptional>>terms of the"
-    " <<endOptional>>GNU General Public License<<beginOptional>>, version <<var;name=version;most=1>><<endOptional>>",
-    "mit-notice": "<<beginOptional>>This <<var;name=kind;most=3>> is <<endOptional>>Released under the MIT License",
-    "cc-by-notice": "Licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>Creative Commons <<endOptional>>CC BY"
-    "<<beginOptional>>-<<var;name=variant;most=2>><<endOptional>> <<beginOptional>>4.0<<endOptional>>",
-    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name=subject;most=12>> to deal in"
-    " the <<var;name=thing;most=4>> without restriction, including without limitation the rights to use, copy, modify, merge,"
-    " publish, distribute, sublicense, and/or sell copies",
     "apache-2.0-grant": "you may not use this <<var;name=thing;most=3>> except in compliance with the License<<beginOptional>>. You may"
     " obtain a copy of the License at<<endOptional>>",
+    "apache-2.0-text": whole_text("Apache-2.0.txt", "TERMS AND CONDITIONS FOR USE", "any such warranty or additional liability."),
+    "gpl-notice": f"{IS_KIND}licensed under the {optional('terms of the ')}GNU General Public License{optional(', version ' + var('version', 1))}",
+    "lgpl-notice": tuple(
+        f"{IS_KIND}licensed under the {optional('terms of the ')}GNU {name} General Public License{optional(', version ' + var('version', 2))}"
+        for name in ("Lesser", "Library")
+    ),
+    "agpl-notice": f"{IS_KIND}licensed under the {optional('terms of the ')}GNU Affero General Public License{optional(', version ' + var('version', 1))}",
+    **gnu_notices("gpl", "General", ("2.0", "3.0")),
+    **gnu_notices("lgpl", "Lesser General", ("2.1", "3.0")),
+    **gnu_notices("agpl", "Affero General", ("3.0",)),
+    "gpl-2.0-text": whole_text("GPL-2.txt", "The licenses for most software", "POSSIBILITY OF SUCH DAMAGES."),
+    "gpl-3.0-text": whole_text("GPL-3.txt", "The GNU General Public License is a free", "in return for a fee."),
+    "lgpl-2.1-text": whole_text("LGPL-2.1.txt", "The licenses for most software", "SUCH DAMAGES."),
+    "lgpl-3.0-text": whole_text("LGPL-3.txt", "This version of the GNU Lesser", "you to choose that version for the Library."),
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+    f" distributed with this file, You can obtain one at {optional('http')}{optional('https')}://{optional('www.')}mozilla.org/MPL/2.0",
+    "mpl-2.0-text": whole_text("MPL-2.0.txt", "1. Definitions", "Exhibit B of this License must be attached."),
+    "mit-notice": (f"{IS_KIND}Released under the MIT License", f"{IS_KIND}licensed under the {optional('terms of the ')}MIT License"),
+    "mit-text": f"Permission is hereby granted, free of charge, to any person obtaining a copy of {var('subject', 12)} to deal in the"
+    f" {var('thing', 4)} without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,"
+    f" sublicense, and/or sell copies of the {var('thing', 4)} and to permit persons to whom the {var('thing', 4)} is furnished to do so,"
+    f" subject to the following conditions: The above copyright notice and this permission notice {optional('(including the next paragraph)')}"
+    f" shall be included in all copies or substantial portions of the {var('thing', 4)} THE {var('thing', 4)} IS PROVIDED \"AS IS\", WITHOUT"
+    " WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR"
+    f" PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL {var('holders', 12)} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN"
+    f" AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE {var('thing', 4)} OR THE USE OR OTHER"
+    f" DEALINGS IN THE {var('thing', 4)}",
+    "isc-text": f"Permission to use, copy, modify, and{optional('/or')} distribute this software for any purpose with or without fee is hereby"
+    " granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\""
+    f" AND {var('holder', 12)} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND"
+    f" FITNESS. IN NO EVENT SHALL {var('holder', 12)} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES"
+    " WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,"
+    " ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+    "bsd-2-clause-text": BSD_START + BSD_END,
+    "bsd-3-clause-text": BSD_START + BSD_NAMES + BSD_END,
+    "cc0-1.0-text": whole_text("CC0-1.0.txt", "The laws of most jurisdictions", "this CC0 or use of the Work."),
+    "cc-by-notice": "Licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>Creative Commons <<endOptional>>CC BY"
+    "<<beginOptional>>-<<var;name=variant;most=2>><<endOptional>> <<beginOptional>>4.0<<endOptional>>",
 }
 
 #: Everything that parts words becomes a blank, A-Z become lower case; bytes over 127 belong to words.
@@ -51,6 +142,8 @@ _FOLD = bytes(
 )
 _MARK = re.compile(r"<<(beginOptional|endOptional|var)((?:;[^;>]*)*)>>")
 ANY = None
+#: Words of the longest mandatory phrase that are looked for.
+ANCHOR = 12
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -150,7 +243,7 @@ def compile_template(label: str, template: str) -> Automaton:
     phrase, before = max(phrases, key=lambda p: len(p[0]))
     if not phrase:
         raise ValueError(f"{label}: a template needs a mandatory word")
-    return Automaton(label, steps, jumps, b" " + b" ".join(phrase) + b" ", before)
+    return Automaton(label, steps, jumps, b" " + b" ".join(phrase[:ANCHOR]) + b" ", before)
 
 
 def scan(text: str | None, automata: list[Automaton], phrases: dict[bytes, str]) -> tuple:
@@ -184,7 +277,7 @@ SQL_TYPES = {pa.int64(): "bigint", pa.string(): "string", pa.float64(): "double"
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Licence labels of every row's whole text.
 
@@ -192,7 +285,7 @@ def scan_licenses(
     repeated rows give repeated rows; places of different phrases may overlap and all count; an empty table gives no rows;
     other columns are not read, so their names cannot clash.
     """
-    automata = [compile_template(label, t) for label, t in templates.items()]
+    automata = [compile_template(label, t) for label, ts in templates.items() for t in ([ts] if isinstance(ts, str) else ts)]
     folded = {b" " + b" ".join(words_of(p)) + b" ": label for p, label in phrases.items()}
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 

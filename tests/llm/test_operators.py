@@ -358,6 +358,56 @@ def test_scan_of_awkward_rows(spark, docs):
     assert license_scan.scan_licenses(small.nothing(spark)).count() == 0
 
 
+def found_labels(text):
+    automata = [license_scan.compile_template(k, t) for k, ts in license_scan.TEMPLATES.items() for t in ([ts] if isinstance(ts, str) else ts)]
+    return set(filter(None, license_scan.scan(text, automata, {})[5].split(",")))
+
+
+MIT = """Copyright (c) 2020 A. Person
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+IN THE SOFTWARE."""
+
+
+def test_whole_licences_need_every_sentence():
+    texts = {"mit-text": MIT}
+    for file, label in (
+        ("Apache-2.0", "apache-2.0-text"), ("CC0-1.0", "cc0-1.0-text"), ("GPL-2", "gpl-2.0-text"), ("GPL-3", "gpl-3.0-text"),
+        ("LGPL-2.1", "lgpl-2.1-text"), ("LGPL-3", "lgpl-3.0-text"), ("MPL-2.0", "mpl-2.0-text"),
+    ):
+        texts[label] = (license_scan.LICENSES / f"{file}.txt").read_text()
+    plain = lambda t: license_scan._MARK.sub(" ", t.replace("<<var;", "some one <<var;"))
+    for label in ("isc-text", "bsd-2-clause-text", "bsd-3-clause-text"):
+        texts[label] = plain(license_scan.TEMPLATES[label])
+    for label, text in texts.items():
+        assert label in found_labels("x " + text + " y"), label
+        words = text.split()
+        for at in (0.3, 0.5, 0.8):
+            k = int(len(words) * at)
+            assert label not in found_labels(" ".join(words[:k] + words[k + 20 :])), label
+        k = len(words) // 2
+        assert label not in found_labels(" ".join(words[:k] + "but never on a Sunday nor in any month that has an R in it".split() + words[k:])), label
+    assert "mit-text" not in found_labels(MIT.replace("The above copyright notice and this permission notice shall be included in all copies", ""))
+    assert "mit-text" not in found_labels(MIT[: MIT.index("IN NO EVENT")])
+
+
+def test_usual_notices():
+    gnu = "you can redistribute it and/or modify it under the terms of the GNU %s Public License as published by the Free Software Foundation; "
+    later = "either version %s of the License, or (at your option) any later version."
+    assert found_labels(gnu % "General" + later % "3") == {"gpl-3.0-or-later-notice"}
+    assert found_labels(gnu % "General" + later % "2") == {"gpl-2.0-or-later-notice"}
+    assert found_labels(gnu % "General" + "version 2 of the License.") == {"gpl-2.0-only-notice"}
+    assert found_labels(gnu % "Lesser General" + later % "2.1") == {"lgpl-2.1-or-later-notice"}
+    assert found_labels(gnu % "Affero General" + later % "3") == {"agpl-3.0-or-later-notice"}
+    assert found_labels("the terms of the Mozilla Public License, v. 2.0.") == set()
+    assert found_labels("Licensed under the MIT license") == {"mit-notice"}
+
+
 # --- lines
 
 
