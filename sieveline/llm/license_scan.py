@@ -3,7 +3,7 @@
 A template is licence wording with markup: ``<<beginOptional>> ... <<endOptional>>`` may be left out, and
 ``<<var;name=...;most=N>>`` stands for up to N words of any kind.  It compiles into a token automaton, and a text is accepted
 where the automaton reads consecutive words of it from a template's first word to its last: mandatory wording has to stand there
-exactly.  Before an automaton runs, the start of the
+exactly.  The longest passage from a place counts, also among templates of one family.  Before an automaton runs, the start of the
 template's longest mandatory phrase is looked for; only places near one are tried, which changes no result, as every accepted
 passage holds that phrase.
 
@@ -70,6 +70,13 @@ def gnu_notices(name: str, title: str, versions: tuple[str, ...]) -> dict[str, s
     return found
 
 
+def cc_notices(label: str, short: tuple[str, ...], long: str) -> dict[str, tuple[str, ...]]:
+    start = f"Licensed under {optional('a ')}{optional('the ')}"
+    tail = f"{optional(' International')}{optional(' Unported')}"
+    names = [f"{start}{optional('Creative Commons ')}CC {s}{optional(' 4.0')}{optional(' 3.0')}{tail}" for s in short]
+    return {label: (*names, f"{start}Creative Commons Attribution{long}{optional(' 4.0')}{optional(' 3.0')}{tail} {optional('Public ')}License")}
+
+
 BSD_START = (
     f"Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
     f" conditions are met: {optional('1.')} Redistributions of source code must retain the above copyright notice, this list of conditions"
@@ -90,12 +97,15 @@ BSD_END = (
 )
 IS_KIND = optional(f"This {var('kind', 3)} is ")
 
-#: Label and template, or templates, of the notices and whole licences the scan knows.
+#: Label and template, or templates, of the notices and whole licences the scan knows.  Where several of one family (the label's
+#: first word) are read from the same word on, the longest passage gives the label.
 TEMPLATES: dict[str, str | tuple[str, ...]] = {
-    "apache-2.0-notice": "Licensed under the Apache License<<beginOptional>>, Version 2.0<<endOptional>>"
-    "<<beginOptional>> (the \"License\")<<endOptional>>",
-    "apache-2.0-grant": "you may not use this <<var;name=thing;most=3>> except in compliance with the License<<beginOptional>>. You may"
-    " obtain a copy of the License at<<endOptional>>",
+    "apache-2.0-notice": f"Licensed under the {optional('terms of the ')}Apache License{optional(', Version')} 2.0{optional(' (the License)')}",
+    "apache-2.0-grant": f"you may not use this {var('thing', 3)} except in compliance with the License. You may obtain a copy of the License at"
+    f" {optional('http')}{optional('https')}://{optional('www.')}apache.org/licenses/LICENSE-2.0{optional('.html')}{optional('.txt')} Unless required by"
+    " applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT"
+    " WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing"
+    " permissions and limitations under the License",
     "apache-2.0-text": whole_text("Apache-2.0.txt", "TERMS AND CONDITIONS FOR USE", "any such warranty or additional liability."),
     "gpl-notice": f"{IS_KIND}licensed under the {optional('terms of the ')}GNU General Public License{optional(', version ' + var('version', 1))}",
     "lgpl-notice": tuple(
@@ -132,8 +142,13 @@ TEMPLATES: dict[str, str | tuple[str, ...]] = {
     "bsd-2-clause-text": BSD_START + BSD_END,
     "bsd-3-clause-text": BSD_START + BSD_NAMES + BSD_END,
     "cc0-1.0-text": whole_text("CC0-1.0.txt", "The laws of most jurisdictions", "this CC0 or use of the Work."),
-    "cc-by-notice": "Licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>Creative Commons <<endOptional>>CC BY"
-    "<<beginOptional>>-<<var;name=variant;most=2>><<endOptional>> <<beginOptional>>4.0<<endOptional>>",
+    # OP8_SQL has the short name of BY-NC under this label as well.
+    **cc_notices("cc-by-notice", ("BY", "BY-NC"), ""),
+    **cc_notices("cc-by-nc-notice", (), "-NonCommercial"),
+    **cc_notices("cc-by-sa-notice", ("BY-SA",), "-ShareAlike"),
+    **cc_notices("cc-by-nd-notice", ("BY-ND",), "-NoDerivatives"),
+    **cc_notices("cc-by-nc-sa-notice", ("BY-NC-SA",), "-NonCommercial-ShareAlike"),
+    **cc_notices("cc-by-nc-nd-notice", ("BY-NC-ND",), "-NonCommercial-NoDerivatives"),
 }
 
 #: Everything that parts words becomes a blank, A-Z become lower case; bytes over 127 belong to words.
@@ -169,24 +184,32 @@ class Automaton:
                     todo.append(t)
         return seen
 
-    def accepts_at(self, words: list[bytes], start: int) -> bool:
-        states, last = self.closed({0}), len(self.steps) - 1
-        while last not in states:
-            if start >= len(words) or not states:
-                return False
+    def longest_at(self, words: list[bytes], start: int) -> int:
+        """Where the longest passage that begins at ``start`` ends; -1 if none is accepted."""
+        states, last, end = self.closed({0}), len(self.steps) - 1, -1
+        while states:
+            if last in states:
+                end = start
+            if start >= len(words):
+                break
             states = self.closed({t for s in states for w, t in self.steps[s] if w is ANY or w == words[start]})
             start += 1
-        return True
+        return end
 
-    def found_in(self, words: list[bytes], joined: bytes) -> bool:
-        """``joined``: the words with a blank around each."""
-        at = joined.find(self.phrase)
+    def passages(self, words: list[bytes], joined: bytes) -> Iterator[tuple[int, int]]:
+        """(start, end) of the longest accepted passage from each place that has one.  ``joined``: the words with a blank around each."""
+        at, tried = joined.find(self.phrase), -1
         while at >= 0:
             place = joined.count(b" ", 0, at)
-            if any(self.accepts_at(words, s) for s in range(max(0, place - self.before), place + 1)):
-                return True
+            for start in range(max(0, place - self.before, tried + 1), place + 1):
+                end = self.longest_at(words, start)
+                if end >= 0:
+                    yield start, end
+            tried = place
             at = joined.find(self.phrase, at + 1)
-        return False
+
+    def found_in(self, words: list[bytes], joined: bytes) -> bool:
+        return any(True for _ in self.passages(words, joined))
 
 
 def compile_template(label: str, template: str) -> Automaton:
@@ -261,7 +284,12 @@ def scan(text: str | None, automata: list[Automaton], phrases: dict[bytes, str])
             places.append(joined.count(b" ", 0, at))
             base.add(label)
             at = joined.find(phrase, at + 1)
-    own = {a.label for a in automata if a.found_in(words, joined)}
+    read: dict[tuple[str, int], tuple[int, str]] = {}
+    for a in automata:
+        family = a.label.split("-")[0]
+        for start, end in a.passages(words, joined):
+            read[family, start] = max(read.get((family, start), (-1, "")), (end, a.label))
+    own = {label for _, label in read.values()}
     score = 1.0 if own else 0.5 if base else 0.0
     return (
         len(words), len(places), min(places, default=None), max(places, default=None),

@@ -408,6 +408,22 @@ def test_usual_notices():
     assert found_labels("Licensed under the MIT license") == {"mit-notice"}
 
 
+def test_versions_and_variants_are_told_apart():
+    assert found_labels("Licensed under the Apache License, Version 2.0.") == {"apache-2.0-notice"}
+    for text in ("Licensed under the Apache License, Version 1.1", "Licensed under the Apache License", "under the Apache License 2.0"):
+        assert found_labels(text) == set()
+    for other in ("http://www.mozilla.org/MPL/", "http://www.apache.org/licenses/LICENSE-1.1"):
+        assert found_labels(f"you may not use this file except in compliance with the License. You may obtain a copy of the License at {other}") == set()
+    assert found_labels("licensed under CC BY 4.0") == {"cc-by-notice"}
+    for variant in ("SA", "ND", "NC-SA", "NC-ND"):
+        assert found_labels(f"Licensed under CC BY-{variant} 4.0.") == {f"cc-by-{variant.lower()}-notice"}
+    long = "licensed under a Creative Commons Attribution%s 4.0 International License"
+    assert found_labels(long % "") == {"cc-by-notice"} and found_labels(long % "-NonCommercial-ShareAlike") == {"cc-by-nc-sa-notice"}
+    found = license_scan.compile_template("t", "a <<beginOptional>>b c<<endOptional>>")
+    words = [b"a", b"b", b"c", b"d"]
+    assert list(found.passages(words, b" a b c d ")) == [(0, 3)] and found.longest_at(words, 1) == -1
+
+
 # --- lines
 
 
