@@ -14,8 +14,9 @@ from sieveline.llm import line_dedup, mixing, packing, quality_knn, simhash
 from sieveline.llm.common import read, stored, word_count
 
 TOKENIZER = "word_bpe_49k.json"
-#: The mix takes this share of all tokens, half way to even sources, and no document twice.
-MIX = {"entropy_gain": 0.5, "most_repeats": 1.0, "budget_share": 0.8}
+#: The mix goes half way to even sources and takes no document twice, so far as four fifths of all tokens allow; it then takes as many
+#: tokens as its weights allow: all of them where sources are alike or there is one.
+MIX = {"entropy_gain": 0.5, "most_repeats": 1.0, "budget_share": 0.8, "fill": True}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

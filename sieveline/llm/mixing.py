@@ -59,10 +59,12 @@ def smallest_exponent(shares: DataFrame, target_entropy: float | None, most_repe
     return high
 
 
-def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain: float | None, most_repeats: float | None, budget_share: float) -> DataFrame:
+def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain: float | None, most_repeats: float | None, budget_share: float, fill: bool = False) -> DataFrame:
     """Weight and token budget of every source of ``totals`` (source, tokens > 0).
 
-    ``target_entropy`` is in nats; ``entropy_gain`` instead puts it that far between the entropy as it is and the largest.
+    ``target_entropy`` is in nats; ``entropy_gain`` instead puts it that far between the entropy as it is and the largest.  With
+    ``fill`` the budget rises from ``budget_share`` to the largest, of all tokens at most, at which the chosen weights draw no source
+    more than ``most_repeats`` times.
     """
     whole = totals.agg(F.sum("tokens"), F.min("tokens"), F.count(F.lit(1))).first()
     tokens, least, sources = whole[0] or 0, whole[1] or 0, whole[2]
@@ -75,9 +77,13 @@ def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain
         if target_entropy is not None or most_repeats is not None:
             exponent = smallest_exponent(shares, target_entropy, most_repeats, budget_share, least / tokens)
     power = F.pow(F.col("share"), F.lit(exponent))
-    normal = shares.agg(F.sum(power)).first()[0] or 1.0
+    normal, room = shares.agg(F.sum(power), F.min(F.col("tokens") / power)).first()
+    normal = normal or 1.0
     weight = power / F.lit(normal)
-    budget = F.round(weight * F.lit(budget_share * tokens)).cast("long")
+    whole_budget = budget_share * tokens
+    if fill and most_repeats is not None and room is not None:
+        whole_budget = max(whole_budget, min(float(tokens), most_repeats * room * normal))
+    budget = F.round(weight * F.lit(whole_budget)).cast("long")
     return shares.select("source", "tokens", weight.alias("weight"), budget.alias("budget"))
 
 
@@ -92,11 +98,12 @@ def mix(
     budget_share: float = 1.0,
     seed: int = 7,
     out: tuple[str, str, str, str] = ("mix_tokens", "mix_block", "mix_order", "mix_budget"),
+    fill: bool = False,
 ) -> DataFrame:
     """Rows of ``docs`` drawn to the target weights, once for each block that draws them.
 
     All columns of ``docs`` stay (a column named as one of ``out`` is replaced); ``out`` names the token count, the block (from
-    0), the place in the block's order and the source's budget.  Defined cases: a null source is a source of its own; a null id
+    0), the place in the block's order and the source's budget.  ``fill``: as in ``source_weights``.  Defined cases: a null source is a source of its own; a null id
     permutes as one id; rows without tokens are never drawn; repeated rows are drawn as rows of their own, ties in the order by
     token count; where ``most_repeats`` cannot be met (it is under ``budget_share``) shares stay as they are; an empty table or
     one without any token gives no rows.
@@ -113,7 +120,7 @@ def mix(
     sums = stored(keyed.groupBy("__source", "__d1", "__d2").agg(F.sum("__tokens").alias("__sum")), "digit-sums")
     totals = sums.groupBy(F.col("__source").alias("source")).agg(F.sum("__sum").alias("tokens")).where("tokens > 0")
     totals = stored(totals, "source-totals")
-    weights = source_weights(totals, target_entropy, entropy_gain, most_repeats, budget_share)
+    weights = source_weights(totals, target_entropy, entropy_gain, most_repeats, budget_share, fill)
 
     def before(total: str, over: list[str], order: str) -> Column:
         frame = Window.partitionBy(*over).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

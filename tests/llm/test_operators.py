@@ -84,6 +84,18 @@ def test_mix_of_awkward_rows(spark, docs):
     same([(r.doc_id, r.text) for r in plain.collect()], [(r.doc_id, r.text) for r in docs.collect() if small.words(r.text)])
 
 
+def test_mix_fills_what_its_weights_allow(spark):
+    how = {"entropy_gain": 0.5, "most_repeats": 1.0, "budget_share": 0.8, "fill": True}
+    for sources in (lambda k: "only", lambda k: f"s{k % 5}", lambda k: "big" if k % 5 else "small"):
+        docs = spark.createDataFrame([(k, sources(k), 3) for k in range(1000)], "doc_id bigint, source string, n bigint")
+        out = mixing.mix(docs, F.col("n"), **how).collect()
+        assert len({r.doc_id for r in out}) == len(out)
+        total, drawn = Counter(sources(k) for k in range(1000)), Counter(r.source for r in out)
+        assert any(drawn[s] == n for s, n in total.items()) and len(out) >= 800  # a source is drawn whole: more would repeat it
+        if len(set(total.values())) == 1:
+            assert len(out) == 1000
+
+
 # --- html
 
 
