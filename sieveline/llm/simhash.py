@@ -22,7 +22,7 @@ from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import read, stored
@@ -185,6 +185,16 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def rooted(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tile: int = TILE) -> DataFrame:
+    """``fps`` (distinct ``fp``, other columns) with the ``root`` of each fingerprint's component."""
+    if not 0 <= radius < 64 or 64 % parts:
+        raise ValueError("radius lies between 0 and 63, parts divides 64")
+    fps = stored(fps, "distinct-fingerprints")
+    linked = components(link_edges(fps, radius, parts, tile))
+    labelled = fps.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    return stored(labelled.select(*fps.columns, F.coalesce("root", "fp").alias("root")), "labels")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, parts: int = PARTS, tile: int = TILE) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the smallest id that links of at most ``radius`` bits reach.
 
@@ -192,13 +202,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a component only where it has no other (``component_id`` is null then); repeated rows give repeated rows; an empty table
     gives none; other columns are not read, so their names cannot clash.
     """
-    if not 0 <= radius < 64 or 64 % parts:
-        raise ValueError("radius lies between 0 and 63, parts divides 64")
     rows = stored(fingerprints(docs, id_col, text_col), "fingerprints")
-    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    linked = components(link_edges(fps, radius, parts, tile))
-    labelled = fps.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    labelled = stored(labelled.select("fp", "least", F.coalesce("root", "fp").alias("root")), "labels")
+    labelled = rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, parts, tile)
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(labelled.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id"
@@ -206,17 +211,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one document of each component: the row with the smallest id, of several such the shortest text (ties by its hash).
 
-    Of rows that repeat an id the shortest text stays (ties by a hash of it).  Rows without an id cannot be named and all stay.
+    Components are of texts, not of ids: an id with texts in several components may stay in each of them.  A row without an id
+    cannot be held against named ones and is no copy of them; of the rows of a component that have no id one stays too.
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keeper")).distinct()
-    named = docs.where(F.col(f"`{id_col}`").isNotNull())
-    named = named.join(keepers, named[id_col] == keepers["__keeper"], "left_semi")
-    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.length(f"`{text_col}`"), F.xxhash64(f"`{text_col}`"))
-    first = named.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth")
-    return first.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    key = F.struct(doc_id.alias("doc_id"), F.length(text).alias("size"), F.xxhash64(text).alias("hash"))
+    rows = stored(fingerprints(docs.select(key.alias("key"), text.alias("text")), "key", "text").withColumnRenamed("doc_id", "key"), "fingerprints")
+    named = F.col("key.doc_id").isNotNull()
+    least = [F.min(F.when(named, F.col("key"))).alias("named"), F.min(F.when(~named, F.col("key"))).alias("nameless")]
+    labelled = rooted(rows.groupBy("fp").agg(*least), **how)
+    keepers = labelled.groupBy("root").agg(F.min("named").alias("named"), F.min("nameless").alias("nameless"))
+    keepers = keepers.select(F.explode(F.array_compact(F.array("named", "nameless"))).alias("k"))
+    keepers = keepers.select(F.col("k.doc_id").alias("__id"), F.col("k.size").alias("__size"), F.col("k.hash").alias("__hash"))
+    keyed = docs.withColumns({"__length": F.length(text), "__text_hash": F.xxhash64(text)})
+    match = doc_id.eqNullSafe(F.col("__id")) & F.col("__length").eqNullSafe(F.col("__size")) & (F.col("__text_hash") == F.col("__hash"))
+    found = keyed.join(keepers, match, "left_semi").dropDuplicates([id_col, "__length", "__text_hash"])
+    return found.drop("__length", "__text_hash")
 
 
 def op4_tiled_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -247,6 +247,17 @@ def test_one_of_each_stays(docs, pairs):
     assert sum(d is None for d, _ in kept) == 2
 
 
+def test_keepers_are_rows_not_ids(spark):
+    draw = random.Random(12)
+    prose = lambda: " ".join("".join(draw.choice("aeilnorst") for _ in range(6)) for _ in range(200))
+    one, two, three = prose(), prose(), prose()
+    rows = [(5, one), (2, one + " x"), (5, two + " longer"), (9, two), (7, prose()), (7, prose() + " more"), (None, three), (None, three + " y"), (9, two)]
+    prints = [simhash.fingerprint(t) & (2**64 - 1) for _, t in rows]
+    assert all((prints[i] ^ prints[j]).bit_count() <= 3 for i, j in ((0, 1), (2, 3), (6, 7)))
+    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    same([tuple(r) for r in kept.collect()], [rows[1], rows[2], rows[4], rows[5], rows[6]])
+
+
 # --- search
 
 
