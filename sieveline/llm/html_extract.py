@@ -34,12 +34,19 @@ EPOCHS, BATCH, STEP = 10, 24, 0.01
 GROUP = 64
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+MATH = (
+    "math mi mo mn ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover"
+    " mmultiscripts mprescripts mtable mtr mtd mlabeledtr maction semantics none mspace"
+).split()
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup"
     " time tt u var wbr br area map picture source ruby rb rt rp nobr center".split()
+    + MATH
 )
 #: Elements whose content is no text of the page.
-DROPPED = frozenset("script style noscript template svg math iframe object canvas audio video head title textarea select button datalist".split())
+DROPPED = frozenset("script style noscript template svg annotation annotation-xml iframe object canvas audio video head title textarea select button datalist".split())
+#: Start tags that may stand in a head; any other one, or text, ends it.
+HEAD = frozenset("base basefont bgsound link meta title style script noscript template head html".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 #: Start tags that end an open element of the same row without an end tag.
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -78,22 +85,47 @@ def leaf_blocks(page: str | None) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
-    linked = dropped = 0
+    linked = 0
+    #: Open dropped elements: name, depth, blocks before, text before and its links.
+    drops: list[tuple[str, int, int, list[str], int, bool]] = []
     in_link = False
     skip_to = ""
 
     def flush() -> None:
         nonlocal linked, in_link
-        if text:
+        if text:  # text in a dropped element counts as a block until its end tag takes it out
             whole = " ".join(entities.unescape("".join(text)).split())
             if whole:
                 blocks.append((whole, tuple(t for _, tokens in stack for t in tokens), min(1.0, linked / len(whole))))
         text.clear()
         linked, in_link = 0, False
 
+    def taken_out(k: int) -> None:
+        """The dropped element ``k`` ends: what was read since its start is no text."""
+        nonlocal text, linked, in_link
+        _, depth, before, text, linked, in_link = drops[k]
+        del blocks[before:], stack[depth:], drops[k:]
+
+    def left_open(depth: int) -> None:
+        """Dropped elements deeper than ``depth`` never ended: what was read since their start is text."""
+        nonlocal text, linked, in_link
+        while drops and drops[-1][1] > depth:
+            if drops[-1][0] == "head":
+                taken_out(len(drops) - 1)
+                continue
+            _, at_depth, before, earlier, links, _ = drops.pop()
+            if len(blocks) == before:
+                text, linked = earlier + text, links + linked
+            elif earlier:
+                whole = " ".join(entities.unescape("".join(earlier)).split())
+                if whole:
+                    path = tuple(t for _, tokens in stack[:at_depth] for t in tokens)
+                    blocks.insert(before, (whole, path, min(1.0, links / len(whole))))
+
     def pop_to(names: tuple[str, ...], scope: frozenset) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in names:
+                left_open(k)
                 flush()
                 del stack[k:]
                 return
@@ -108,7 +140,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         tag = _TAG.search(page, at)
         piece = page[at : tag.start() if tag else len(page)]
-        if piece and not dropped:
+        if drops and drops[-1][0] == "head" and piece.strip():
+            taken_out(len(drops) - 1)
+        if piece:
             text.append(piece)
             if in_link:
                 linked += len(piece.strip())
@@ -119,18 +153,26 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if not name:
             continue
         name = name.lower()
+        if drops and drops[-1][0] == "head" and not closing and name not in HEAD:
+            taken_out(len(drops) - 1)
         if name in DROPPED:
             if name in RAW:
                 skip_to = "" if closing else name
             elif not attributes.rstrip().endswith("/"):
-                dropped = max(0, dropped + (-1 if closing else 1))
+                if not closing:
+                    drops.append((name, len(stack), len(blocks), text, linked, in_link))
+                    text, linked = [], 0
+                else:
+                    k = next((k for k in range(len(drops) - 1, -1, -1) if drops[k][0] == name), -1)
+                    if k >= 0:
+                        taken_out(k)
             continue
         if name == "body" or name == "article" or name == "main":
-            dropped = 0  # a head or the like that was never closed
+            left_open(-1)  # what was never closed
         if name in INLINE:
             if name == "a":
                 in_link = not closing
-            elif name == "br" and not dropped:
+            elif name == "br" or name in MATH:
                 text.append(" ")
             continue
         if name in VOID:
@@ -143,9 +185,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
         flush()
         if name in SAME:
             pop_to(SAME[name], SCOPE - set(SAME[name]))
-        elif stack and stack[-1][0] == "p":
+        elif stack and stack[-1][0] == "p" and (name == "p" or not drops or len(stack) > drops[-1][1]):
+            left_open(len(stack) - 1)
+            flush()
             stack.pop()
         stack.append((name, tokens_of(name, attributes)))
+    left_open(-1)
     flush()
     return blocks
 

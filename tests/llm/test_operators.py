@@ -126,6 +126,17 @@ def test_blocks_and_main_text(labeller):
     assert [len(b[0]) for b in deep] == [1, 99999]
 
 
+def test_elements_left_open_hide_no_text():
+    texts = lambda page: [b[0] for b in html_extract.leaf_blocks(page)]
+    assert texts("<html><head><title>t</title><meta charset=x><div><p>One<p>Two</div>") == ["One", "Two"]
+    assert texts("<head><title>t</title>Words") == ["Words"]
+    for name in ("button", "video", "svg", "object", "select"):
+        assert texts(f"<article><div><{name}></div><p>One</p><p>Two</p></article><div>x</div>") == ["One", "Two", "x"]
+        assert texts(f"<article><{name}><p>One</p><p>Two</p></article>") == ["One", "Two"]
+        assert texts(f"<p>a <{name}>no <b>no</b><div>no</div></{name}> b</p><p>c") == ["a b", "c"]
+    assert texts("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["So x = 2 holds"]
+
+
 def test_renamed_containers_are_told_apart(labeller):
     page = PAGE.replace("<article>", '<div id="story">').replace("</article>", "</div>").replace('"ad"', '"sponsored box"')
     text = html_extract.main_texts([page], labeller)[0]
