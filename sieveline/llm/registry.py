@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm import (
+    bin_search,
+    conversation_repair,
+    filter_audit,
     html_extract,
     license_scan,
     line_dedup,
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         license_scan.op8_template_licenses,
         line_dedup.op9_line_runs,
         packing.op10_best_fit_packing,
+        filter_audit.op11_bloom_filter_audit,
+        bin_search.op12_swap_packing,
+        conversation_repair.op13_glr_repair,
     )
     return {f.__name__: f for f in found}
 
@@ -43,4 +49,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_dual_cover_tree": topk_search.OP5_SQL,
         "op8_template_licenses": license_scan.OP8_SQL,
         "op9_line_runs": line_dedup.OP9_SQL,
+        "op11_bloom_filter_audit": filter_audit.OP11_SQL,
     }

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="benchmark table
 @pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df = registry.queries()[name](spark, DATA)
     cursor = con.execute(registry.oracle_sql()[name])
