@@ -1,16 +1,21 @@
-"""Keys that hold so many rows that one task should not serve them alone."""
+"""Cells, that is keys or keys and time bins, that hold so many rows that one task should not serve them alone.
+
+A join or window plans its salts from one pass over its inputs: rows are counted per cell, and the few cells above a
+floor come to the driver as a local table.  Without any the plain plan is used; the counted inputs are never part of it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most 1 / MIN_SHARE keys can be heavy, which bounds every broadcast of them.
-MIN_SHARE = 1e-5
-# Groups up to this size are ordinary work for one task whatever their share.
+# Cells up to this size are ordinary work for one task.
 FLOOR_ROWS = 100_000
+# Of the cells above the floor the largest count as heavy, which bounds every local table and broadcast of them.
+MOST_CELLS = 100_000
 
 
 def same_keys(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
@@ -22,35 +27,55 @@ def same_keys(left: str, right: str, keys: Sequence[str], null_safe: bool = Fals
     return cond
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = MIN_SHARE, floor: int = FLOOR_ROWS) -> DataFrame:
-    """Keys with more than ``floor`` rows and more than ``share`` of all rows, with their ``rows``.
-
-    At most ``1 / share`` keys can qualify.
-    """
-    if not MIN_SHARE <= share <= 1:
-        raise ValueError(f"share lies between {MIN_SHARE} and 1, as 1 / share bounds the result")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.select(F.sum("rows")).scalar()
-    return counts.where((F.col("rows") > floor) & (F.col("rows") > share * total))
+def rows_of(side: int) -> str:
+    """Name of a side's row count in a table of heavy cells."""
+    return f"__rows{side}"
 
 
-def mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Adds ``out``: the row count of a heavy key, NULL for any other key.
+def heavy_cells(
+    sides: Sequence[DataFrame],
+    cell: Sequence[str],
+    floor: int = FLOOR_ROWS,
+    most: int = MOST_CELLS,
+    nulls: bool = False,
+) -> DataFrame | None:
+    """Cells where a side has more than ``floor`` rows, with every side's row count; None where no cell has.
 
-    ``heavy`` is broadcast, as :func:`heavy_keys` bounds its size.
+    Runs one job that reads each side once, for the columns of ``cell`` alone.  The result is a local table of the ``most``
+    largest cells at most; a cell beyond those holds less than ``1 / most`` of all rows.  A cell with a missing part
+    counts only with ``nulls``.
     """
-    joined = df.alias("d").join(F.broadcast(heavy).alias("h"), same_keys("d", "h", keys, null_safe=True), "left")
-    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("h.rows").alias(out))
+    counts = [rows_of(at) for at in range(len(sides))]
+    tagged = reduce(
+        DataFrame.unionByName,
+        [
+            side.select(*cell, *[F.lit(int(at == other)).cast("bigint").alias(c) for other, c in enumerate(counts)])
+            for at, side in enumerate(sides)
+        ],
+    )
+    if not nulls:
+        tagged = tagged.dropna(subset=list(cell))
+    cells = tagged.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in counts])
+    largest = F.greatest(*counts) if len(counts) > 1 else F.col(counts[0])
+    found = cells.where(largest > floor).orderBy(largest.desc()).limit(most).toArrow()
+    return tagged.sparkSession.createDataFrame(found, cells.schema) if found.num_rows else None
+
+
+def mark_heavy(df: DataFrame, heavy: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """Adds the row counts of heavy cells, NULL for any other; ``heavy`` is broadcast, as its size is bounded."""
+    joined = df.alias("d").join(F.broadcast(heavy).alias("h"), same_keys("d", "h", cell, null_safe=True), "left")
+    added = [c for c in heavy.columns if c not in cell]
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], *[F.col(f"h.{c}") for c in added])
 
 
 def salts_of(rows: Column, floor: int = FLOOR_ROWS) -> Column:
-    """How many salts a key with that many rows is split over, ``floor`` rows each; ordinary keys (NULL) get one."""
-    return F.when(rows.isNull(), F.lit(1)).otherwise(F.ceil(rows / F.lit(max(floor, 1))).cast("int"))
+    """How many salts a cell with that many rows is split over, ``floor`` rows each; ordinary cells (NULL) get one."""
+    return F.when(F.coalesce(rows, F.lit(0)) == 0, F.lit(1)).otherwise(F.ceil(rows / F.lit(max(floor, 1))).cast("int"))
 
 
-def row_salt(df: DataFrame, salts: Column) -> Column:
-    """One salt below ``salts`` per row; the partition id spreads exact copies of a row as well."""
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), salts).cast("int")
+def row_spread(df: DataFrame) -> Column:
+    """A number to salt rows by; the partition id spreads exact copies of a row as well."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(2**31 - 1))
 
 
 def every_salt(salts: Column) -> Column:

@@ -2,13 +2,14 @@
 
 Bins are as wide as the interval, so an interval touches exactly two of them.  The
 bin is part of the join key: an entity with a large share of the rows is split
-along time, and a salt splits what is left inside one bin.  Only candidates of two
-neighbouring bins ever meet; the exact range test stays on the join condition.
+along time, and salts split what is left inside one bin.  Salts are planned from one
+count of both sides.  Only candidates of two neighbouring bins ever meet; the exact
+range test stays on the join condition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,14 +18,17 @@ from sieveline.functions.clock import bucket_start, shift
 from sieveline.operators.heavy import (
     FLOOR_ROWS,
     every_salt,
-    heavy_keys,
+    heavy_cells,
     mark_heavy,
-    row_salt,
+    row_spread,
+    rows_of,
     salts_of,
     same_keys,
 )
+from sieveline.operators.slices import SLICE, range_slices
+from sieveline.sources.artifacts import staged
 
-_BIN, _SALT = "__bin", "__salt"
+_BIN, _SALTS = "__bin", ("__salt0", "__salt1")
 
 
 def interval_join(
@@ -43,8 +47,9 @@ def interval_join(
     ``keys`` are equi-join columns of both sides (kept once; NULL matches nothing);
     all other column names must differ.  The ``replicate`` side, best the smaller one, is
     copied to the second bin; rows of the other side go to exactly one.  With ``split``,
-    each (keys, bin) that is heavy on a side is cut into as many salts as its rows there ask
-    for, to all of which its partners on the other side are copied.
+    both sides are counted once, in a job of its own, and each (keys, bin) that is heavy on a
+    side is cut into as many salts as its rows there ask for, to all of which its partners on
+    the other side are copied; where none is heavy the join carries no salts.
     """
     if replicate not in ("starts", "points"):
         raise ValueError("replicate is 'starts' or 'points'")
@@ -56,19 +61,16 @@ def interval_join(
     copied = first.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
     single = single.withColumn(_BIN, bucket_start(single_ts, within))
     equi = [*keys, _BIN]
-    if split:
-        cell = [*keys, _BIN]
-        heavy = [heavy_keys(side.select(*cell), cell, floor=floor) for side in (single, copied)]
+    heavy = heavy_cells([single, copied], equi, floor) if split else None
+    if heavy is not None:
         sides = []
         for at, side in enumerate((single, copied)):
-            side = side.withColumn("__spread", row_salt(side, F.lit(2**31 - 1)))
-            own, other = f"{_SALT}{at}", f"{_SALT}{1 - at}"
-            side = mark_heavy(side, heavy[at], cell, "__rows")
-            side = side.withColumn(own, F.pmod("__spread", salts_of(F.col("__rows"), floor))).drop("__rows")
-            side = mark_heavy(side, heavy[1 - at], cell, "__rows")
-            sides.append(side.withColumn(other, F.explode(every_salt(salts_of(F.col("__rows"), floor)))))
+            marked = mark_heavy(side.withColumn("__spread", row_spread(side)), heavy, equi)
+            own, other = (salts_of(F.col(rows_of(n)), floor) for n in (at, 1 - at))
+            salted = marked.withColumn(_SALTS[at], F.pmod("__spread", own)).withColumn("__copies", every_salt(other))
+            sides.append(salted.withColumn(_SALTS[1 - at], F.explode("__copies")))
         single, copied = sides
-        equi += [f"{_SALT}0", f"{_SALT}1"]
+        equi += _SALTS
     left, right = (copied, single) if copy_starts else (single, copied)
     in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
     joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range)
@@ -76,24 +78,19 @@ def interval_join(
     return joined.select(*[F.col(f"l.{c}") for c in starts.columns], *kept_right)
 
 
-def _with_bounds(
-    anchors: DataFrame, points: DataFrame, anchor: str, point: str, lookback: str, keys: Sequence[str]
-) -> DataFrame:
-    """Adds the earliest point of an anchor's bin and the latest point of the bin before.
+def _bounds(points: DataFrame, heavy: DataFrame, point: str, keys: Sequence[str]) -> DataFrame:
+    """Heavy cells with the earliest point of their own bin and the latest of the bin before.
 
-    With bins as wide as the look-back these two decide whether any point matches.
+    With bins as wide as the look-back these two decide whether any point matches an anchor.  Points of other cells are
+    left out before they are grouped; the result has a row per heavy cell.
     """
-    kind = points.schema[point].dataType
-    bounds = points.groupBy(*keys, bucket_start(point, lookback).alias(_BIN)).agg(
-        F.min(point).alias("__lo"), F.max(point).alias("__hi")
-    )
-    here = bounds.select(*keys, _BIN, "__lo", F.lit(None).cast(kind).alias("__hi"))
-    before = bounds.select(
-        *keys, shift(F.col(_BIN), lookback).alias(_BIN), F.lit(None).cast(kind).alias("__lo"), "__hi"
+    cell = [*keys, _BIN]
+    inside = points.join(F.broadcast(heavy.select(*cell)), cell, "left_semi")
+    own = F.col("__own")
+    edges = inside.groupBy(*cell).agg(
+        F.min(F.when(own, F.col(point))).alias("__lo"), F.max(F.when(~own, F.col(point))).alias("__hi")
     )
-    edges = here.unionByName(before).groupBy(*keys, _BIN).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
-    joined = anchors.alias("l").join(edges.alias("e"), same_keys("l", "e", [*keys, _BIN]), "left")
-    return joined.select(*[F.col(f"l.{c}") for c in anchors.columns], "e.__lo", "e.__hi")
+    return heavy.join(edges, cell, "left")
 
 
 def lookback_join(
@@ -107,37 +104,50 @@ def lookback_join(
 ) -> DataFrame:
     """Left outer join of ``anchors`` with every point in ``[anchor - lookback, anchor]``.
 
-    Entities with few points join on (keys, bin) directly.  Points of heavy entities are
-    salted, and their anchors meet every salt; whether such an anchor has any match is
-    settled beforehand from two numbers per (keys, bin), so an unmatched anchor is kept
-    exactly once and a matched one leaves no empty row behind.
+    Both sides are counted once by (keys, bin).  A cell that is heavy on a side is cut into salts there, to which its
+    partners on the other side are copied; so hot anchors are spread like hot points.  Whether an anchor of a heavy
+    cell has any match is settled beforehand from two numbers per cell, so an unmatched anchor is kept exactly once and a
+    matched one leaves no empty row behind.  Anchors that lack a key or a time match nothing and pass by the join.
     """
     keys = list(keys)
-    heavy = heavy_keys(points.select(*keys), keys, floor=floor)
-    marked_points = mark_heavy(points, heavy, keys, "__rows")
-    busy = marked_points.where(F.col("__rows").isNotNull())
-    binned = mark_heavy(anchors, heavy, keys, "__rows").withColumn(_BIN, bucket_start(anchor, lookback))
-    flagged = _with_bounds(binned, busy, anchor, point, lookback, keys)
-
-    is_heavy, width = F.col("__rows").isNotNull(), salts_of(F.col("__rows"), floor)
-    matched = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
-        F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
-    )
-    salted = flagged.withColumn("__matched", is_heavy & matched).withColumn(
-        _SALT, F.explode(F.when(F.col("__matched"), every_salt(width)).otherwise(F.array(F.lit(0))))
-    )
-    placed = marked_points.withColumn(_SALT, F.when(is_heavy, row_salt(points, width)).otherwise(F.lit(0)))
-    placed = placed.withColumn(_BIN, bucket_start(point, lookback))
-    placed = placed.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), lookback))))
+    cell = [*keys, _BIN]
+    point_columns = [c for c in points.columns if c not in keys]
+    apart = F.lit(False)
+    for name in (*keys, anchor):
+        apart = apart | F.col(name).isNull()
+    empty = [F.lit(None).cast(points.schema[c].dataType).alias(c) for c in point_columns]
+    lonely = anchors.where(apart).select(*anchors.columns, *empty)
+
+    left = anchors.where(~apart).withColumn(_BIN, bucket_start(anchor, lookback))
+    right = points.dropna(subset=[*keys, point]).withColumn(_BIN, bucket_start(point, lookback))
+    copies = F.array(*[F.struct(b.alias(_BIN), F.lit(own).alias("__own")) for b, own in
+                       ((F.col(_BIN), True), (shift(F.col(_BIN), lookback), False))])
+    right = right.withColumn("__copy", F.explode(copies)).select(*points.columns, "__copy.*")
+
+    equi, outer = list(cell), F.lit(True)
+    heavy = heavy_cells([left, right], cell, floor)
+    if heavy is None:
+        right = right.drop("__own")
+    else:
+        settled = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
+            F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
+        )
+        anchor_salts, point_salts = (salts_of(F.col(rows_of(n)), floor) for n in (0, 1))
+        marked = mark_heavy(left.withColumn("__spread", row_spread(left)), _bounds(right, heavy, point, keys), cell)
+        marked = marked.withColumn("__matched", F.col(rows_of(0)).isNotNull() & settled)
+        marked = marked.withColumn(_SALTS[0], F.pmod("__spread", anchor_salts))
+        reached = F.when(F.col("__matched"), every_salt(point_salts)).otherwise(F.array(F.lit(0)))
+        left = marked.withColumn(_SALTS[1], F.explode(reached))
+        placed = mark_heavy(right.withColumn("__spread", row_spread(right)), heavy, cell)
+        right = placed.withColumn(_SALTS[1], F.pmod("__spread", point_salts)).withColumn(
+            _SALTS[0], F.explode(every_salt(anchor_salts))
+        )
+        equi += _SALTS
+        outer = ~F.col("l.__matched") | F.col(f"r.{point}").isNotNull()
     in_range = F.col(f"r.{point}").between(shift(F.col(f"l.{anchor}"), lookback, -1), F.col(f"l.{anchor}"))
-    joined = salted.alias("l").join(
-        placed.alias("r"), same_keys("l", "r", [*keys, _BIN, _SALT]) & in_range, "left"
-    )
-    kept = joined.where(~F.col("l.__matched") | F.col(f"r.{point}").isNotNull())
-    return kept.select(
-        *[F.col(f"l.{c}") for c in anchors.columns],
-        *[F.col(f"r.{c}") for c in points.columns if c not in keys],
-    )
+    joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range, "left").where(outer)
+    kept = [F.col(f"l.{c}") for c in anchors.columns] + [F.col(f"r.{c}") for c in point_columns]
+    return joined.select(*kept).unionByName(lonely)
 
 
 def first_match_after(
@@ -147,50 +157,83 @@ def first_match_after(
     point: str,
     within: str,
     keys: Sequence[str],
-    slice_width: str = "1 minute",
     floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """For each (keys, anchor time): the first point in ``[anchor, anchor + within]``.
 
-    Equal-time rows collapse to their smallest row on either side, and an ordered window
-    finds the next point; no anchor-point pairs are built.  Heavy entities are cut into
-    time slices: the window then runs inside a slice, and one carried row per slice tells
-    the first point of the slices after it.  No window partition exceeds an ordinary
-    entity, one slice of a heavy one, or the calendar's number of slices.
+    Rows of equal time collapse to their smallest on either side.  Rows without a key or a time take no part.
     """
     keys = list(keys)
-    anchor_cols = [c for c in anchors.columns if c not in (*keys, anchor)]
-    point_cols = [c for c in points.columns if c not in (*keys, point)]
-    anchors, points = anchors.dropna(subset=[*keys, anchor]), points.dropna(subset=[*keys, point])
-
-    anchor_row = F.struct(*anchor_cols).alias("__anchor")
-    point_row = F.struct(F.col(point), *point_cols).alias("__point")
-    anchor_type, point_type = (d.select(r).schema[0].dataType for d, r in ((anchors, anchor_row), (points, point_row)))
+    anchor_columns = [c for c in anchors.columns if c not in (*keys, anchor)]
+    point_columns = [c for c in points.columns if c not in (*keys, point)]
     tagged = anchors.select(
-        *keys, F.col(anchor).alias("__t"), anchor_row, F.lit(None).cast(point_type).alias("__point")
+        *keys, F.col(anchor).alias("__t"), F.lit(True).alias("__is"), *[F.col(c).alias(f"__a_{c}") for c in anchor_columns]
     ).unionByName(
-        points.select(*keys, F.col(point).alias("__t"), F.lit(None).cast(anchor_type).alias("__anchor"), point_row)
+        points.select(
+            *keys, F.col(point).alias("__t"), F.lit(False).alias("__is"), *[F.col(c).alias(f"__p_{c}") for c in point_columns]
+        ),
+        allowMissingColumns=True,
+    )
+    return first_match_among(
+        tagged, "__t", F.col("__is"), ~F.col("__is"), anchor, point, within, keys,
+        {c: F.col(f"__a_{c}") for c in anchor_columns}, {c: F.col(f"__p_{c}") for c in point_columns}, floor,
     )
-    instants = tagged.groupBy(*keys, "__t").agg(F.min("__anchor").alias("__anchor"), F.min("__point").alias("__point"))
-    instants = mark_heavy(instants, heavy_keys(tagged.select(*keys), keys, floor=floor), keys, "__rows")
-    is_heavy = F.col("__rows").isNotNull()
-    instants = instants.withColumn("__slice", F.when(is_heavy, bucket_start("__t", slice_width)))
 
-    # Descending order turns "next point" into a running last value.
-    nearest = Window.partitionBy(*keys, "__slice").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
-    within_slice = instants.withColumn("__near", F.last("__point", ignorenulls=True).over(nearest))
 
-    slices = instants.where(is_heavy).groupBy(*keys, "__slice").agg(F.min("__point").alias("__first"))
-    later = Window.partitionBy(*keys).orderBy(F.desc("__slice")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select(*keys, "__slice", F.last("__first", ignorenulls=True).over(later).alias("__far"))
+def first_match_among(
+    events: DataFrame,
+    ts: str,
+    is_anchor: Column,
+    is_point: Column,
+    anchor: str,
+    point: str,
+    within: str,
+    keys: Sequence[str],
+    anchor_values: Mapping[str, Column],
+    point_values: Mapping[str, Column],
+    floor: int = FLOOR_ROWS,
+) -> DataFrame:
+    """:func:`first_match_after` where anchors and points are rows of one table, which is read once.
 
-    looked_up = within_slice.where(F.col("__anchor").isNotNull()).join(carried, [*keys, "__slice"], "left")
-    found = looked_up.withColumn("__hit", F.coalesce("__near", "__far"))
-    in_reach = F.col(f"__hit.{point}") <= shift(F.col("__t"), within)
+    A row may be both; it then matches itself.  Rows are reduced to one per entity and instant and stored; an ordered
+    window over an entity's instants finds the next point, so no anchor-point pairs are built.  The instants of entities
+    with more than ``floor`` of them are cut into slices of about that many, wherever these end; one row per slice tells
+    the first point of the slices after it.
+    """
+    keys = list(keys)
+    anchor_row = F.when(is_anchor, F.struct(F.lit(True).alias("__here"), *[c.alias(n) for n, c in anchor_values.items()]))
+    point_row = F.when(is_point, F.struct(F.col(ts).alias("__at"), *[c.alias(n) for n, c in point_values.items()]))
+    tagged = events.where(is_anchor | is_point).dropna(subset=[*keys, ts])
+    instants = staged(
+        tagged.select(*keys, F.col(ts).alias("__t"), anchor_row.alias("__anchor"), point_row.alias("__point"))
+        .groupBy(*keys, "__t")
+        .agg(F.min("__anchor").alias("__anchor"), F.min("__point").alias("__point")),
+        "instants",
+    )
+    # Descending order turns "next point" into a running last value.
+    nearest = Window.partitionBy(*keys).orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
+    next_point = F.last("__point", ignorenulls=True)
+    heavy = heavy_cells([instants], keys, floor)
+    if heavy is None:
+        found = instants.withColumn("__hit", next_point.over(nearest))
+    else:
+        rows = rows_of(0)
+        marked = mark_heavy(instants, heavy, keys)
+        ordinary = marked.where(F.col(rows).isNull()).drop(rows).withColumn("__hit", next_point.over(nearest))
+        hot = marked.where(F.col(rows).isNotNull()).drop(rows)
+        sliced = range_slices(hot, keys, ["__t"], heavy.agg(F.sum(rows)).first()[0], floor)
+        inside = Window.partitionBy(SLICE, *keys).orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
+        firsts = sliced.groupBy(*keys, SLICE).agg(F.min("__point").alias("__first"))
+        later = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+        carried = firsts.select(*keys, SLICE, F.last("__first", ignorenulls=True).over(later).alias("__far"))
+        near = sliced.withColumn("__near", next_point.over(inside)).where(F.col("__anchor").isNotNull())
+        across = near.join(carried, [*keys, SLICE], "left").withColumn("__hit", F.coalesce("__near", "__far"))
+        found = ordinary.unionByName(across.select(*ordinary.columns))
+    in_reach = F.col("__anchor").isNotNull() & (F.col("__hit.__at") <= shift(F.col("__t"), within))
     return found.where(in_reach).select(
         *keys,
         F.col("__t").alias(anchor),
-        F.col(f"__hit.{point}").alias(point),
-        *[F.col(f"__anchor.{c}").alias(c) for c in anchor_cols],
-        *[F.col(f"__hit.{c}").alias(c) for c in point_cols],
+        F.col("__hit.__at").alias(point),
+        *[F.col(f"__anchor.{c}").alias(c) for c in anchor_values],
+        *[F.col(f"__hit.{c}").alias(c) for c in point_values],
     )

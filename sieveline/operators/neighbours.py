@@ -4,27 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.clock import shift, span_seconds
-from sieveline.operators.heavy import FLOOR_ROWS, heavy_keys, mark_heavy, same_keys
-
-
-def row_slices(df: DataFrame, is_heavy: Column, keys: Sequence[str], ts: str, resolution: float, floor: int) -> DataFrame:
-    """Adds ``__slice``: consecutive stretches of a heavy entity's time, NULL for the rows of any other.
-
-    Rows are counted per ``resolution`` (in seconds) and a slice ends where ``floor`` rows are reached, so it holds at most
-    ``floor`` rows and those of one ``resolution`` more.  The running count is a window over one row per entity and ``resolution``.
-    """
-    epoch = F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
-    timed = df.withColumn("__tick", F.when(is_heavy, F.floor(span_seconds(epoch, F.col(ts)) / resolution)))
-    ticks = timed.where(F.col("__tick").isNotNull()).groupBy(*keys, "__tick").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy("__tick").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
-    ticks = ticks.select(*keys, "__tick", F.floor(before / F.lit(max(floor, 1))).alias("__slice"))
-    here = same_keys("d", "s", keys, null_safe=True) & (F.col("d.__tick") == F.col("s.__tick"))
-    return timed.alias("d").join(ticks.alias("s"), here, "left").select(*[F.col(f"d.{c}") for c in df.columns], "s.__slice")
+from sieveline.functions.clock import shift
+from sieveline.operators.heavy import FLOOR_ROWS, heavy_cells, mark_heavy, rows_of, same_keys
+from sieveline.operators.slices import SLICE, TIE, range_slices
 
 
 def previous_value(
@@ -33,37 +18,44 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    resolution: float = 1,
     max_gap: str | None = None,
     floor: int = FLOOR_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per ``keys`` in ``order`` (whose first column is the timestamp).
 
-    Ordinary entities are one window partition each.  Entities that are heavy are cut into
-    slices of about ``floor`` rows; the first row of a slice takes the last value of the
-    entity's previous slice, found among one row per slice.  A slice never ends inside one
-    ``resolution``, and rows without a timestamp are a slice of their own, the first one.
-    ``max_gap`` drops a predecessor that lies further back than that.
+    Entities of up to ``floor`` rows are one window partition each.  The rows of larger ones are cut into slices of about
+    ``floor`` rows, wherever these end, be it inside one instant; the first row of a slice takes the last row of the
+    entity's previous slice, found among one row per slice.  Rows without a timestamp come first; the order of rows
+    that are equal in keys and order is left open.  ``max_gap`` drops a predecessor that lies further back than that.
     """
     keys, order = list(keys), list(order)
     ts = order[0]
     previous = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
-    marked = mark_heavy(df, heavy_keys(df.select(*keys), keys, floor=floor), keys, "__rows")
-    is_heavy = F.col("__rows").isNotNull()
-    sliced = row_slices(marked, is_heavy, keys, ts, resolution, floor)
-    sliced = sliced.withColumn("__slice", F.when(is_heavy, F.coalesce("__slice", F.lit(-1))))
-    inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
-    near = sliced.withColumn("__near", F.lag(previous).over(inside))
-
-    newest = F.max(F.struct(*[F.col(c) for c in order], previous.alias("__row")))["__row"]
-    ends = sliced.where(is_heavy).groupBy(*keys, "__slice").agg(newest.alias("__last"))
-    across = Window.partitionBy(*keys).orderBy("__slice")
-    carried = ends.select(*keys, "__slice", F.lag("__last").over(across).alias("__far"))
-
-    same_slice = same_keys("n", "c", keys, null_safe=True) & (F.col("n.__slice") == F.col("c.__slice"))
-    hit = F.coalesce(F.col("n.__near"), F.col("c.__far"))
-    joined = near.alias("n").join(carried.alias("c"), same_slice, "left").withColumn("__hit", hit)
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    heavy = heavy_cells([df], keys, floor, nulls=True)
+    if heavy is None:
+        found = df.withColumn("__hit", F.lag(previous).over(inside))
+    else:
+        rows = rows_of(0)
+        marked = mark_heavy(df, heavy, keys)
+        ordinary = marked.where(F.col(rows).isNull()).drop(rows)
+        hot = marked.where(F.col(rows).isNotNull()).drop(rows)
+        sliced = range_slices(hot, keys, order, heavy.agg(F.sum(rows)).first()[0], floor)
+        found = ordinary.withColumn("__hit", F.lag(previous).over(inside)).unionByName(_carried(sliced, df, keys, order, previous))
     kept = F.col("__hit.v")
     if max_gap is not None:
-        kept = F.when(F.col("__hit.t") >= shift(F.col(f"n.{ts}"), max_gap, -1), kept)
-    return joined.select(*[F.col(f"n.{c}") for c in df.columns], kept.alias(out))
+        kept = F.when(F.col("__hit.t") >= shift(F.col(ts), max_gap, -1), kept)
+    return found.select(*df.columns, kept.alias(out))
+
+
+def _carried(sliced: DataFrame, df: DataFrame, keys: list[str], order: list[str], previous) -> DataFrame:
+    """``__hit``, the previous row, within slices and across their bounds."""
+    inside = Window.partitionBy(SLICE, *keys).orderBy(*order, TIE)
+    near = sliced.withColumn("__near", F.lag(previous).over(inside))
+    newest = F.max(F.struct(*order, TIE, previous.alias("__row")))["__row"]
+    ends = sliced.groupBy(*keys, SLICE).agg(newest.alias("__last"))
+    across = Window.partitionBy(*keys).orderBy(SLICE)
+    carried = ends.select(*keys, SLICE, F.lag("__last").over(across).alias("__far"))
+    here = same_keys("n", "c", keys, null_safe=True) & (F.col(f"n.{SLICE}") == F.col(f"c.{SLICE}"))
+    joined = near.alias("n").join(carried.alias("c"), here, "left")
+    return joined.select(*[F.col(f"n.{c}") for c in df.columns], F.coalesce("n.__near", "c.__far").alias("__hit"))

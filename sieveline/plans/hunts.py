@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.clock import shift, span_hours
 from sieveline.operators.intervals import interval_join
+from sieveline.sources.artifacts import staged
 
 USER_CREATED = ("user_create", "sys_user_insert")
 ROLE_GRANTED = ("role_grant", "sys_user_has_role_insert")
@@ -41,7 +42,8 @@ def role_grants_near_sessions(
 ) -> DataFrame:
     """Privileged grants to users created near an agent session.
 
-    The keyed creation-to-grant join runs first: it leaves few rows for the join on time.
+    The keyed creation-to-grant join runs first: it leaves few rows for the join on time.  Its result is stored, as the
+    second join counts its rows before it reads them.
     """
     created = _events(audit, USER_CREATED).select(F.col("target").alias("new_user"), F.col("event_time").alias("created_at"))
     granted = _events(audit, ROLE_GRANTED).where(_mentions(F.col("details_json"), term)).select(
@@ -52,7 +54,7 @@ def role_grants_near_sessions(
     )
     escalated = interval_join(created, granted, "created_at", "role_grant_time", within, ["new_user"], split=True)
     opened = sessions.select("session_id", "started_at")
-    near = interval_join(opened, escalated, "started_at", "created_at", within, split=True, replicate="points")
+    near = interval_join(opened, staged(escalated, "escalated"), "started_at", "created_at", within, split=True, replicate="points")
     return near.drop("started_at", "created_at")
 
 

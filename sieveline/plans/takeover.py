@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sieveline.functions.clock import bucket_start, minute_boundaries
 from sieveline.functions.scores import flag, points_if
 from sieveline.operators.firsts import first_seen
-from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
+from sieveline.operators.intervals import first_match_among, interval_join, lookback_join
 from sieveline.operators.spread import first_non_null
 
 ENTITY = ["org_id", "account_id"]
@@ -93,15 +93,16 @@ def mailbox_rules_created(identity: DataFrame) -> DataFrame:
 
 def success_after_mfa(identity: DataFrame, within: str = "4 hours") -> DataFrame:
     """First successful sign-in after each second-factor enrolment."""
-    added = identity.where(_is_event(MFA_ADD)).select(
-        *ENTITY, F.col("ts").alias("mfa_ts"), F.col("ip").alias("mfa_ip"), F.col("asn").alias("mfa_asn"),
-        F.col("device_fingerprint").alias("mfa_device"), "campaign_id", "is_attack",
-    )
-    success = identity.where(_is_signin("success")).select(
-        *ENTITY, F.col("ts").alias("success_ts"), F.col("ip").alias("success_ip"),
-        F.col("asn").alias("success_asn"), F.col("device_fingerprint").alias("success_device"),
+    paired = first_match_among(
+        identity, "ts", _is_event(MFA_ADD), _is_signin("success"), "mfa_ts", "success_ts", within, ENTITY,
+        {
+            "mfa_ip": F.col("ip"), "mfa_asn": F.col("asn"), "mfa_device": F.col("device_fingerprint"),
+            "campaign_id": F.col("campaign_id"), "is_attack": F.col("is_attack"),
+        },
+        {
+            "success_ip": F.col("ip"), "success_asn": F.col("asn"), "success_device": F.col("device_fingerprint"),
+        },
     )
-    paired = first_match_after(added, success, "mfa_ts", "success_ts", within, ENTITY)
     return paired.select(
         *ENTITY, "mfa_ts", "success_ts",
         minute_boundaries(F.col("mfa_ts"), F.col("success_ts")).alias("minutes_after_mfa"),

@@ -20,6 +20,13 @@ def work_folder(spark: SparkSession, what: str) -> str:
     return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written to a new work folder and read back, so that its plan runs once, whatever reads it."""
+    path = work_folder(df.sparkSession, what)
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Text sinks keep microseconds, which Spark's own formats cut to milliseconds.
 TEXT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from sieveline.operators.baseline import group_zscore
 from sieveline.operators.confusion import evaluate
 from sieveline.operators.firsts import distinct_entities, first_seen
-from sieveline.operators.heavy import heavy_keys, mark_heavy, salts_of
-from sieveline.operators.intervals import first_match_after, interval_join, lookback_join
+from sieveline.operators import intervals
+from sieveline.operators.heavy import heavy_cells, mark_heavy, salts_of
+from sieveline.operators.intervals import first_match_after, first_match_among, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
-from sieveline.operators.neighbours import previous_value, row_slices
+from sieveline.operators.neighbours import previous_value
 from sieveline.operators.ranking import ranked
+from sieveline.operators.slices import range_slices
 from sieveline.operators.spread import first_non_null, spread_profile
 
 T0 = datetime(2024, 1, 1)
@@ -133,8 +135,8 @@ def test_lookback_keeps_identical_anchors(spark, floor):
     assert rows(lookback_join(left, none, "t", "p", "1 hour", ["k"], floor=floor), "p") == [(None,), (None,)]
 
 
-@pytest.mark.parametrize("slice_width, floor", [("1 minute", 0), ("1 hour", 0), ("1 day", 0), ("1 minute", 50), ("1 minute", 10**6)])
-def test_first_match_after_equals_brute_force(spark, slice_width, floor):
+@pytest.mark.parametrize("floor", [0, 7, 50, 10**6])
+def test_first_match_after_equals_brute_force(spark, floor):
     anchors, points = moments(8, 120, 900, hot=0.3), moments(9, 60, 900, hot=0.3)
     reach = timedelta(hours=4)
     want = {}
@@ -146,7 +148,7 @@ def test_first_match_after_equals_brute_force(spark, slice_width, floor):
     want = sorted((k, t, *v) for (k, t), v in want.items() if v)
     left = spark.createDataFrame(anchors, "k string, t timestamp_ntz, i int")
     right = spark.createDataFrame(points, "k string, p timestamp_ntz, j int").repartition(3)
-    got = first_match_after(left, right, "t", "p", "4 hours", ["k"], slice_width, floor)
+    got = first_match_after(left, right, "t", "p", "4 hours", ["k"], floor)
     assert rows(got, "k", "t", "i", "p", "j") == sorted(want, key=repr)
 
 
@@ -160,8 +162,8 @@ def test_first_match_edges(spark):
 
 
 @pytest.mark.parametrize("floor", [0, 65, 10**6])
-@pytest.mark.parametrize("resolution, gap", [(600, None), (86400, None), (3600, "15 minutes")])
-def test_previous_value_equals_plain_lag(spark, resolution, gap, floor):
+@pytest.mark.parametrize("gap", [None, "15 minutes"])
+def test_previous_value_equals_plain_lag(spark, gap, floor):
     data = moments(10, 200, 400, hot=0.3)
     limit = timedelta(minutes=15) if gap else None
     want, last = [], {}
@@ -170,23 +172,92 @@ def test_previous_value_equals_plain_lag(spark, resolution, gap, floor):
         want.append((i, None if before is None or (limit and before[0] < t - limit) else before[1]))
         last[k] = (t, i)
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, i int").repartition(4)
-    got = previous_value(df, ["k"], ["t", "i"], "i", "before", resolution, gap, floor)
+    got = previous_value(df, ["k"], ["t", "i"], "i", "before", gap, floor)
     assert rows(got, "i", "before") == sorted(want, key=repr)
 
 
+@pytest.fixture
+def apart(spark):
+    """Small partitions stay apart, so that tests see how rows are spread."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def sizes(df):
+    return {r["__slice"]: r["count"] for r in df.groupBy("__slice").count().collect()}
+
+
 def test_slices_of_a_hot_entity_hold_few_rows(spark):
-    # Nine in ten rows lie in one of the ten hours.
-    timed = "CASE WHEN id % 10 = 0 THEN id * 7200 ELSE id * 60 END"
-    df = spark.range(5000).selectExpr("'hot' AS k", f"timestamp_millis({timed}) AS t", "id")
+    # Nine in ten rows lie in one second, every fifth row is there twice.
+    timed = "CASE WHEN id % 10 = 0 THEN id * 7200 ELSE 500 END"
+    df = spark.range(5000).selectExpr("'hot' AS k", f"timestamp_millis({timed}) AS t", "id").repartition(4)
     df = df.unionAll(spark.sql("SELECT 'hot', CAST(NULL AS TIMESTAMP), 9000L"))
-    sizes = row_slices(df, F.lit(True), ["k"], "t", 1, 200).groupBy("__slice").count()
-    got = {r["__slice"]: r["count"] for r in sizes.collect()}
-    assert got.pop(None) == 1 and sum(got.values()) == 5000
-    assert max(got.values()) <= 250 and len(got) >= 20
+    got = sizes(range_slices(df, ["k"], ["t", "id"], 5001, 200))
+    assert sum(got.values()) == 5001 and max(got.values()) <= 400 and len(got) >= 20
+    copies = df.unionAll(df.where("id % 5 = 0"))
+    got = sizes(range_slices(copies.withColumn("one", F.lit(1)), ["k"], ["one"], 6002, 300))
+    assert sum(got.values()) == 6002 and max(got.values()) <= 600  # equal rows are split as well
     found = previous_value(df, ["k"], ["t", "id"], "id", "before", floor=200).orderBy("t", "id").collect()
     assert [r.before for r in found] == [None, *[r.id for r in found[:-1]]]
 
 
+def test_a_hot_second_is_spread_over_tasks(spark, apart):
+    df = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'k' || id % 1000 END AS k", "timestamp_millis(7) AS t", "id")
+    got = previous_value(df, ["k"], ["t", "id"], "id", "before", floor=100)
+    slices = [r["count"] for r in got.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(slices) == 3000 and len(slices) >= 3 and max(slices) < 2000
+    last = {}
+    for r in sorted(got.collect(), key=lambda r: r.id):
+        assert r.before == last.get(r.k)
+        last[r.k] = r.id
+
+
+def test_a_hot_minute_is_spread_and_the_source_read_once(spark, apart, monkeypatch, tmp_path):
+    source = spark.range(4000).selectExpr(
+        "CASE WHEN id % 2 = 0 OR id < 3000 THEN 'hot' ELSE 'k' || id END AS k", "timestamp_millis(id * 10) AS t", "id",
+        "id % 3 = 0 AS a", "id % 40 = 1 AS p",
+    )
+    source.write.parquet(str(tmp_path / "source"))
+    plans, keep = [], intervals.staged
+
+    def watched(df, what):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, what)
+
+    monkeypatch.setattr(intervals, "staged", watched)
+    events = spark.read.parquet(str(tmp_path / "source"))
+    pair = lambda floor: first_match_among(
+        events, "t", F.col("a"), F.col("p"), "t0", "t1", "1 second", ["k"], {"i": F.col("id")}, {"j": F.col("id")}, floor
+    )
+    got = pair(100)
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1
+    assert str(tmp_path) not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got, "k", "t0", "t1", "i", "j") == rows(pair(10**6), "k", "t0", "t1", "i", "j") and got.count() > 500
+    tasks = got.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 3
+
+
+def test_hot_anchors_are_spread_and_missing_keys_pass_by(spark, apart):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        anchors = spark.range(9000).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN 'k' || id END AS k", "timestamp_millis(id % 60000) AS t", "id AS i"
+        )
+        points = spark.range(40).selectExpr("CASE WHEN id < 5 THEN 'hot' ELSE 'k' || id END AS k", "timestamp_millis(id * 1000) AS p", "id AS j")
+        got = lookback_join(anchors, points, "t", "p", "10 minutes", ["k"], floor=100)
+        plain = lookback_join(anchors, points, "t", "p", "10 minutes", ["k"])
+        assert rows(got, "k", "t", "i", "p", "j") == rows(plain, "k", "t", "i", "p", "j")
+        assert got.where("k IS NULL").count() == 3000 and got.where("k IS NULL AND j IS NULL").count() == 3000
+        tasks = [r["count"] for r in got.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) >= 3 and max(tasks) < 0.6 * sum(tasks)
+        plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        last = "".join(line for line in plan if not line.startswith((":", "Union")))
+        assert "isnull" in last.lower() and "Join" not in last  # rows without a key are a branch of their own
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("heavy_share", [0.2, 1e-5, 1.0])
 def test_frequency_lookup_is_exact_for_heavy_and_rare_keys(spark, heavy_share):
     rng = random.Random(11)
@@ -205,19 +276,27 @@ def test_frequency_lookup_bounds_its_broadcast(spark):
         attach_by_frequency(df, frequency(df, "k", "n"), "k", "n", 1e-9)
 
 
-def test_heavy_keys_need_both_rows_and_share(spark):
+def test_heavy_cells_of_one_pass(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [(None,)] * 5, "k string")
-    assert rows(heavy_keys(df, ["k"], floor=4), "k", "rows") == sorted([("a", 6), (None, 5)], key=repr)
-    assert rows(heavy_keys(df, ["k"], share=0.4, floor=0), "k") == [("a",)]
-    marked = mark_heavy(df, heavy_keys(df, ["k"], floor=4), ["k"], "hot")
-    assert marked.where("hot IS NOT NULL").count() == 11 and marked.count() == 14
-    with pytest.raises(ValueError):
-        heavy_keys(df, ["k"], share=1e-9)
+    other = spark.createDataFrame([("b",)] * 9 + [("c",)], "k string")
+    assert rows(heavy_cells([df, other], ["k"], floor=5), "k", "__rows0", "__rows1") == [("a", 6, 0), ("b", 3, 9)]
+    assert rows(heavy_cells([df], ["k"], floor=4, nulls=True), "k", "__rows0") == sorted([("a", 6), (None, 5)], key=repr)
+    assert rows(heavy_cells([df, other], ["k"], floor=0, most=1), "k") == [("b",)]  # the largest cells come first
+    assert heavy_cells([df, other], ["k"], floor=9) is None
+    marked = mark_heavy(df, heavy_cells([df], ["k"], floor=4, nulls=True), ["k"])
+    assert marked.where("__rows0 IS NOT NULL").count() == 11 and marked.count() == 14
+
+
+def test_heavy_cells_keep_times_whole(spark):
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.sql(f"SELECT CAST('2024-03-31 02:30:00.000001' AS {kind}) AS t FROM range(3)")
+        heavy = heavy_cells([df], ["t"], floor=1)
+        assert heavy.schema["t"] == df.schema["t"] and mark_heavy(df, heavy, ["t"]).where("__rows0 = 3").count() == 3
 
 
 def test_salts_grow_with_rows_and_stay_one_for_ordinary_keys(spark):
-    df = spark.createDataFrame([(None,), (150,), (5000,)], "rows long")
-    assert [r.s for r in df.select(salts_of(F.col("rows"), 100).alias("s")).collect()] == [1, 2, 50]
+    df = spark.createDataFrame([(None,), (0,), (150,), (5000,)], "rows long")
+    assert [r.s for r in df.select(salts_of(F.col("rows"), 100).alias("s")).collect()] == [1, 1, 2, 50]
 
 
 def test_evaluate_counts_and_empty_denominators(spark):
