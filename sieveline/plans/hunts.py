@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.clock import shift, span_hours
+from sieveline.operators.heavy import same_keys
 from sieveline.operators.intervals import interval_join
 from sieveline.sources.artifacts import staged
 
@@ -17,18 +18,18 @@ PASSWORD_RESET = ("password_reset", "account_recovery")
 IDENTITY_CHANGES = ("user_create", "role_grant", "password_reset")
 
 
-def _events(audit: DataFrame, kinds: Sequence[str]) -> DataFrame:
+def events_of(audit: DataFrame, kinds: Sequence[str]) -> DataFrame:
     return audit.where(F.col("event_type").isin(*kinds))
 
 
-def _mentions(details: Column, term: str) -> Column:
+def mentions(details: Column, term: str) -> Column:
     return F.contains(F.lower(details.cast("string")), F.lit(term.lower()))
 
 
 def users_created_near_sessions(sessions: DataFrame, audit: DataFrame, within: str = "30 minutes") -> DataFrame:
     """User creations inside the window that an agent session opens."""
     opened = sessions.select("session_id", F.col("user_email").alias("session_user"), "started_at")
-    created = _events(audit, USER_CREATED).select(
+    created = events_of(audit, USER_CREATED).select(
         "event_time", "actor", F.col("target").alias("new_user"), "target_email"
     )
     near = interval_join(
@@ -45,8 +46,8 @@ def role_grants_near_sessions(
     The keyed creation-to-grant join runs first: it leaves few rows for the join on time.  Its result is stored, as the
     second join counts its rows before it reads them.
     """
-    created = _events(audit, USER_CREATED).select(F.col("target").alias("new_user"), F.col("event_time").alias("created_at"))
-    granted = _events(audit, ROLE_GRANTED).where(_mentions(F.col("details_json"), term)).select(
+    created = events_of(audit, USER_CREATED).select(F.col("target").alias("new_user"), F.col("event_time").alias("created_at"))
+    granted = events_of(audit, ROLE_GRANTED).where(mentions(F.col("details_json"), term)).select(
         F.col("target").alias("new_user"),
         F.col("details_json").alias("role_grant_details"),
         F.col("actor").alias("role_grant_actor"),
@@ -60,8 +61,8 @@ def role_grants_near_sessions(
 
 def resets_after_creation(audit: DataFrame, within: str = "2 hours") -> DataFrame:
     """Password resets or recoveries soon after a user was created."""
-    created = _events(audit, USER_CREATED).select(F.col("target").alias("user_created"), F.col("event_time").alias("created_at"))
-    reset = _events(audit, PASSWORD_RESET).select(
+    created = events_of(audit, USER_CREATED).select(F.col("target").alias("user_created"), F.col("event_time").alias("created_at"))
+    reset = events_of(audit, PASSWORD_RESET).select(
         F.col("target").alias("user_created"),
         F.col("event_time").alias("reset_time"),
         F.col("actor").alias("reset_actor"),
@@ -72,10 +73,10 @@ def resets_after_creation(audit: DataFrame, within: str = "2 hours") -> DataFram
 
 def new_privileged_users(audit: DataFrame, within: str = "1800 seconds", term: str = "admin") -> DataFrame:
     """New users that received a privileged role within the window."""
-    created = _events(audit, USER_CREATED).select(
+    created = events_of(audit, USER_CREATED).select(
         F.col("target").alias("user"), "actor", F.col("event_time").alias("t_create")
     )
-    granted = _events(audit, ROLE_GRANTED).where(_mentions(F.col("details_json"), term)).select(
+    granted = events_of(audit, ROLE_GRANTED).where(mentions(F.col("details_json"), term)).select(
         F.col("target").alias("user"), F.col("event_time").alias("t_role"), F.col("details_json").alias("details")
     )
     return interval_join(created, granted, "t_create", "t_role", within, ["user"], split=True).select(
@@ -83,21 +84,48 @@ def new_privileged_users(audit: DataFrame, within: str = "1800 seconds", term: s
     )
 
 
-def identity_changes_after_sessions(
+def session_change_values(
     sessions: DataFrame, audit: DataFrame, within: str = "30 minutes", sources: Sequence[str] | None = None
 ) -> DataFrame:
-    """Sets of identity events, targets and actors that follow each agent session of a user."""
+    """Long form of what follows each agent session of a user: distinct (session, kind, value) rows.
+
+    ``kind`` is ``events``, ``targets`` or ``actors``.  Values are made distinct before and after one shuffle that is keyed by
+    the value as well, so a session with a large share of all changes is spread over many tasks.
+    """
     opened = sessions.where(F.col("source").isin(*sources)) if sources else sessions
     opened = opened.select("session_id", F.col("user_email").alias("session_user"), "started_at")
-    changes = _events(audit, IDENTITY_CHANGES).select(
+    changes = events_of(audit, IDENTITY_CHANGES).select(
         F.col("target_email").alias("session_user"), "event_time", "event_type", "target", "actor"
     )
     pairs = interval_join(opened, changes, "started_at", "event_time", within, ["session_user"], split=True)
-    return pairs.groupBy("session_user", "session_id").agg(
-        *[
-            F.array_sort(F.collect_set(column)).alias(name)
-            for name, column in {"events": "event_type", "targets": "target", "actors": "actor"}.items()
-        ]
+    kinds = {"events": "event_type", "targets": "target", "actors": "actor"}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in kinds.items()]))
+    return pairs.select("session_user", "session_id", each.alias("v")).select("session_user", "session_id", "v.*").distinct()
+
+
+def identity_changes_after_sessions(
+    sessions: DataFrame,
+    audit: DataFrame,
+    within: str = "30 minutes",
+    sources: Sequence[str] | None = None,
+    most_values: int = 10_000,
+) -> DataFrame:
+    """Sets of identity events, targets and actors that follow each agent session of a user.
+
+    A set is an array of texts, in order, with its size beside it.  A set of more than ``most_values`` is told by its size alone, its
+    array is NULL; :func:`session_change_values` has its members as rows.
+    """
+    session = ["session_user", "session_id"]
+    values = staged(session_change_values(sessions, audit, within, sources), "session-values")
+    sizes = values.groupBy(*session, "kind").agg(F.count("value").alias("size"))
+    one = [*session, "kind"]
+    small = values.alias("v").join(sizes.where(F.col("size") > most_values).alias("s"), same_keys("v", "s", one, null_safe=True), "left_anti")
+    sets = small.groupBy(*one).agg(F.array_sort(F.collect_list("value")).alias("members"))
+    told = sizes.alias("v").join(sets.alias("s"), same_keys("v", "s", one, null_safe=True), "left").select("v.*", "s.members")
+    kinds = ("events", "targets", "actors")
+    of = lambda kind, column: F.first(F.when(F.col("kind") == kind, F.col(column)), ignorenulls=True)
+    return told.groupBy(*session).agg(
+        *[of(k, "members").alias(k) for k in kinds], *[of(k, "size").alias(f"n_{k}") for k in kinds]
     )
 
 

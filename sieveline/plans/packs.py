@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import json
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.operators.ranking import ranked
@@ -20,7 +24,9 @@ class Detection:
     """A detection function, its input tables, and the order and limit of its report.
 
     The function itself returns every row in no order; ``report`` sorts, cuts to the
-    limit and drops helper columns that start with an underscore.
+    limit and drops helper columns that start with an underscore.  ``shares`` names the
+    parameter that takes another detection's whole result, and that detection; both must
+    run with equal values of all parameters they have in common.
     """
 
     name: str
@@ -29,6 +35,12 @@ class Detection:
     order: tuple[str, ...] = ()
     limit: int | None = None
     defaults: Mapping[str, Any] = field(default_factory=dict)
+    shares: tuple[str, str] | None = None
+
+    def settings(self, **params: Any) -> dict[str, Any]:
+        """Every parameter of the function beside its tables, with the value it will run with."""
+        own = list(inspect.signature(self.run).parameters.values())[len(self.reads) :]
+        return {p.name: p.default for p in own} | dict(self.defaults) | params
 
     def result(self, sources: Mapping[str, DataFrame], **params: Any) -> DataFrame:
         return self.run(*[sources[t] for t in self.reads], **{**self.defaults, **params})
@@ -80,7 +92,8 @@ PACKS: dict[str, tuple[Detection, ...]] = {
         Detection("q17_oauth_consent_grants", takeover.oauth_grants_with_context, (_IDENTITY,),
                   ("-grant_ts", "org_id", "account_id", "success_ts")),
         Detection("q18_ato_chain_candidates", takeover.takeover_chains, (_IDENTITY,),
-                  ("-risk_score", "-failures_in_10m", "new_asn_success_ts", "org_id", "account_id")),
+                  ("-risk_score", "-failures_in_10m", "new_asn_success_ts", "org_id", "account_id"),
+                  shares=("pairs", "q13_new_asn_after_failures")),
         Detection("q19_ato_rollup", takeover.takeover_rollup, (_IDENTITY,), ("-risk_score", "org_id", "account_id")),
     ),
     "dns": (
@@ -115,6 +128,7 @@ PACKS: dict[str, tuple[Detection, ...]] = {
 DETECTIONS: dict[str, Detection] = {d.name: d for pack in PACKS.values() for d in pack}
 
 MANIFEST_SCHEMA = "name string, artifact string, row_count bigint, columns array<string>, error string"
+RECORD_SCHEMA = f"{MANIFEST_SCHEMA}, results string"
 
 
 def pack_results(
@@ -142,6 +156,22 @@ def _first_values(report: DataFrame, values: int = 6) -> str | None:
     return None if row is None else ", ".join(f"{k}={v}" for k, v in list(row.asDict().items())[:values])
 
 
+def result_digest(detection: Detection, settings: Mapping[str, Any], states: Mapping[str, str]) -> str:
+    """What a stored result stands for: the detection, its parameters, and the files of the tables it reads."""
+    told = [detection.name, sorted((k, repr(v)) for k, v in settings.items()), [(t, states.get(t)) for t in detection.reads]]
+    return hashlib.sha256(json.dumps(told).encode()).hexdigest()[:16]
+
+
+def _shared_result(detection: Detection, settings: Mapping[str, Any], finished: Mapping[str, tuple[dict, DataFrame]]) -> dict[str, DataFrame]:
+    """The parameter that hands over another detection's finished result, where the two agree on what they have in common."""
+    if detection.shares is None or detection.shares[1] not in finished:
+        return {}
+    parameter, source = detection.shares
+    theirs, written = finished[source]
+    agree = all(settings[k] == v for k, v in theirs.items() if k in settings)
+    return {parameter: written} if agree else {}
+
+
 def run_pack(
     spark: SparkSession,
     pack: str,
@@ -150,6 +180,7 @@ def run_pack(
     strict: bool = False,
     params: Mapping[str, Mapping[str, Any]] | None = None,
     case_id: str | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Runs a pack over a directory of tables and writes its evidence below ``out_dir``.
 
@@ -158,29 +189,47 @@ def run_pack(
     the run goes on.  Also writes as JSON: the manifest (case id, generation time, data directory,
     table counts, findings), the findings and table counts alone, the ranked signals, the overall
     risk, and the evidence of each signal with its report's first row and path.
+
+    Results stand under a digest of their parameters and input files.  With ``resume`` a detection whose
+    result and report were finished before, by this run or one that was stopped, is read and not run again; changed
+    parameters or files give another digest.  Changed code does not: run without ``resume`` after it.
     """
     params = params or {}
+    paths = tables.discover(spark, data_dir)
     loaded = tables.load(spark, data_dir)
     if strict:
         tables.require(loaded, pack)
     sources = tables.with_optional(spark, loaded)
+    states = tables.file_states(spark, {t: paths[t] for d in PACKS[pack] for t in d.reads if t in paths})
     scorers, entries, scored, tops = signals.catalog(), [], [], []
+    finished: dict[str, tuple[dict, DataFrame]] = {}
     for detection in sorted(PACKS[pack], key=lambda d: d.name):
-        path = f"{out_dir}/artifacts/{detection.name}"
+        own = params.get(detection.name, {})
+        settings = detection.settings(**own)
+        digest = result_digest(detection, settings, states)
+        record = f"{out_dir}/finished/{detection.name}-{digest}"
+        done = artifacts.read_record(spark, record, RECORD_SCHEMA) if resume else None
         try:
-            whole = detection.result(sources, **params.get(detection.name, {}))
-            artifacts.write_parquet(whole, f"{out_dir}/results/{detection.name}")
-            written = spark.read.schema(whole.schema).parquet(f"{out_dir}/results/{detection.name}")
-            seen = Observation(detection.name)
-            report = detection.report(written).observe(seen, F.count(F.lit(1)).alias("n"))
-            artifacts.write_csv(report, path)
-            entries.append((detection.name, path, seen.get["n"], report.columns, None))
+            if done is None:
+                attempt = f"{detection.name}-{digest}-{uuid.uuid4().hex[:8]}"  # a stopped attempt is never taken for a result
+                results, path = f"{out_dir}/results/{attempt}", f"{out_dir}/artifacts/{attempt}"
+                shared = _shared_result(detection, settings, finished)
+                artifacts.write_parquet(detection.result(sources, **{**own, **shared}), results)
+                written = spark.read.parquet(results)
+                seen = Observation(detection.name)
+                report = detection.report(written).observe(seen, F.count(F.lit(1)).alias("n"))
+                artifacts.write_csv(report, path)
+                done = Row(detection.name, path, seen.get["n"], report.columns, None, results)
+                artifacts.write_record(spark, record, RECORD_SCHEMA, done)
+            written = spark.read.parquet(done[-1])
         except Exception as error:  # a broken detection must not hide the others
             entries.append((detection.name, None, None, None, repr(error)))
             continue
+        entries.append(tuple(done)[:-1])
+        finished[detection.name] = (settings, written)
         if detection.name in scorers:
             scored.append(scorers[detection.name].of(written))
-            tops.append((scorers[detection.name].id, path, _first_values(report)))
+            tops.append((scorers[detection.name].id, done[1], _first_values(detection.report(written))))
     listing = spark.createDataFrame(entries, MANIFEST_SCHEMA)
     rows = reduce(DataFrame.unionByName, scored) if scored else signals.no_signals(spark)
     artifacts.write_json(signals.ranked_signals(rows), f"{out_dir}/signals")

@@ -125,7 +125,7 @@ def _changes_after_sessions(t: Telemetry) -> DataFrame:
     found = hunts.identity_changes_after_sessions(
         t.agent_sessions, t.audit_events, "1 day", ("virtual_agent", "now_assist")
     )
-    return found.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("events", "targets", "actors")})
+    return found.withColumns({c: F.array_join(c, ",") for c in ("events", "targets", "actors")}).drop("n_events", "n_targets", "n_actors")
 
 
 def _exposure(t: Telemetry) -> DataFrame:

@@ -133,13 +133,16 @@ def takeover_chains(
     min_failures: int = 6,
     within: str = "60 minutes",
     ordered: bool = False,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """One scored row per account: burst, new origin, then persistence steps.
 
     The three follow-on steps come from one conditional aggregate.  ``ordered`` counts a
-    step only when it happens at or after the new-origin success.
+    step only when it happens at or after the new-origin success.  ``pairs`` may hand over a
+    stored result of :func:`new_origin_successes` for the same parameters.
     """
-    pairs = new_origin_successes(identity, width, min_failures, within)
+    if pairs is None:
+        pairs = new_origin_successes(identity, width, min_failures, within)
 
     def sample(name: str, out: str) -> Column:
         return first_non_null(name, ["success_ts"]).alias(out)

@@ -1,22 +1,30 @@
-"""Artifact sinks and their re-read: CSV with header, zstd Parquet, JSON."""
+"""Artifact sinks and their re-read: CSV with header, zstd Parquet (plain, or bucketed for joins without a shuffle), JSON."""
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sieveline-")
+
+
 def work_folder(spark: SparkSession, what: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share; a temporary one only in local mode without it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="sieveline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
@@ -44,6 +52,51 @@ def write_parquet(df: DataFrame, path: str, max_records_per_file: int = 0) -> No
     ).parquet(path)
 
 
+def _bucketed_name(path: str) -> str:
+    """The catalog name under which a session knows the bucketed table at ``path``."""
+    return f"bucketed_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Writes ``df`` hashed into ``buckets`` by ``keys`` and sorted inside them, one file each, and reads it back.
+
+    Two tables with the same keys (of equal types) and buckets join on these keys without a shuffle.  Rows of one key share
+    a bucket, so the keys should be many and none of them hot.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = dealt.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).format("parquet").saveAsTable(_bucketed_name(path))
+    return spark.table(_bucketed_name(path))
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The table that :func:`write_bucketed` left at ``path``, in this or another session."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    names = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_bucketed_name(path)} ({columns}) USING parquet"
+        f" CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(_bucketed_name(path))
+
+
+def write_record(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
+    """One row as a JSON folder; it is there as a whole or not at all."""
+    write_json(spark.createDataFrame([row], schema).coalesce(1), path)
+
+
+def read_record(spark: SparkSession, path: str, schema: str) -> Row | None:
+    """The row that :func:`write_record` left at ``path``; None where there is none."""
+    try:
+        return spark.read.schema(schema).json(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**TEXT_TIMES).json(path)
 
