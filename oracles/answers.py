@@ -513,4 +513,52 @@ def oracle_sql() -> dict[str, str]:
         SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN regexp_extract(props, '([0-9]+)', 1)::DOUBLE END AS number FROM events"""
     answers["pf18_parsed_times"] = "SELECT event_id, ts FROM events WHERE event_id % 7 <> 0"
     answers["mf03_evidence"] = _evidence()
+    answers |= _stored_and_streamed(answers)
     return answers
+
+
+def _stored_and_streamed(answers: dict[str, str]) -> dict[str, str]:
+    """Answers of the forms that read stored days, bucketed tables, earlier runs or a stream: the same as of the plain ones."""
+    close = "true AS distinct_orgs_close, true AS distinct_accounts_close"
+    days = "WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'"
+    found = {
+        "ag02_stored_first_seen": compose(
+            f"SELECT *, true AS stored_alike, {close} FROM ({Q['q01_first_seen_hosting_asn'][1].replace('FROM requests', f'FROM (SELECT * FROM requests {days})')})",
+            "requests", "networks"),
+        "ag03_stored_diversity": compose(f"SELECT *, {close} FROM ({Q['q03_tenant_diversity'][1]})", "requests", "networks"),
+        "ag03_stored_spikes": compose(
+            f"SELECT *, true AS orgs_close, true AS accounts_close FROM ({Q['q06_sync_org_spikes'][1].replace('HAVING orgs >= 10', '')})",
+            "requests", "networks"),
+        "ag21_session_change_values": compose(
+            f"""SELECT DISTINCT session_user, session_id, kind, value FROM (
+                UNPIVOT (SELECT a.user_email AS session_user, a.session_id, c.kind AS events, c.target::VARCHAR AS targets, c.actor AS actors
+                         FROM agents a JOIN changes c ON c.target = a.user_email AND {_NEAR} '1 day' WHERE a.source <> 'portal')
+                ON events, targets, actors INTO NAME kind VALUE value)""", "agents", "changes"),
+        "ag22_rarity_by_day": compose(
+            """SELECT request_id, base_domain, n <= 60 AS rare_domain
+            FROM (SELECT *, count(*) OVER (PARTITION BY base_domain ORDER BY part) AS n
+                  FROM (SELECT *, least((day(ts) - 1) // 10, 2) AS part FROM hosts WHERE ts < TIMESTAMP '2024-01-31'))""", "hosts"),
+        "jn02_bucketed_funnel": answers["q09_policy_funnel"],
+        "jn07_streamed_resets": answers["h03_resets_after_creation"],
+        "jn07_streamed_grants": answers["h04_new_privileged_users"],
+        "wn04_streamed_scores": compose(
+            """SELECT asn, bucket_ts, reqs, round((reqs - m) / s, 2) AS zscore
+            FROM (SELECT *, avg(reqs) OVER upto AS m, stddev_pop(reqs) OVER upto AS s
+                  FROM (SELECT asn, time_bucket(INTERVAL '1 day', ts) AS bucket_ts, count(*) AS reqs FROM requests GROUP BY ALL)
+                  WHERE bucket_ts + INTERVAL '1 day' <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'
+                  WINDOW upto AS (PARTITION BY asn ORDER BY bucket_ts))
+            WHERE s > 0""", "requests"),
+        "mf01_resumed_run": f"SELECT name, row_count, columns, false AS failed FROM ({answers['mf02_manifest_dns']})",
+        "io08_texts_of_a_table": compose(
+            """SELECT request_id::VARCHAR AS request_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, org_id::VARCHAR AS org_id, event_type,
+                   is_automation_suspected::VARCHAR AS is_automation_suspected FROM requests""", "requests"),
+        "h06_exposure_of_two_periods": compose(
+            """SELECT account_id, last_suspicious_dns, first_failed_login,
+                   round(epoch(first_failed_login - last_suspicious_dns) / 3600, 4) AS time_delta_hours
+            FROM (SELECT account_id, max(ts) AS last_suspicious_dns FROM dns WHERE score >= 4 AND ts < TIMESTAMP '2024-01-16' GROUP BY account_id)
+            JOIN (SELECT account_id, min(ts) AS first_failed_login FROM failed WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-31' GROUP BY account_id)
+            USING (account_id)
+            WHERE first_failed_login >= last_suspicious_dns AND first_failed_login <= last_suspicious_dns + INTERVAL '10 days'""",
+            "dns", "failed"),
+    }
+    return found

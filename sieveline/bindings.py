@@ -290,6 +290,17 @@ class Telemetry:
         return _Lazy(self, roles)
 
 
+class LiveTelemetry(Telemetry):
+    """The same views with the events as a stream, whose dimensions stay tables; watermarks ask for zoned times."""
+
+    def table(self, name: str) -> DataFrame:
+        if name != "events":
+            return super().table(name)
+        # A pattern, as a stream's plain path has to be a folder and a table may be one file.
+        events = self.spark.readStream.schema(COLUMNS[name]).parquet(f"{self.directory}/{{{name}}}.parquet")
+        return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 class _Lazy(Mapping):
     def __init__(self, telemetry: Telemetry, roles: Mapping[str, str]):
         self._telemetry, self._roles = telemetry, roles

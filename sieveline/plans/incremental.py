@@ -41,9 +41,13 @@ class ReachStore:
         """Stores the days of ``requests``, each of which must be there whole."""
         sketches.store_days(self._sketched(requests), self.path)
 
+    def schema(self, requests_like: DataFrame) -> StructType:
+        """Columns of the store, from requests of which only the column types are used."""
+        return self._sketched(requests_like).schema
+
     def united(self, requests_like: DataFrame, by: Sequence[str], first: date | None = None, last: date | None = None) -> DataFrame:
         """Reach by ``by`` over stored days; of ``requests_like`` only the column types are used."""
-        days = sketches.read_days(self.spark, self.path, self._sketched(requests_like).schema, first, last)
+        days = sketches.read_days(self.spark, self.path, self.schema(requests_like), first, last)
         return sketches.unite(days, by, list(DISTINCT_WHO), "requests", mins=["first_seen_ts"])
 
 

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.bindings import HEURISTICS, PARAMS, Telemetry
+from sieveline.bindings import HEURISTICS, PARAMS, LiveTelemetry, Telemetry
 from sieveline.functions import clock, hosts
 from sieveline.functions.scores import band, lenient_double
 from sieveline.operators.confusion import evaluate
 from sieveline.operators.firsts import distinct_entities
 from sieveline.operators.intervals import interval_join
 from sieveline.operators.neighbours import previous_value
-from sieveline.plans import features, hunts, packs, quality, signals
+from sieveline.operators.sketches import read_days, standard_error
+from sieveline.plans import coordinated, features, hunts, incremental, packs, quality, signals
 from sieveline.plans.packs import DETECTIONS, PACKS
 from sieveline.plans.takeover import takeover_chains
 from sieveline.sources import artifacts, cleaning, tables
+from sieveline.streaming import joins, moments
 
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Telemetry], DataFrame]
@@ -316,6 +320,127 @@ def _dns_build(t: Telemetry) -> DataFrame:
     return features.build_dns_events(raw, order=("ts", "request_id"))
 
 
+def _close(estimated: DataFrame, exact: DataFrame, on: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """``exact`` with ``<count>_close``: whether an estimate lies within three standard errors of its sketch."""
+    told = estimated.select(*on, *[F.col(c).alias(f"__{c}") for c in counts])
+    near = {f"{c}_close": F.abs(F.col(f"__{c}") - F.col(c)) <= F.ceil(3 * standard_error() * F.col(c)) for c in counts}
+    return exact.join(told, list(on)).withColumns(near).drop(*[f"__{c}" for c in counts])
+
+
+# Calendar of the benchmark events, in parts that are stored one after another.
+DAYS = (date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21), date(2024, 1, 31))
+WINDOW_DAYS = (date(2024, 1, 8), date(2024, 1, 21))
+
+
+def _on_days(df: DataFrame, first: date, before: date) -> DataFrame:
+    return df.where((F.to_date("ts") >= F.lit(first)) & (F.to_date("ts") < F.lit(before)))
+
+
+def _reach_store(t: Telemetry, width: str | None = None) -> incremental.ReachStore:
+    """A store that got the events in three parts."""
+    store = incremental.ReachStore(t.spark, artifacts.work_folder(t.spark, "reach"), width)
+    for first, before in zip(DAYS, DAYS[1:]):
+        store.add(_on_days(t.requests, first, before))
+    return store
+
+
+def _stored_first_seen(t: Telemetry) -> DataFrame:
+    """First appearances over two weeks, from stored days."""
+    first, last = WINDOW_DAYS
+    inside = t.requests.where(F.to_date("ts").between(F.lit(first), F.lit(last)))
+    found = incremental.first_seen_infra(_reach_store(t).united(t.requests, ["asn"], first, last), t.enrichment)
+    both = coordinated.first_seen_infra(inside, t.enrichment).join(found.select("asn", F.col("first_seen_ts").alias("__ts"), F.col("requests").alias("__n")), "asn")
+    exact = both.withColumn("stored_alike", (F.col("__ts") == F.col("first_seen_ts")) & (F.col("__n") == F.col("requests"))).drop("__ts", "__n")
+    return _close(found, exact, ["asn"], ["distinct_orgs", "distinct_accounts"])
+
+
+def _stored_diversity(t: Telemetry) -> DataFrame:
+    """Tenant diversity over all thirty stored days."""
+    found = incremental.tenant_diversity(_reach_store(t).united(t.requests, ["asn"]), t.enrichment)
+    return _close(found, coordinated.tenant_diversity(t.requests, t.enrichment), ["asn"], ["distinct_orgs", "distinct_accounts"])
+
+
+def _stored_spikes(t: Telemetry) -> DataFrame:
+    """Activity of every flagged provider bucket and day, from stored time buckets."""
+    store = _reach_store(t, "1 day")
+    days = read_days(t.spark, store.path, store.schema(t.requests))
+    found = incremental.synchronized_org_spikes(days, t.enrichment, min_orgs=0)
+    exact = coordinated.synchronized_org_spikes(t.requests, t.enrichment, width="1 day", min_orgs=0)
+    return _close(found, exact, ["bucket_ts", "provider_brand_bucket", "asn_type"], ["orgs", "accounts"])
+
+
+def _rarity_by_day(t: Telemetry) -> DataFrame:
+    """Rarity of each query's domain as known when its part of the month had come in."""
+    store = incremental.DomainCounts(t.spark, artifacts.work_folder(t.spark, "domains"), HEURISTICS.rare_threshold, buckets=8)
+    hosts_of = t.hosts.select("ts", "request_id", "base_domain")
+    parts = [store.with_rarity(_on_days(hosts_of, a, b), n) for n, (a, b) in enumerate(zip(DAYS, DAYS[1:]))]
+    return reduce(DataFrame.unionByName, parts).select("request_id", "base_domain", "rare_domain")
+
+
+def _bucketed_funnel(t: Telemetry) -> DataFrame:
+    """The policy funnel from fact tables stored by request, which join without a shuffle."""
+    folder = artifacts.work_folder(t.spark, "facts")
+    sources = {"enrichment_ip": t.enrichment}
+    for name, df in (("llm_requests", t.requests), ("moderation_events", t.moderation)):
+        sources[name] = artifacts.write_bucketed(df, f"{folder}/{name}", ["request_id"], buckets=8)
+    funnel = DETECTIONS["q09_policy_funnel"]
+    return funnel.report(funnel.result(sources))
+
+
+def _session_values(t: Telemetry) -> DataFrame:
+    return hunts.session_change_values(t.agent_sessions, t.audit_events, "1 day", ("virtual_agent", "now_assist"))
+
+
+def _resumed_run(t: Telemetry) -> DataFrame:
+    """What a second run of a pack lists after one in which a detection failed; it runs that one alone."""
+    folder = artifacts.work_folder(t.spark, "resume")
+    artifacts.write_parquet(t.dns, f"{folder}/data/dns_events.parquet")
+    broken = {"q22_exposed_accounts": {"no_such_parameter": 1}}
+    packs.run_pack(t.spark, "dns", f"{folder}/data", f"{folder}/out", params=broken)
+    listing = packs.run_pack(t.spark, "dns", f"{folder}/data", f"{folder}/out", resume=True)
+    return listing.select("name", "row_count", F.array_join("columns", ",").alias("columns"), F.col("error").isNotNull().alias("failed"))
+
+
+def _texts_of_a_table(t: Telemetry) -> DataFrame:
+    """Requests written as CSV and read back without a schema, every column as text."""
+    path = artifacts.work_folder(t.spark, "texts")
+    artifacts.write_csv(t.requests.select("request_id", "ts", "org_id", "event_type", "is_automation_suspected"), path)
+    return artifacts.read_csv(t.spark, path)
+
+
+def _zoneless(df: DataFrame) -> DataFrame:
+    """Times of a stream as the tables have them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"})
+
+
+def _streamed_scores(t: Telemetry) -> DataFrame:
+    """Bursts scored as the events come in; the last buckets stay open, as no later event closes them."""
+    folder, live = artifacts.work_folder(t.spark, "scores"), LiveTelemetry(t.spark, t.directory)
+    moments.start_burst_scores(live.requests, f"{folder}/out", f"{folder}/state", width="1 day", availableNow=True).awaitTermination()
+    return _zoneless(moments.burst_scores(t.spark, f"{folder}/out"))
+
+
+def _streamed(plan: Callable[[DataFrame], DataFrame]) -> Plan:
+    """Rows that a plan over the stream of audit events has appended when all events were read."""
+
+    def run(t: Telemetry) -> DataFrame:
+        folder = artifacts.work_folder(t.spark, "stream")
+        found = plan(LiveTelemetry(t.spark, t.directory).audit_events)
+        writer = found.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out")
+        writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+        return _zoneless(t.spark.read.schema(found.schema).parquet(f"{folder}/out"))
+
+    return run
+
+
+def _exposure_of_two_periods(t: Telemetry) -> DataFrame:
+    """Exposure in the first half of the month, failed sign-ins from its second third on."""
+    found = hunts.exposure_then_failed_login(
+        _on_days(t.dns_flagged, DAYS[0], date(2024, 1, 16)), _on_days(t.identity, DAYS[1], DAYS[-1]), min_score=4, within="10 days"
+    )
+    return found.withColumn("time_delta_hours", F.round("time_delta_hours", 4))
+
+
 PLANS: dict[str, Plan] = {
     **{name: _report(name) for name in DETECTIONS},
     "q05_default_width": _default_width("q05_burst_zscore"),
@@ -340,6 +465,18 @@ PLANS: dict[str, Plan] = {
     "h04_new_privileged_users": lambda t: hunts.new_privileged_users(t.audit_events, "6 hours", TERM),
     "h05_changes_after_sessions": _changes_after_sessions,
     "h06_exposure_then_failure": _exposure,
+    "h06_exposure_of_two_periods": _exposure_of_two_periods,
+    "ag02_stored_first_seen": _stored_first_seen,
+    "ag03_stored_diversity": _stored_diversity,
+    "ag03_stored_spikes": _stored_spikes,
+    "ag21_session_change_values": _session_values,
+    "ag22_rarity_by_day": _rarity_by_day,
+    "jn02_bucketed_funnel": _bucketed_funnel,
+    "jn07_streamed_resets": _streamed(lambda audit: joins.resets_after_creation(audit)),
+    "jn07_streamed_grants": _streamed(lambda audit: joins.new_privileged_users(audit, "6 hours", TERM)),
+    "wn04_streamed_scores": _streamed_scores,
+    "mf01_resumed_run": _resumed_run,
+    "io08_texts_of_a_table": _texts_of_a_table,
     "ft01_suspicious_tld": lambda t: t.hosts.select(
         "request_id", hosts.suspicious_tld(F.col("tld"), HEURISTICS.tlds).alias("suspicious_tld")
     ),
