@@ -500,6 +500,23 @@ def test_ids_and_windows(docs, pairs):
         assert at <= 2048
 
 
+def test_ids_of_marked_letters():
+    model, encode = Tokenizer.from_file(TOKENIZER), packing.word_encoder(TOKENIZER)
+    read = lambda text: list(array("I", encode(text)))
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    draw = random.Random(6)
+    pool = [*"ATHJWYXZathjwyé \n.,!1", *marks]
+    texts = [f"{a}{m}x and {a}{m}{n}" for a in map(chr, range(65, 91)) for m, n in zip(marks, marks[1:])]
+    texts += ["".join(draw.choice(pool) for _ in range(draw.randint(0, 30))) for _ in range(3000)] + ["T\u0344 <|x T\u0308"]
+    for text in texts:
+        assert read(text) == model.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_windows_do_not_depend_on_what_is_asked(spark, docs):
+    with_ids = [tuple(r)[:-1] for r in packing.pack(docs, TOKENIZER, with_ids=True).collect()]
+    same(map(tuple, packing.pack(docs, TOKENIZER).collect()), with_ids)
+
+
 def test_best_fit_takes_the_tightest_window():
     draw = random.Random(4)
     for _ in range(30):
