@@ -142,9 +142,8 @@ TEMPLATES: dict[str, str | tuple[str, ...]] = {
     "bsd-2-clause-text": BSD_START + BSD_END,
     "bsd-3-clause-text": BSD_START + BSD_NAMES + BSD_END,
     "cc0-1.0-text": whole_text("CC0-1.0.txt", "The laws of most jurisdictions", "this CC0 or use of the Work."),
-    # OP8_SQL has the short name of BY-NC under this label as well.
-    **cc_notices("cc-by-notice", ("BY", "BY-NC"), ""),
-    **cc_notices("cc-by-nc-notice", (), "-NonCommercial"),
+    **cc_notices("cc-by-notice", ("BY",), ""),
+    **cc_notices("cc-by-nc-notice", ("BY-NC",), "-NonCommercial"),
     **cc_notices("cc-by-sa-notice", ("BY-SA",), "-ShareAlike"),
     **cc_notices("cc-by-nd-notice", ("BY-ND",), "-NoDerivatives"),
     **cc_notices("cc-by-nc-sa-notice", ("BY-NC-SA",), "-NonCommercial-ShareAlike"),
@@ -198,9 +197,10 @@ class Automaton:
 
     def passages(self, words: list[bytes], joined: bytes) -> Iterator[tuple[int, int]]:
         """(start, end) of the longest accepted passage from each place that has one.  ``joined``: the words with a blank around each."""
-        at, tried = joined.find(self.phrase), -1
+        at, tried, place, counted = joined.find(self.phrase), -1, 0, 0
         while at >= 0:
-            place = joined.count(b" ", 0, at)
+            place += joined.count(b" ", counted, at)
+            counted = at
             for start in range(max(0, place - self.before, tried + 1), place + 1):
                 end = self.longest_at(words, start)
                 if end >= 0:
@@ -279,9 +279,11 @@ def scan(text: str | None, automata: list[Automaton], phrases: dict[bytes, str])
     places: list[int] = []
     base = set()
     for phrase, label in phrases.items():
-        at = joined.find(phrase)
+        at, place, counted = joined.find(phrase), 0, 0
         while at >= 0:
-            places.append(joined.count(b" ", 0, at))
+            place += joined.count(b" ", counted, at)
+            counted = at
+            places.append(place)
             base.add(label)
             at = joined.find(phrase, at + 1)
     read: dict[tuple[str, int], tuple[int, str]] = {}
@@ -310,7 +312,8 @@ def scan_licenses(
     """Licence labels of every row's whole text.
 
     Defined cases: a null or empty text has no words, no labels (empty strings) and null places; a null id stays null;
-    repeated rows give repeated rows; places of different phrases may overlap and all count; an empty table gives no rows;
+    repeated rows give repeated rows; places of different phrases may overlap and all count; a very long text is scanned whole, in
+    time that grows with its length; an empty table gives no rows;
     other columns are not read, so their names cannot clash.
     """
     automata = [compile_template(label, t) for label, ts in templates.items() for t in ([ts] if isinstance(ts, str) else ts)]
@@ -332,6 +335,36 @@ def op8_template_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def sql_pattern(template: str) -> str:
+    """A template as a regular expression over words that each end in a blank."""
+    found, at = [], 0
+    for mark in [*_MARK.finditer(template), None]:
+        found += [word.decode() + " " for word in words_of(template[at : mark.start() if mark else None])]
+        if mark is not None:
+            at = mark.end()
+            most = re.search(r";most=(\d+)", mark[2])
+            found.append({"beginOptional": "(?:", "endOptional": ")?", "var": f"(?:[^ ]+ ){{0,{most[1] if most else 1}}}"}[mark[1]])
+    return "".join(found)
+
+
+def sql_templates() -> str:
+    """Rows (label, pattern, longer) of the templates; passages of ``longer`` are read first and count for their own label alone."""
+    patterns = {
+        label: "(?:" + "|".join(sql_pattern(t) for t in ([ts] if isinstance(ts, str) else ts)) + ")" for label, ts in TEMPLATES.items()
+    }
+    rows = []
+    for label, pattern in patterns.items():
+        longer = label.replace("-only-", "-or-later-") if "-only-" in label else ""
+        longer = [longer] if longer else []
+        if label.startswith("cc-by"):
+            own = label.removesuffix("notice")
+            longer = [x for x in patterns if x != label and x.startswith(own)]
+        after = f"' (?:{'|'.join(patterns[x] for x in longer)})'" if longer else "NULL"
+        rows.append(f"('{label}', ' {pattern}', {after})")
+    return ",\n           ".join(rows)
+
+
+#: The templates are read there by regular expressions instead of automata.
 OP8_SQL = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id,
@@ -346,20 +379,16 @@ WITH d AS (
     WHERE w[i:i + len(phrase) - 1] = phrase
 ), base AS (
     SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY r
-), templates(label, pattern) AS (
-    VALUES ('apache-2.0-notice', ' licensed under the apache license '),
-           ('gpl-notice', ' licensed under the (terms of the )?gnu general public license '),
-           ('mit-notice', ' released under the mit license '),
-           ('cc-by-notice', ' licensed under (a )?(creative commons )?cc by '),
-           ('mit-text', ' permission is hereby granted free of charge to any person obtaining a copy of ([^ ]+ ){0,12}to deal in the ([^ ]+ ){0,4}without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies '),
-           ('apache-2.0-grant', ' you may not use this ([^ ]+ ){0,3}except in compliance with the license ')
+), templates(label, pattern, longer) AS (
+    VALUES @templates
 ), own AS (
     SELECT r, list(label) AS labels
-    FROM (SELECT r, ' ' || array_to_string(w, ' ') || ' ' AS j FROM d), templates WHERE regexp_matches(j, pattern) GROUP BY r
+    FROM (SELECT r, ' ' || array_to_string(w, ' ') || ' ' AS j FROM d), templates
+    WHERE regexp_matches(CASE WHEN longer IS NULL THEN j ELSE regexp_replace(j, longer, ' ', 'g') END, pattern) GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_concat(coalesce(base.labels, []), coalesce(own.labels, []))), ','), '') AS labels,
        CASE WHEN own.labels IS NOT NULL THEN 1.0 WHEN n_base IS NOT NULL THEN 0.5 ELSE 0.0 END::DOUBLE AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN own USING (r)
-"""
+""".replace("@templates", sql_templates())
