@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +18,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="llm-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only in local mode, where nobody else has to see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
@@ -34,6 +40,14 @@ def stored(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: Iterable[str], wish: str) -> str:
+    """``wish``, or with underscores after it, so that it names none of ``columns`` (Spark's names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
 

@@ -4,6 +4,7 @@ Each source's share of all tokens is raised to an exponent between 0 (all source
 the smallest one at which the mix is no more even than the target entropy and repeats no source beyond the repetition limit;
 both fall as the exponent grows, so it is found by bisection.  Normalised weights split the token budget.  A source then
 gives whole permutations of its documents, block by block, and of its last block the documents that start within what is left.
+Where every document is to be drawn, the budget is the smallest at which the weights draw the most frequent source once.
 
 How it scales: the bisection reads a table of one row per source, 31 midpoints (five halvings) in one aggregate, so twenty
 halvings are four small jobs.  Where a document starts in the last permutation is a prefix sum over three levels of its
@@ -15,6 +16,7 @@ source and digits, so that a source with a third of all rows is spread over 65,5
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,18 +29,21 @@ DIGIT_BITS = 8
 KEY_BITS = 60
 
 
-def permutation_key(doc_id: Column, block: Column, seed: int) -> Column:
-    """First 60 bits of a digest of seed, block and id: ascending order is the block's permutation."""
-    text = F.concat_ws("|", F.lit(str(seed)), block, F.coalesce(doc_id.cast("string"), F.lit("null")))
+def permutation_key(identity: Column, block: Column, seed: int) -> Column:
+    """First 60 bits of a digest of seed, block and what tells rows apart: ascending order is the block's permutation."""
+    text = F.concat_ws("|", F.lit(str(seed)), block, identity)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-def smallest_exponent(shares: DataFrame, target_entropy: float | None, most_repeats: float | None, repeats_as_is: float, least_share: float) -> float:
-    """Bisects [0, 1] for the smallest exponent that meets the targets; 1 if none below does.  ``shares``: one ``share`` per source."""
+def smallest_exponent(shares: DataFrame, target_entropy: float | None, most_repeats: float | None, repeats_at: Callable[[float, float], float]) -> float:
+    """Bisects [0, 1] for the smallest exponent that meets the targets; 1 if none below does.  ``shares``: one ``share`` per source.
+
+    ``repeats_at`` tells from an exponent and its sum of powers how often the rarest source is drawn.
+    """
 
     def meets(exponent: float, powers: float, logs: float) -> bool:
         entropy = math.log(powers) - exponent * logs / powers
-        repeats = repeats_as_is * least_share ** (exponent - 1) / powers
+        repeats = repeats_at(exponent, powers)
         return (target_entropy is None or entropy <= target_entropy + 1e-12) and (
             most_repeats is None or repeats <= most_repeats + 1e-12
         )
@@ -59,23 +64,33 @@ def smallest_exponent(shares: DataFrame, target_entropy: float | None, most_repe
     return high
 
 
-def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain: float | None, most_repeats: float | None, budget_share: float, fill: bool = False) -> DataFrame:
+def source_weights(
+    totals: DataFrame, target_entropy: float | None, entropy_gain: float | None, most_repeats: float | None, budget_share: float,
+    fill: bool = False, every: bool = False,
+) -> DataFrame:
     """Weight and token budget of every source of ``totals`` (source, tokens > 0).
 
     ``target_entropy`` is in nats; ``entropy_gain`` instead puts it that far between the entropy as it is and the largest.  With
     ``fill`` the budget rises from ``budget_share`` to the largest, of all tokens at most, at which the chosen weights draw no source
-    more than ``most_repeats`` times.
+    more than ``most_repeats`` times.  With ``every`` the budget, whatever its share, draws the source of most tokens exactly once
+    and so every other at least once.
     """
-    whole = totals.agg(F.sum("tokens"), F.min("tokens"), F.count(F.lit(1))).first()
-    tokens, least, sources = whole[0] or 0, whole[1] or 0, whole[2]
+    whole = totals.agg(F.sum("tokens"), F.min("tokens"), F.max("tokens"), F.count(F.lit(1))).first()
+    tokens, least, most, sources = whole[0] or 0, whole[1] or 0, whole[2] or 0, whole[3]
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(tokens or 1)))
+
+    def repeats_at(exponent: float, powers: float) -> float:
+        if every:
+            return (least / most) ** (exponent - 1)
+        return budget_share * (least / tokens) ** (exponent - 1) / powers
+
     exponent = 1.0
     if sources > 1:
         if entropy_gain is not None:
             now = -shares.agg(F.sum(F.col("share") * F.log("share"))).first()[0]
             target_entropy = now + entropy_gain * (math.log(sources) - now)
         if target_entropy is not None or most_repeats is not None:
-            exponent = smallest_exponent(shares, target_entropy, most_repeats, budget_share, least / tokens)
+            exponent = smallest_exponent(shares, target_entropy, most_repeats, repeats_at)
     power = F.pow(F.col("share"), F.lit(exponent))
     normal, room = shares.agg(F.sum(power), F.min(F.col("tokens") / power)).first()
     normal = normal or 1.0
@@ -84,6 +99,9 @@ def source_weights(totals: DataFrame, target_entropy: float | None, entropy_gain
     if fill and most_repeats is not None and room is not None:
         whole_budget = max(whole_budget, min(float(tokens), most_repeats * room * normal))
     budget = F.round(weight * F.lit(whole_budget)).cast("long")
+    if every:
+        times = F.pow(F.col("tokens") / F.lit(float(most or 1)), F.lit(exponent - 1))
+        budget = F.greatest(F.col("tokens"), F.round(F.col("tokens") * times).cast("long"))
     return shares.select("source", "tokens", weight.alias("weight"), budget.alias("budget"))
 
 
@@ -99,55 +117,56 @@ def mix(
     seed: int = 7,
     out: tuple[str, str, str, str] = ("mix_tokens", "mix_block", "mix_order", "mix_budget"),
     fill: bool = False,
+    every: bool = False,
+    identity: Column | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` drawn to the target weights, once for each block that draws them.
 
-    All columns of ``docs`` stay (a column named as one of ``out`` is replaced); ``out`` names the token count, the block (from
-    0), the place in the block's order and the source's budget.  ``fill``: as in ``source_weights``.  Defined cases: a null source is a source of its own; a null id
-    permutes as one id; rows without tokens are never drawn; repeated rows are drawn as rows of their own, ties in the order by
-    token count; where ``most_repeats`` cannot be met (it is under ``budget_share``) shares stay as they are; an empty table or
-    one without any token gives no rows.
+    All columns of ``docs`` stay, whatever their names (a column named as one of ``out`` is replaced); ``out`` names the token count,
+    the block (from 0), the place in the block's order and the source's budget.  ``fill`` and ``every``: as in ``source_weights``.
+    Rows are permuted by id, token count and ``identity``, a text that tells rows of one id apart.  Defined cases: a null source is
+    a source of its own; null ids permute by the rest of their key; rows without tokens are never drawn, with ``every`` once; repeated
+    rows are drawn as rows of their own, ties in the order by a hash of the whole row; where ``most_repeats`` cannot be met (it is under
+    ``budget_share``) shares stay as they are; an empty table gives no rows, nor does one without any token unless ``every`` is set.
     """
     kept = [c for c in docs.columns if c not in out]
-    key = permutation_key(F.col(f"`{id_col}`"), F.lit("last"), seed)
-    digit = [F.shiftright("__key", KEY_BITS - DIGIT_BITS * (k + 1)).bitwiseAND(2**DIGIT_BITS - 1).cast("int") for k in (0, 1)]
-    keyed = (
-        docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(tokens, F.lit(0)).cast("long").alias("__tokens"))
-        .withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("")))
-        .withColumn("__key", key)
-        .withColumns({"__d1": digit[0], "__d2": digit[1]})
-    )
-    sums = stored(keyed.groupBy("__source", "__d1", "__d2").agg(F.sum("__tokens").alias("__sum")), "digit-sums")
-    totals = sums.groupBy(F.col("__source").alias("source")).agg(F.sum("__sum").alias("tokens")).where("tokens > 0")
+    n = F.coalesce(tokens, F.lit(0)).cast("long")
+    told = F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), n.cast("string"), *([] if identity is None else [identity]))
+    source = F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit(""))
+    # The row travels as one column, so that its names meet none of the others.
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept])
+    keyed = docs.select(whole.alias("row"), n.alias("tokens"), source.alias("source"), told.alias("told"))
+    keyed = keyed.withColumn("key", permutation_key(F.col("told"), F.lit("last"), seed))
+    digit = [F.shiftright("key", KEY_BITS - DIGIT_BITS * (k + 1)).bitwiseAND(2**DIGIT_BITS - 1).cast("int") for k in (0, 1)]
+    keyed = keyed.withColumns({"d1": digit[0], "d2": digit[1]})
+    cell = ["source", "d1", "d2"]
+    sums = stored(keyed.groupBy(*cell).agg(F.sum("tokens").alias("sum")), "digit-sums")
+    totals = sums.groupBy("source").agg(F.sum("sum").alias("tokens")).where("tokens > 0")
     totals = stored(totals, "source-totals")
-    weights = source_weights(totals, target_entropy, entropy_gain, most_repeats, budget_share, fill)
+    weights = source_weights(totals, target_entropy, entropy_gain, most_repeats, budget_share, fill, every)
 
     def before(total: str, over: list[str], order: str) -> Column:
         frame = Window.partitionBy(*over).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(total).over(frame), F.lit(0))
 
-    first = sums.groupBy("__source", "__d1").agg(F.sum("__sum").alias("__sum1"))
-    first = first.withColumn("__before1", before("__sum1", ["__source"], "__d1")).drop("__sum1")
-    first = first.join(weights.withColumnsRenamed({"source": "__source", "tokens": "__total", "budget": "__budget"}), "__source")
-    second = sums.withColumn("__before2", before("__sum", ["__source", "__d1"], "__d2"))
-    offsets = second.join(first, ["__source", "__d1"]).select(
-        "__source", "__d1", "__d2", "__total", "__budget", (F.col("__before1") + F.col("__before2")).alias("__before")
-    )
+    first = sums.groupBy("source", "d1").agg(F.sum("sum").alias("sum1"))
+    first = first.withColumn("before1", before("sum1", ["source"], "d1")).drop("sum1")
+    first = first.join(weights.withColumnsRenamed({"tokens": "total"}), "source")
+    second = sums.withColumn("before2", before("sum", ["source", "d1"], "d2"))
+    offsets = second.join(first, ["source", "d1"]).select(*cell, "total", "budget", (F.col("before1") + F.col("before2")).alias("before"))
 
-    within = Window.partitionBy("__source", "__d1", "__d2").orderBy("__key", "__tokens").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.join(offsets, ["__source", "__d1", "__d2"]).withColumn(
-        "__before", F.col("__before") + F.coalesce(F.sum("__tokens").over(within), F.lit(0))
-    )
-    blocks = F.expr("__budget div __total")
-    last = F.col("__before") < F.expr("__budget % __total")
-    drawn = blocks + F.when(last, 1).otherwise(0)
-    rows = placed.where((F.col("__tokens") > 0) & (drawn > 0)).withColumn("__blocks", blocks)
-    rows = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), drawn - 1)))
-    order = F.when(F.col("__block") == F.col("__blocks"), F.col("__key")).otherwise(
-        permutation_key(F.col(f"`{id_col}`"), F.col("__block").cast("string"), seed)
+    within = Window.partitionBy(*cell).orderBy("key", F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = keyed.join(offsets, cell, "left" if every else "inner").withColumn(
+        "before", F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0))
     )
-    new = [F.col("__tokens"), F.col("__block"), order, F.col("__budget")]
-    return rows.select(*[F.col(f"`{c}`") for c in kept], *[c.alias(n) for c, n in zip(new, out)])
+    blocks = F.coalesce(F.expr("budget div total"), F.lit(0).cast("long"))
+    last = F.col("before") < F.expr("budget % total")
+    drawn = F.when(F.col("tokens") > 0, blocks + F.when(last, 1).otherwise(0)).otherwise(F.lit(int(every)).cast("long"))
+    rows = placed.withColumns({"blocks": blocks, "drawn": drawn}).where(F.col("drawn") > 0)
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1)))
+    order = F.when(F.col("block") == F.col("blocks"), F.col("key")).otherwise(permutation_key(F.col("told"), F.col("block").cast("string"), seed))
+    new = [F.col("tokens"), F.col("block"), order, F.coalesce("budget", F.lit(0).cast("long"))]
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *[c.alias(n) for c, n in zip(new, out)])
 
 
 def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,10 +220,10 @@ WITH RECURSIVE docs AS (
                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM docs d
     JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source,
-    LATERAL (SELECT ('0x' || md5('7|last|' || coalesce(d.doc_id::VARCHAR, 'null'))[1:15])::BIGINT AS key) k
+    LATERAL (SELECT ('0x' || md5('7|last|' || coalesce(d.doc_id::VARCHAR, 'null') || '|' || d.n_tokens)[1:15])::BIGINT AS key) k
 )
 SELECT doc_id, source, n_tokens, block::BIGINT AS block,
-       CASE WHEN block = blocks THEN key ELSE ('0x' || md5('7|' || block || '|' || coalesce(doc_id::VARCHAR, 'null'))[1:15])::BIGINT END AS order_key,
+       CASE WHEN block = blocks THEN key ELSE ('0x' || md5('7|' || block || '|' || coalesce(doc_id::VARCHAR, 'null') || '|' || n_tokens)[1:15])::BIGINT END AS order_key,
        budget AS source_budget
 FROM (SELECT *, unnest(range(blocks + CASE WHEN before < rest THEN 1 ELSE 0 END)) AS block FROM placed WHERE n_tokens > 0)
 """

@@ -214,7 +214,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with one document of each component: the row with the smallest id, of several such the shortest text (ties by its hash).
 
     Components are of texts, not of ids: an id with texts in several components may stay in each of them.  A row without an id
-    cannot be held against named ones and is no copy of them; of the rows of a component that have no id one stays too.
+    cannot be held against named ones and is no copy of them; of the rows of a component that have no id one stays too.  Of rows that
+    agree in id and text the one with the smallest hash of all its columns stays.  All columns stay, whatever their names.
     """
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     key = F.struct(doc_id.alias("doc_id"), F.length(text).alias("size"), F.xxhash64(text).alias("hash"))
@@ -224,11 +225,16 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     labelled = rooted(rows.groupBy("fp").agg(*least), **how)
     keepers = labelled.groupBy("root").agg(F.min("named").alias("named"), F.min("nameless").alias("nameless"))
     keepers = keepers.select(F.explode(F.array_compact(F.array("named", "nameless"))).alias("k"))
-    keepers = keepers.select(F.col("k.doc_id").alias("__id"), F.col("k.size").alias("__size"), F.col("k.hash").alias("__hash"))
-    keyed = docs.withColumns({"__length": F.length(text), "__text_hash": F.xxhash64(text)})
-    match = doc_id.eqNullSafe(F.col("__id")) & F.col("__length").eqNullSafe(F.col("__size")) & (F.col("__text_hash") == F.col("__hash"))
-    found = keyed.join(keepers, match, "left_semi").dropDuplicates([id_col, "__length", "__text_hash"])
-    return found.drop("__length", "__text_hash")
+    keepers = keepers.select(F.col("k.doc_id").alias("id"), F.col("k.size").alias("size"), F.col("k.hash").alias("hash"))
+    # The row travels as one column, so that its names meet none of the others.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(whole.alias("row"), doc_id.alias("id"), F.length(text).alias("size"), F.xxhash64(text).alias("hash"))
+    same = F.col("d.hash") == F.col("k.hash")
+    for name in ("id", "size"):
+        same = same & F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}"))
+    found = keyed.alias("d").join(keepers.alias("k"), same, "left_semi")
+    one = found.groupBy("id", "size", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op4_tiled_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

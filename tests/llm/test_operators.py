@@ -96,6 +96,41 @@ def test_mix_fills_what_its_weights_allow(spark):
             assert len(out) == 1000
 
 
+def test_mix_with_every_document(spark):
+    for sources in (lambda k: "only", lambda k: f"s{k % 5}", lambda k: "big" if k % 50 else "small", lambda k: None if k % 3 else f"s{k % 11}"):
+        rows = [(k, sources(k), k % 4) for k in range(1200)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint")
+        out = mixing.mix(docs, F.col("n"), entropy_gain=0.5, most_repeats=2.0, every=True).collect()
+        times = Counter(r.doc_id for r in out)
+        assert set(times) == set(range(1200)) and max(times.values()) <= 2 and all(times[k] == 1 for k, _, n in rows if n == 0)
+        total, drawn = Counter(), Counter()
+        for _, s, n in rows:
+            total[s] += n
+        for r in out:
+            drawn[r.source] += r.n
+        largest = max(total, key=total.get)
+        assert drawn[largest] == total[largest]
+        shares = [n / sum(total.values()) for n in total.values()]
+        weights = [n / sum(drawn.values()) for n in drawn.values()]
+        entropy = lambda ps: -sum(p * np.log(p) for p in ps)
+        assert entropy(weights) >= entropy(shares) - 1e-9
+        for s in total:
+            assert 0 <= drawn[s] - next(r.mix_budget for r in out if r.source == s and r.n) < 4
+    rows = [(None, "s", 0), (None, None, 0)]
+    assert mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string, n bigint"), F.col("n"), every=True).count() == 2
+
+
+def test_mix_spreads_rows_without_an_id_and_minds_no_names(spark):
+    names = ["doc_id", "source", "tokens", "row", "d1", "key", "before", "__tokens", "a.b"]
+    rows = [(None, "s", k % 50, f"r{k}", 1, 2, 3, 4, k) for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint, row string, d1 int, key int, before int, __tokens int, `a.b` int")
+    out = mixing.mix(docs, F.col("tokens"), entropy_gain=0.5, every=True, identity=F.col("row"))
+    assert out.columns[:9] == names
+    same([tuple(r)[:9] for r in out.collect()], rows)
+    cells = {r.mix_order >> 44 for r in out.collect()}
+    assert len(cells) > 1500  # cells of a window; by id alone there is one
+
+
 # --- html
 
 
@@ -269,6 +304,14 @@ def test_keepers_are_rows_not_ids(spark):
     same([tuple(r) for r in kept.collect()], [rows[1], rows[2], rows[4], rows[5], rows[6]])
 
 
+def test_keepers_are_settled_by_all_columns_and_mind_no_names(spark):
+    schema = "doc_id bigint, text string, source string, __length int, hash string, `row` string, id int"
+    rows = [(1, "one and the same text here", f"s{k}", k, "h", "r", 5) for k in range(40)] + [(None, None, "n", None, None, None, None)]
+    kept = [simhash.keep_one_of_each(spark.createDataFrame(rows, schema).repartition(n)).collect() for n in (1, 4)]
+    assert len(kept[0]) == 2 and sorted(map(repr, kept[0])) == sorted(map(repr, kept[1]))
+    assert kept[0][0].__fields__ == ["doc_id", "text", "source", "__length", "hash", "row", "id"]
+
+
 # --- search
 
 
