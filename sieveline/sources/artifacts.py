@@ -57,15 +57,16 @@ def _bucketed_name(path: str) -> str:
     return f"bucketed_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, dealt: bool = False) -> DataFrame:
     """Writes ``df`` hashed into ``buckets`` by ``keys`` and sorted inside them, one file each, and reads it back.
 
     Two tables with the same keys (of equal types) and buckets join on these keys without a shuffle.  Rows of one key share
-    a bucket, so the keys should be many and none of them hot.
+    a bucket, so the keys should be many and none of them hot.  ``dealt`` says that ``df`` comes from such a join, dealt out
+    by bucket as it is, and is not shuffled again.
     """
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
-    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    dealt = df if dealt else df.repartition(buckets, *keys).sortWithinPartitions(*keys)
     writer = dealt.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", path).format("parquet").saveAsTable(_bucketed_name(path))
     return spark.table(_bucketed_name(path))
