@@ -1,6 +1,7 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run holds, in order of hash, the lines of the batches it covers: hash, number of documents, largest document id.  Batches come
+A run holds, in order of hash, the lines of the batches it covers: hash, number of documents, largest document id.  It is a table
+hashed into buckets and sorted inside them, all runs alike, so that runs are merged bucket by bucket without a shuffle.  Batches come
 in descending ranges of document id, so the keeper of a line is known from the first batch that has it.  A new batch is
 merge-anti-joined with the runs: lines that a run has found frequent already are settled and leave the batch, the rest become its
 own run.  When a level holds ``fan`` runs they are merged into one run of the next level; in the end all are.
@@ -8,23 +9,30 @@ own run.  When a level holds ``fan`` runs they are merged into one run of the ne
 How it scales: text is hashed once into (hash, document, batch) rows, which the batches, the merges and the drop list share.
 Distinct documents are counted by (hash, document) before the counts of a hash meet as sums, so a line that a third of all documents
 share never stands in one task.  The drop list joins on the hash, where Spark splits skewed partitions, and is then dealt by
-document; a document's list holds hashes of its own lines only.  Whole texts move once, to meet their drop list.
+document id and hash of the text, so that rows without an id, or of one id, do not share a list; a list holds hashes of its own text's
+lines only.  Whole texts move once, to meet their drop list.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import read, stored
+from sieveline.llm.common import free_name, read, shared_folder, stored
+from sieveline.sources.artifacts import write_bucketed
 
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = -(2**63)
+#: Line hashes a bucket of a run is meant for, and the least number of buckets.
+BUCKET_ROWS = 4_000_000
+LEAST_BUCKETS = 16
 
 
 def line_hashes(text: Column, min_chars: int) -> Column:
@@ -44,35 +52,41 @@ def key_hash(line: str, min_chars: int) -> bytes | None:
 class LineRuns:
     """The levelled index.  ``add`` takes (hash, doc) rows of a batch whose documents all come before those of earlier batches."""
 
-    def __init__(self, min_docs: int, fan: int):
+    def __init__(self, min_docs: int, fan: int, buckets: int = LEAST_BUCKETS):
         if fan < 2:
             raise ValueError("fan is 2 at least")
-        self.min_docs, self.fan = min_docs, fan
+        self.min_docs, self.fan, self.buckets = min_docs, fan, buckets
         self.levels: list[list[DataFrame]] = []
 
     def add(self, lines: DataFrame) -> None:
         run = lines.groupBy("hash").agg(F.count_distinct("doc").alias("n_docs"), F.max("doc").alias("keeper"))
         for level in self.levels:
             for older in level:
-                run = run.join(older.where(F.col("n_docs") >= self.min_docs).select("hash"), "hash", "left_anti")
-        self._put(self._sorted(run), 0)
+                settled = older.where(F.col("n_docs") >= self.min_docs).select("hash")
+                run = run.join(settled.hint("merge"), "hash", "left_anti")
+        self._put(self._sorted(run, dealt=False), 0)
 
-    def _sorted(self, run: DataFrame) -> DataFrame:
-        return stored(run.sortWithinPartitions("hash"), "line-run")
+    def _sorted(self, run: DataFrame, dealt: bool) -> DataFrame:
+        path = f"{shared_folder(run.sparkSession)}/llm-line-run-{uuid.uuid4().hex}"
+        return write_bucketed(run, path, ["hash"], self.buckets, dealt)
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        whole = runs[0]
-        for run in runs[1:]:
-            whole = whole.unionByName(run)
-        return whole.groupBy("hash").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+        """Runs as one, two at a time by a full outer merge join; equal buckets meet, nothing is shuffled."""
+
+        def both(a: DataFrame, b: DataFrame) -> DataFrame:
+            joined = a.alias("a").join(b.hint("merge").alias("b"), F.col("a.hash") == F.col("b.hash"), "full")
+            n = F.coalesce("a.n_docs", F.lit(0)) + F.coalesce("b.n_docs", F.lit(0))
+            keeper = F.greatest("a.keeper", "b.keeper")  # of the one there is, where the other is missing
+            return joined.select(F.coalesce("a.hash", "b.hash").alias("hash"), n.alias("n_docs"), keeper.alias("keeper"))
+
+        return reduce(lambda a, b: self._sorted(both(a, b), dealt=True), runs)
 
     def _put(self, run: DataFrame, at: int) -> None:
         if at == len(self.levels):
             self.levels.append([])
         self.levels[at].append(run)
         if len(self.levels[at]) == self.fan:
-            merged = self._sorted(self._merged(self.levels[at]))
-            self.levels[at] = []
+            merged, self.levels[at] = self._merged(self.levels[at]), []
             self._put(merged, at + 1)
 
     def frequent(self) -> DataFrame:
@@ -93,10 +107,11 @@ def drop_frequent_lines(
 ) -> DataFrame:
     """``docs`` with frequent lines left only in the largest document id that holds them.
 
-    All columns stay, the text without the dropped lines; ``out`` names the number of lines before and of lines dropped (columns
-    of that name are replaced).  Defined cases: a null text counts as empty, one empty line, and comes back empty; a null id comes
-    before every other id; rows that repeat an id are one document when documents are counted, and are all kept; a line that
-    repeats within its document is dropped or kept each time; an empty table gives no rows.
+    All columns stay, whatever their names, the text without the dropped lines; ``out`` names the number of lines before and of lines
+    dropped (columns of that name are replaced).  Defined cases: a null text counts as empty, one empty line, and comes back empty; a
+    null id comes before every other id; rows that repeat an id are one document when documents are counted, and are all kept; a line
+    that repeats within its document is dropped or kept each time; a very long text is split and hashed as a whole, and held by one
+    task; an empty table gives no rows.
     """
     id_type, text = docs.schema[id_col].dataType.simpleString(), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     if id_type not in ("bigint", "int", "smallint", "tinyint"):
@@ -107,16 +122,20 @@ def drop_frequent_lines(
     batch = F.lit(0)
     for cut in cuts or []:
         batch = batch + F.when(doc <= F.lit(cut), 1).otherwise(0)
-    lines = docs.select(batch.alias("batch"), doc.alias("doc"), F.explode(line_hashes(text, min_chars)).alias("hash"))
-    lines = stored(lines.select("doc", "hash", "batch"), "line-hashes", "batch")
+    row = F.xxhash64(text)
+    lines = docs.select(batch.alias("batch"), doc.alias("doc"), row.alias("row"), F.explode(line_hashes(text, min_chars)).alias("hash"))
+    lines = stored(lines.select("doc", "row", "hash", "batch"), "line-hashes", "batch")
 
-    runs = LineRuns(min_docs, fan)
+    runs = LineRuns(min_docs, fan, max(LEAST_BUCKETS, -(-lines.count() // BUCKET_ROWS)))
     for k in range(batches):
         runs.add(lines.where(F.col("batch") == k).select("hash", "doc"))
     drops = lines.join(runs.frequent(), "hash").where(F.col("doc") != F.col("keeper"))
-    drops = drops.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("hash").alias("__drops"))
+    drops = drops.groupBy("doc", "row").agg(F.collect_set("hash").alias("drops"))
 
-    wide = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("__doc", doc).join(drops, "__doc", "left").drop("__doc")
+    doc_name, row_name = free_name(kept, "doc"), free_name(kept, "row")
+    drops = drops.select(F.col("doc").alias(doc_name), F.col("row").alias(row_name), F.col("drops").alias(free_name(kept, "drops")))
+    wide = docs.select(*[F.col(f"`{c}`") for c in kept], doc.alias(doc_name), row.alias(row_name))
+    wide = wide.join(drops, [doc_name, row_name], "left").drop(doc_name, row_name)
     place, names = kept.index(text_col), [*kept, *out]
 
     def cut_lines(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -553,6 +553,48 @@ def test_lines_match_brute_force(spark, docs, pairs):
     assert line_dedup.drop_frequent_lines(small.nothing(spark)).count() == 0
 
 
+def test_runs_are_merged_without_a_shuffle(spark):
+    runs = line_dedup.LineRuns(3, 2, buckets=4)
+    batch = lambda low: spark.range(500).selectExpr("unhex(md5(cast(id % 90 as string))) AS hash", f"{low} - id AS doc")
+    plans, keep = [], line_dedup.write_bucketed
+
+    def watched(run, path, keys, buckets, dealt=False):
+        plans.append((dealt, run._jdf.queryExecution().executedPlan().toString()))
+        return keep(run, path, keys, buckets, dealt)
+
+    line_dedup.write_bucketed = watched
+    try:
+        for low in (5000, 3000, 1000):
+            runs.add(batch(low))
+        found = runs.frequent()
+    finally:
+        line_dedup.write_bucketed = keep
+    merges = [plan for dealt, plan in plans if dealt]
+    assert len(merges) == 2 and all("Exchange" not in plan and plan.count("Bucketed: true") == 2 for plan in merges)
+    anti = [plan for dealt, plan in plans if not dealt and "LeftAnti" in plan]
+    assert anti and all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for plan in anti)
+    assert sorted((r.hash, r.keeper) for r in found.collect()) == sorted((r.hash, r.k) for r in batch(5000).groupBy("hash").agg(F.max("doc").alias("k")).collect())
+
+
+def test_rows_without_an_id_have_lists_of_their_own(spark):
+    common = "a line of forty characters and a few more, that is shared"
+    rows = [(None, f"{common}\nown words of row {k} that make up a line of some length, kept", "x", k) for k in range(300)]
+    rows += [(k, f"{common}\n{k}", "y", k) for k in range(600)] + [(7, common, "z", 0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, doc string, drops int").repartition(3)
+    out = line_dedup.drop_frequent_lines(docs)
+    same([(r.doc_id, r.text, r.dedup_n_lines, r.dedup_n_dropped) for r in out.collect()], small.line_deduped([r[:2] for r in rows]))
+    assert out.columns == ["doc_id", "text", "doc", "drops", "dedup_n_lines", "dedup_n_dropped"]
+    kept = []
+    plain = line_dedup.stored
+    line_dedup.stored = lambda df, what, *by: kept.append(plain(df, what, *by)) or kept[-1]
+    try:
+        line_dedup.drop_frequent_lines(docs).count()
+    finally:
+        line_dedup.stored = plain
+    lines = kept[0]
+    assert lines.where("doc = -9223372036854775808").groupBy("doc", "row").count().agg(F.max("count")).first()[0] == 2
+
+
 # --- packing
 
 
