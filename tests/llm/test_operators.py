@@ -316,29 +316,67 @@ def test_keepers_are_settled_by_all_columns_and_mind_no_names(spark):
 
 
 def test_top_k_on_awkward_vectors(spark):
+    import duckdb
+    import pyarrow as pa
+
     draw = np.random.default_rng(1)
     centres = draw.standard_normal((6, 8)) * 3
     vectors = [(int(k), (centres[k % 6] + draw.standard_normal(8) * 0.05).tolist(), "x") for k in range(400)]
     vectors += [(1000 + k, vectors[7][1], "copy") for k in range(50)]
+    vectors += [vectors[0]] * 3 + [vectors[200], (100, vectors[5][1], "other"), (7, vectors[9][1], "z")] + [(None, vectors[0][1], "no id")] * 2
     odd = [(2000, None, ""), (2001, [1.0, None] * 4, ""), (2002, [float("nan")] * 8, ""), (2003, [float("inf")] * 8, ""), (2004, [], ""), (None, [1.0] * 8, "")]
-    table = spark.createDataFrame(vectors + odd + [vectors[0], (5000, [1.0, 2.0], "short")], "vec_id bigint, embedding array<double>, score string")
-    got = topk_search.top_k(table, table.where("vec_id % 50 = 0"), data_block=64, query_block=4).collect()
-    whole = {v: np.floor(1024 * np.array(x)) for v, x, _ in vectors}
-    want = []
-    for q in whole:
-        if q % 50 == 0:
-            scored = sorted((-int(whole[q] @ x), v) for v, x in whole.items() if v != q)[:10]
-            want += [(q, k + 1, v, -s) for k, (s, v) in enumerate(scored)]
-    same([tuple(r) for r in got], want)
+    rows = vectors + odd + [(5000, [1.0, 2.0], "short"), (5100, [3.0, 1.0], "short"), (5200, [2.0], "alone")]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score string").repartition(3)
+    con = duckdb.connect()
+    con.register("embeddings", pa.table({"vec_id": [r[0] for r in rows], "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float64()))}))
+    want = con.execute(topk_search.OP5_SQL).fetchall()
+    assert len(want) > 80
+    for data_block, query_block in ((64, 4), (4096, 4096), (30, 1)):
+        got = topk_search.top_k(table, table.where("vec_id % 100 = 0"), data_block=data_block, query_block=query_block).collect()
+        same([tuple(r) for r in got], want)
     assert topk_search.top_k(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_trees_of_vectors_without_clusters_have_levels_and_prune():
+    draw = np.random.default_rng(5)
+
+    def searched(points, queries):
+        seen = Counter()
+        ids = np.arange(len(points))
+        found = topk_search.dual_tree_top_k(points[queries], ids[queries], points, ids, 10, seen=seen)
+        for at, q in enumerate(queries):
+            scores = points @ points[q]
+            order = [i for i in np.lexsort((ids, -scores)) if i != q][:10]
+            assert found[1][found[0] == at].tolist() == order and found[3][found[0] == at].tolist() == scores[order].tolist()
+        return seen, topk_search.cover_tree(points).nodes()
+
+    flat = np.floor(1024 * draw.standard_normal((1500, 64)) / 8)
+    seen, nodes = searched(flat, np.arange(0, 1500, 100))
+    assert nodes > 1000 and seen["pairs"] > 1000
+    centres = draw.standard_normal((40, 64)) / 8
+    clustered = np.floor(1024 * (centres[draw.integers(0, 40, 1500)] + draw.standard_normal((1500, 64)) / 200))
+    seen, nodes = searched(clustered, np.arange(0, 1500, 5))
+    assert nodes > 50 and seen["pruned"] > 0.2 * seen["pairs"] and seen["products"] < 0.4 * 300 * 1500
+
+
+def test_a_known_bound_prunes_and_changes_nothing():
+    draw = np.random.default_rng(6)
+    centres = draw.standard_normal((30, 16))
+    points = np.floor(1024 * (centres[draw.integers(0, 30, 900)] + draw.standard_normal((900, 16)) / 50))
+    ids, queries = np.arange(900), np.arange(0, 900, 9)
+    plain, seeded = Counter(), Counter()
+    found = topk_search.dual_tree_top_k(points[queries], ids[queries], points, ids, 5, seen=plain)
+    least = np.array([found[3][found[0] == at].min() for at in range(len(queries))])
+    again = topk_search.dual_tree_top_k(points[queries], ids[queries], points, ids, 5, least=least, seen=seeded)
+    assert all(x.tolist() == y.tolist() for x, y in zip(found, again)) and seeded["products"] < plain["products"]
+
+
 def test_cover_tree_covers_and_separates():
     draw = np.random.default_rng(2)
     points = np.concatenate([draw.standard_normal((200, 3)) * 0.1 + c for c in draw.standard_normal((5, 3)) * 9])
 
     def visit(node):
-        gaps = np.linalg.norm(points[node.rows] - node.centre, axis=1)
+        gaps = np.linalg.norm(points[node.rows] - points[node.rows[0]], axis=1)
         assert gaps.max() <= node.radius + 1e-12
         if node.children:
             scale = 2.0 ** (np.ceil(np.log2(node.radius)) - 1)
@@ -358,7 +396,7 @@ def test_products_beyond_double_precision():
     big = np.array([[3e8, 1.0], [3e8, 2.0], [3e8, 3.0]])
     ids = np.array([1, 2, 3])
     found = topk_search.dual_tree_top_k(big[:1], ids[:1], big, ids, 2)
-    assert [x.tolist() for x in found] == [[1, 1], [3, 2], [9 * 10**16 + 3, 9 * 10**16 + 2]]
+    assert [x.tolist() for x in found] == [[0, 0], [3, 2], [1, 1], [9 * 10**16 + 3, 9 * 10**16 + 2]]
 
 
 # --- classifiers
