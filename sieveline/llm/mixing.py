@@ -124,14 +124,14 @@ def mix(
 
     All columns of ``docs`` stay, whatever their names (a column named as one of ``out`` is replaced); ``out`` names the token count,
     the block (from 0), the place in the block's order and the source's budget.  ``fill`` and ``every``: as in ``source_weights``.
-    Rows are permuted by id, token count and ``identity``, a text that tells rows of one id apart.  Defined cases: a null source is
-    a source of its own; null ids permute by the rest of their key; rows without tokens are never drawn, with ``every`` once; repeated
+    Rows are permuted by id and ``identity``, a text that tells rows of one id apart.  Defined cases: a null source is a source
+    of its own; null ids permute by ``identity``, without it as one id; rows without tokens are never drawn, with ``every`` once; repeated
     rows are drawn as rows of their own, ties in the order by a hash of the whole row; where ``most_repeats`` cannot be met (it is under
     ``budget_share``) shares stay as they are; an empty table gives no rows, nor does one without any token unless ``every`` is set.
     """
     kept = [c for c in docs.columns if c not in out]
     n = F.coalesce(tokens, F.lit(0)).cast("long")
-    told = F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), n.cast("string"), *([] if identity is None else [identity]))
+    told = F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), *([] if identity is None else [identity]))
     source = F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit(""))
     # The row travels as one column, so that its names meet none of the others.
     whole = F.struct(*[F.col(f"`{c}`") for c in kept])
@@ -172,8 +172,8 @@ def mix(
 def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every draw of the whole ``documents`` table: half way to even sources, no document more than twice."""
     docs = read(spark, sf_dir, "documents")
-    slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens"))
-    drawn = mix(slim, F.col("n_tokens"), entropy_gain=0.5, most_repeats=2.0, budget_share=1.0)
+    slim = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens")), "token-counts")  # texts are read once
+    drawn = mix(slim, F.col("n_tokens"), entropy_gain=0.5, most_repeats=2.0, budget_share=1.0, identity=F.col("n_tokens").cast("string"))
     return drawn.select(
         "doc_id", "source", "n_tokens", F.col("mix_block").alias("block"), F.col("mix_order").alias("order_key"),
         F.col("mix_budget").alias("source_budget"),
