@@ -172,6 +172,43 @@ def test_elements_left_open_hide_no_text():
     assert texts("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["So x = 2 holds"]
 
 
+@pytest.mark.parametrize("unit", ["<div>x", "<a ", "<svg>x", "<svg>x<div>y", "</b><p>z</div>", "<div class='a b c d'>x</p>", "<!x ", "<script ", "<td>x<li>y", "<a \"x"])
+def test_pages_are_parsed_in_proportion(labeller, unit):
+    import time
+
+    seconds = []
+    for size in (1 << 17, 1 << 19):
+        started = time.process_time()
+        html_extract.leaf_blocks(unit * (size // len(unit)))
+        seconds.append(time.process_time() - started)
+    assert seconds[1] < 8 * max(seconds[0], 0.1)
+
+
+def test_a_page_of_many_blocks_is_labelled_whole(labeller):
+    text = html_extract.main_texts(["<body><nav>Home</nav><article>" + "<p>A sentence with several words in it, as usual." * 20_000 + "</article>"], labeller)[0]
+    assert text.count("A sentence") == 20_000 and "Home" not in text
+
+
+def test_vectors_of_blocks_without_a_dense_matrix():
+    draw = np.random.default_rng(3)
+    rows = [(draw.integers(0, 50, n), draw.integers(1, 9, n) if n % 2 else None) for n in draw.integers(1, 40, 300)]
+    vectors = draw.standard_normal((50, 6)).astype(np.float32)
+    keep, html_extract.TOKENS_AT_ONCE = html_extract.TOKENS_AT_ONCE, 100
+    try:
+        got = html_extract.mean_vectors(rows, vectors)
+    finally:
+        html_extract.TOKENS_AT_ONCE = keep
+    assert np.allclose(got, html_extract.shares(rows, 50) @ vectors, atol=1e-5)
+
+
+def test_short_blocks_of_plain_pages_follow_their_neighbours():
+    long = "A line of running text that is well over forty characters long."
+    page = f"<body><div><h1>Title</h1><p>{long}</p><p>Short.</p><p>{long}</p></div><div class=menu><span>Go</span></div><div><div>Elsewhere</div></div>"
+    blocks = html_extract.leaf_blocks(page)
+    assert [(b[0] if len(b[0]) < 40 else "long", m) for b, m in zip(blocks, html_extract.weak_labels(blocks))] == [
+        ("Title", 1), ("long", 1), ("Short.", 1), ("long", 1), ("Go", 0), ("Elsewhere", 0)]
+
+
 def test_renamed_containers_are_told_apart(labeller):
     page = PAGE.replace("<article>", '<div id="story">').replace("</article>", "</div>").replace('"ad"', '"sponsored box"')
     text = html_extract.main_texts([page], labeller)[0]
