@@ -112,12 +112,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
 
 
 def vote(vectors: np.ndarray, sample: np.ndarray, votes: np.ndarray) -> np.ndarray:
-    """Mean label of the nearest neighbours, weighted by a power of the similarity; without any, the sample's mean."""
+    """Mean label of the nearest neighbours, weighted by a power of the similarity; without any, the sample's mean.
+
+    Of equally near neighbours those that come first in the sample vote.
+    """
     if not len(votes):
         return np.full(len(vectors), 0.5)
     near = np.maximum(vectors @ sample.T, 0)
     k = min(NEIGHBOURS, len(votes))
     best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    worst = np.take_along_axis(near, best, 1).min(axis=1)
+    for row in np.flatnonzero((near >= worst[:, None]).sum(axis=1) > k):
+        best[row] = np.argsort(-near[row], kind="stable")[:k]
     weight = np.take_along_axis(near, best, 1).astype(np.float64) ** SHARPNESS
     total = weight.sum(axis=1)
     return np.where(total > 0, (weight * votes[best]).sum(axis=1) / np.where(total > 0, total, 1), votes.mean())

@@ -451,6 +451,29 @@ def test_quality_of_held_out_rows(spark):
     assert sum((scored[k] >= 0.3) == q for k, q in held) >= 0.95 * len(held)
 
 
+def test_votes_one_by_one_with_ties():
+    draw = np.random.default_rng(4)
+    sample = quality_knn.unit(draw.integers(-1, 2, (150, 6)) + 0.001).astype(np.float32)  # many equal vectors
+    votes = draw.integers(0, 2, 150).astype(np.float32)
+    vectors = quality_knn.unit(draw.integers(-1, 2, (80, 6)) + 0.001).astype(np.float32)
+    got = quality_knn.vote(vectors, sample, votes)
+    near = np.maximum(vectors @ sample.T, 0)
+    for row, score in enumerate(got):
+        nearest = sorted(range(150), key=lambda j: (-near[row, j], j))[: quality_knn.NEIGHBOURS]
+        weights = [float(near[row, j]) ** quality_knn.SHARPNESS for j in nearest]
+        want = sum(w * votes[j] for w, j in zip(weights, nearest)) / sum(weights) if sum(weights) else votes.mean()
+        assert abs(score - want) < 1e-6
+
+
+def test_quality_scores_text_by_text(spark, docs):
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id bigint, quality int, toxic int")
+    space, sample, votes = model = quality_knn.fit(docs, labels)
+    for r in quality_knn.with_scores(docs, model, out="s").select("text", "s").distinct().collect():
+        at, value = quality_knn.bag(r.text)
+        vector = quality_knn.unit((value @ space[at] if len(at) else np.zeros(space.shape[1]))[None, :].astype(np.float32))
+        assert abs(quality_knn.vote(vector, sample, votes)[0] - r.s) < 1e-4
+
+
 def test_toxicity_reaches_misspellings_and_long_texts(spark):
     draw = random.Random(9)
     vocabulary = ["".join(draw.choice("aeilnorst") for _ in range(draw.randint(2, 8))) for _ in range(400)]
