@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,15 +28,22 @@ class MissingTables(RuntimeError):
 
 
 def discover(spark: SparkSession, directory: str) -> dict[str, str]:
-    """``{table: path}`` of the Parquet files or Parquet directories in ``directory``, by name."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
-    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(hadoop):
-        raise FileNotFoundError(f"no such data directory: {directory}")
-    paths = [status.getPath() for status in files.listStatus(hadoop)]
-    suffix = ".parquet"
-    found = {p.getName()[: -len(suffix)]: p.toString() for p in paths if p.getName().endswith(suffix)}
-    return dict(sorted(found.items()))
+    """``{table: path}`` of the Parquet files or Parquet directories in ``directory``, by name.
+
+    Spark lists the files, whatever store they are in; contents are not read.
+    """
+    root, suffix = directory.rstrip("/"), ".parquet"
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    try:
+        files = reader.load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no such data directory: {directory}") from None
+    below = F.element_at(F.split("path", f"{re.escape(root)}/"), -1)
+    names = files.select(F.split(below, "/")[0].alias("name")).distinct().where(F.col("name").endswith(suffix))
+    found = [r.name for r in names.collect()]  # one for each table
+    return {name.removesuffix(suffix): f"{root}/{name}" for name in sorted(found)}
 
 
 def file_states(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, str]:
