@@ -498,6 +498,19 @@ def test_toxicity_reaches_misspellings_and_long_texts(spark):
     assert got[1] < 0.7 <= got[2] and got[3] == got[4]
 
 
+def test_toxicity_passage_by_passage(spark, docs):
+    number, offset = model = np.random.default_rng(5).standard_normal(toxicity.BUCKETS).astype(np.float32), -0.3
+    for r in toxicity.with_scores(docs, model, out="s").select("text", "s").distinct().collect():
+        each = []
+        for word in toxicity.words_of(r.text):
+            raw = f"<{word}>"
+            parts = [raw] + [raw[i : i + n] for n in toxicity.GRAMS for i in range(len(raw) - n + 1)]
+            each.append(np.mean([float(number[zlib.crc32(p.encode()) % toxicity.BUCKETS]) for p in parts]))
+        half = toxicity.PASSAGE // 2
+        worst = max((np.mean(each[i : i + toxicity.PASSAGE]) for i in range(0, max(1, len(each) - half), half)), default=0.0) if each else 0.0
+        assert abs(1 / (1 + np.exp(-(worst + offset))) - r.s) < 1e-6
+
+
 @pytest.mark.parametrize("module, label", [(quality_knn, "quality"), (toxicity, "toxic")])
 def test_classifiers_on_awkward_rows(spark, docs, module, label):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
