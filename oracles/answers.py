@@ -23,6 +23,7 @@ def _reaching(rows: str, column: str, at: int, full: int) -> str:
 
 
 # key -> (detection, id, title, weight, SQL yielding the unrounded score ``s``)
+# Ids, titles, weights, spans and advice texts.
 SIGNALS: dict[str, tuple[str, str, str, float, str]] = {
     "sg01_cross_tenant_diversity": (
         "q03_tenant_diversity", "cross_tenant_diversity_asn", "Cross-tenant diversity on shared infrastructure", 1.2,

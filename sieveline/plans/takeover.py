@@ -12,6 +12,7 @@ from sieveline.operators.intervals import first_match_among, interval_join, look
 from sieveline.operators.spread import first_non_null
 
 ENTITY = ["org_id", "account_id"]
+# Event names and columns of the sign-in history.
 SIGNIN, MFA_ADD = "auth.signin", "auth.mfa.add"
 MAILBOX_RULE, OAUTH_GRANT = "mailbox.rule.create", "oauth.consent.grant"
 EVENT_COLUMNS = [
@@ -169,6 +170,7 @@ def takeover_chains(
         *[F.min(F.when(_is_event(kind), F.col("ts"))).alias(f"{name}_ts") for name, kind in steps.items()]
     )
     joined = accounts.join(firsts, ENTITY, "left")
+    # 30 for the new origin, 30, 30 and 25 for the steps.
     has = {name: F.col(f"{name}_ts").isNotNull() for name in steps}
     score = (
         F.lit(30)
@@ -183,6 +185,7 @@ def takeover_chains(
 
 def takeover_rollup(identity: DataFrame) -> DataFrame:
     """Which chain steps each account shows at all, with their additive score."""
+    # The weight of each step.
     steps = {
         "has_failures": (_is_signin("failure"), 10),
         "has_success": (_is_signin("success"), 5),
