@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.clock import shift, span_hours
-from sieveline.operators.heavy import same_keys
+from sieveline.operators.heavy import heavy_cells, mark_heavy, rows_of
 from sieveline.operators.intervals import interval_join
 from sieveline.sources.artifacts import staged
 
@@ -115,18 +115,19 @@ def identity_changes_after_sessions(
     A set is an array of texts, in order, with its size beside it.  A set of more than ``most_values`` is told by its size alone, its
     array is NULL; :func:`session_change_values` has its members as rows.
     """
-    session = ["session_user", "session_id"]
+    session, kinds = ["session_user", "session_id"], ("events", "targets", "actors")
     values = staged(session_change_values(sessions, audit, within, sources), "session-values")
-    sizes = values.groupBy(*session, "kind").agg(F.count("value").alias("size"))
-    one = [*session, "kind"]
-    small = values.alias("v").join(sizes.where(F.col("size") > most_values).alias("s"), same_keys("v", "s", one, null_safe=True), "left_anti")
-    sets = small.groupBy(*one).agg(F.array_sort(F.collect_list("value")).alias("members"))
-    told = sizes.alias("v").join(sets.alias("s"), same_keys("v", "s", one, null_safe=True), "left").select("v.*", "s.members")
-    kinds = ("events", "targets", "actors")
-    of = lambda kind, column: F.first(F.when(F.col("kind") == kind, F.col(column)), ignorenulls=True)
-    return told.groupBy(*session).agg(
-        *[of(k, "members").alias(k) for k in kinds], *[of(k, "size").alias(f"n_{k}") for k in kinds]
+    # Sets that are too large, found in one count (a missing value counts there as well), are never gathered.
+    heavy = heavy_cells([values], [*session, "kind"], most_values + 1, nulls=True)
+    large = F.lit(False) if heavy is None else F.col(rows_of(0)).isNotNull()
+    marked = values if heavy is None else mark_heavy(values, heavy, [*session, "kind"])
+    of = lambda kind: F.col("kind") == kind
+    sets = marked.groupBy(*session).agg(
+        *[F.array_sort(F.collect_list(F.when(of(k) & ~large, F.col("value")))).alias(k) for k in kinds],
+        *[F.count(F.when(of(k), F.col("value"))).alias(f"n_{k}") for k in kinds],
     )
+    told = [F.when(F.col(f"n_{k}") <= most_values, F.col(k)).alias(k) for k in kinds]
+    return sets.select(*session, *told, *[f"n_{k}" for k in kinds])
 
 
 def exposure_then_failed_login(
