@@ -62,3 +62,10 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
     filtered = QUERIES["q14_mfa_device_added"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in filtered and "IsNotNull(user_id)" in filtered
+
+
+@pytest.mark.parametrize("name", ["h02_role_grants_near_sessions", "h03_resets_after_creation", "h04_new_privileged_users", "jn07_keyed_interval"])
+def test_interval_joins_read_each_side_once_for_rows(spark, name):
+    # What was counted to plan salts, and the inner one of two joins, is no part of the plan any more.
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Join") == 1
