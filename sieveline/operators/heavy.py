@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil, isqrt
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,10 @@ from pyspark.sql import functions as F
 FLOOR_ROWS = 100_000
 # Of the cells above the floor the largest count as heavy, which bounds every local table and broadcast of them.
 MOST_CELLS = 100_000
+# Pairs of rows that one task of a join is meant to meet: a few seconds of work, whatever is written from it.
+TASK_PAIRS = 2**23
+# More tasks than that cost more to keep than they spread; beyond it a task meets more pairs.
+MOST_TASKS = 20_000
 
 
 def same_keys(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
@@ -32,6 +38,21 @@ def rows_of(side: int) -> str:
     return f"__rows{side}"
 
 
+def _cell_counts(sides: Sequence[DataFrame], cell: Sequence[str], nulls: bool) -> DataFrame:
+    """Every side's rows per cell."""
+    counts = [rows_of(at) for at in range(len(sides))]
+    tagged = reduce(
+        DataFrame.unionByName,
+        [
+            side.select(*cell, *[F.lit(int(at == other)).cast("bigint").alias(c) for other, c in enumerate(counts)])
+            for at, side in enumerate(sides)
+        ],
+    )
+    if not nulls:
+        tagged = tagged.dropna(subset=list(cell))
+    return tagged.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def heavy_cells(
     sides: Sequence[DataFrame],
     cell: Sequence[str],
@@ -45,20 +66,49 @@ def heavy_cells(
     largest cells at most; a cell beyond those holds less than ``1 / most`` of all rows.  A cell with a missing part
     counts only with ``nulls``.
     """
+    cells = _cell_counts(sides, cell, nulls)
     counts = [rows_of(at) for at in range(len(sides))]
-    tagged = reduce(
-        DataFrame.unionByName,
-        [
-            side.select(*cell, *[F.lit(int(at == other)).cast("bigint").alias(c) for other, c in enumerate(counts)])
-            for at, side in enumerate(sides)
-        ],
-    )
-    if not nulls:
-        tagged = tagged.dropna(subset=list(cell))
-    cells = tagged.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in counts])
     largest = F.greatest(*counts) if len(counts) > 1 else F.col(counts[0])
     found = cells.where(largest > floor).orderBy(largest.desc()).limit(most).toArrow()
-    return tagged.sparkSession.createDataFrame(found, cells.schema) if found.num_rows else None
+    return cells.sparkSession.createDataFrame(found, cells.schema) if found.num_rows else None
+
+
+def joined_cells(
+    sides: Sequence[DataFrame],
+    cell: Sequence[str],
+    floor: int = FLOOR_ROWS,
+    pairs: int = TASK_PAIRS,
+    most: int = MOST_CELLS,
+) -> tuple[DataFrame | None, int]:
+    """:func:`heavy_cells` of the two sides of a join, and how many tasks of ``pairs`` pairs each the join has work for.
+
+    A cell is heavy as well whose sides make more than ``pairs`` pairs, however few their rows.  All of it comes from
+    the same one job: the cells that are not heavy come to the driver as one row.
+    """
+    counted = _cell_counts(sides, cell, nulls=False)
+    counts = [rows_of(at) for at in range(2)]
+    met = F.col(counts[0]).cast("double") * F.col(counts[1])
+    heavy = (F.greatest(*counts) > floor) | (met > pairs)
+    found = (
+        counted.groupBy(F.when(heavy, F.struct(*cell)).alias("__cell"))
+        .agg(*[F.sum(c).alias(c) for c in counts], F.sum(met).alias("__met"))
+        .orderBy(F.col("__cell").isNotNull(), F.desc("__met"))
+        .limit(most + 1)
+        .select("__cell.*", *counts, "__met")
+    )
+    table = found.toArrow()
+    tasks = min(ceil((pc.sum(table["__met"]).as_py() or 0) / pairs), MOST_TASKS)
+    kept = table.filter(pc.is_valid(table[cell[-1]])).drop_columns(["__met"])
+    cells = counted.sparkSession.createDataFrame(kept, found.drop("__met").schema) if kept.num_rows else None
+    return cells, tasks
+
+
+def join_salts(floor: int = FLOOR_ROWS, pairs: int = TASK_PAIRS) -> list[Column]:
+    """Each side's salts in a join whose cells are marked by :func:`joined_cells`: ``floor`` rows to a salt, or as many
+    as meet as many of the other side in ``pairs`` pairs."""
+    counts = [F.col(rows_of(at)) for at in range(2)]
+    crowded = counts[0].cast("double") * counts[1] > pairs
+    return [F.when(crowded, salts_of(c, min(floor, isqrt(pairs)))).otherwise(salts_of(c, floor)) for c in counts]
 
 
 def mark_heavy(df: DataFrame, heavy: DataFrame, cell: Sequence[str]) -> DataFrame:

@@ -3,8 +3,9 @@
 Bins are as wide as the interval, so an interval touches exactly two of them.  The
 bin is part of the join key: an entity with a large share of the rows is split
 along time, and salts split what is left inside one bin.  Salts are planned from one
-count of both sides.  Only candidates of two neighbouring bins ever meet; the exact
-range test stays on the join condition.
+count of both sides, and tasks from the pairs that it foretells: what a join gives may be
+far larger than what it reads.  Only candidates of two neighbouring bins ever meet; the
+exact range test stays on the join condition, with bounds that are told once a row.
 """
 
 from __future__ import annotations
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from sieveline.functions.clock import bucket_start, shift
 from sieveline.operators.heavy import (
     FLOOR_ROWS,
+    TASK_PAIRS,
     every_salt,
     heavy_cells,
+    join_salts,
+    joined_cells,
     mark_heavy,
     row_spread,
     rows_of,
@@ -28,7 +32,7 @@ from sieveline.operators.heavy import (
 from sieveline.operators.slices import SLICE, range_slices
 from sieveline.sources.artifacts import staged
 
-_BIN, _SALTS = "__bin", ("__salt0", "__salt1")
+_BIN, _BOUND, _SALTS = "__bin", "__bound", ("__salt0", "__salt1")
 
 
 def interval_join(
@@ -41,6 +45,7 @@ def interval_join(
     split: bool = False,
     replicate: str = "starts",
     floor: int = FLOOR_ROWS,
+    pairs: int = TASK_PAIRS,
 ) -> DataFrame:
     """Inner join of ``starts`` with the ``points`` in ``[start, start + within]``.
 
@@ -48,12 +53,15 @@ def interval_join(
     all other column names must differ.  The ``replicate`` side, best the smaller one, is
     copied to the second bin; rows of the other side go to exactly one.  With ``split``,
     both sides are counted once, in a job of its own, and each (keys, bin) that is heavy on a
-    side is cut into as many salts as its rows there ask for, to all of which its partners on
-    the other side are copied; where none is heavy the join carries no salts.
+    side, or has many pairs, is cut into as many salts as its rows there ask for, to all of which its
+    partners on the other side are copied; where none is heavy the join carries no salts.  A join of
+    more pairs than one task should meet (``pairs``) is dealt over tasks in proportion to its pairs.
     """
     if replicate not in ("starts", "points"):
         raise ValueError("replicate is 'starts' or 'points'")
     copy_starts = replicate == "starts"
+    kept = [F.col(f"l.{c}") for c in starts.columns] + [F.col(f"r.{c}") for c in points.columns if c not in keys]
+    starts = starts.withColumn(_BOUND, shift(F.col(start), within))
     copied, copied_ts, step = (starts, start, 1) if copy_starts else (points, point, -1)
     single, single_ts = (points, point) if copy_starts else (starts, start)
 
@@ -61,21 +69,23 @@ def interval_join(
     copied = first.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
     single = single.withColumn(_BIN, bucket_start(single_ts, within))
     equi = [*keys, _BIN]
-    heavy = heavy_cells([single, copied], equi, floor) if split else None
+    heavy, tasks = joined_cells([single, copied], equi, floor, pairs) if split else (None, 0)
     if heavy is not None:
-        sides = []
+        salts, sides = join_salts(floor, pairs), []
         for at, side in enumerate((single, copied)):
             marked = mark_heavy(side.withColumn("__spread", row_spread(side)), heavy, equi)
-            own, other = (salts_of(F.col(rows_of(n)), floor) for n in (at, 1 - at))
-            salted = marked.withColumn(_SALTS[at], F.pmod("__spread", own)).withColumn("__copies", every_salt(other))
+            salted = marked.withColumn(_SALTS[at], F.pmod("__spread", salts[at]).cast("int"))
+            salted = salted.withColumn("__copies", every_salt(salts[1 - at]))
             sides.append(salted.withColumn(_SALTS[1 - at], F.explode("__copies")))
         single, copied = sides
         equi += _SALTS
     left, right = (copied, single) if copy_starts else (single, copied)
-    in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), shift(F.col(f"l.{start}"), within))
-    joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range)
-    kept_right = [F.col(f"r.{c}") for c in points.columns if c not in keys]
-    return joined.select(*[F.col(f"l.{c}") for c in starts.columns], *kept_right)
+    if tasks > 1:
+        # By number, as adaptive execution would merge tasks by the little they read.
+        tasks = max(tasks, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        left, right = (side.repartition(tasks, *equi) for side in (left, right))
+    in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), F.col(f"l.{_BOUND}"))
+    return left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range).select(*kept)
 
 
 def _bounds(points: DataFrame, heavy: DataFrame, point: str, keys: Sequence[str]) -> DataFrame:
@@ -119,6 +129,7 @@ def lookback_join(
     lonely = anchors.where(apart).select(*anchors.columns, *empty)
 
     left = anchors.where(~apart).withColumn(_BIN, bucket_start(anchor, lookback))
+    left = left.withColumn(_BOUND, shift(F.col(anchor), lookback, -1))
     right = points.dropna(subset=[*keys, point]).withColumn(_BIN, bucket_start(point, lookback))
     copies = F.array(*[F.struct(b.alias(_BIN), F.lit(own).alias("__own")) for b, own in
                        ((F.col(_BIN), True), (shift(F.col(_BIN), lookback), False))])
@@ -130,7 +141,7 @@ def lookback_join(
         right = right.drop("__own")
     else:
         settled = F.coalesce(F.col("__lo") <= F.col(anchor), F.lit(False)) | F.coalesce(
-            F.col("__hi") >= shift(F.col(anchor), lookback, -1), F.lit(False)
+            F.col("__hi") >= F.col(_BOUND), F.lit(False)
         )
         anchor_salts, point_salts = (salts_of(F.col(rows_of(n)), floor) for n in (0, 1))
         marked = mark_heavy(left.withColumn("__spread", row_spread(left)), _bounds(right, heavy, point, keys), cell)
@@ -144,7 +155,7 @@ def lookback_join(
         )
         equi += _SALTS
         outer = ~F.col("l.__matched") | F.col(f"r.{point}").isNotNull()
-    in_range = F.col(f"r.{point}").between(shift(F.col(f"l.{anchor}"), lookback, -1), F.col(f"l.{anchor}"))
+    in_range = F.col(f"r.{point}").between(F.col(f"l.{_BOUND}"), F.col(f"l.{anchor}"))
     joined = left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range, "left").where(outer)
     kept = [F.col(f"l.{c}") for c in anchors.columns] + [F.col(f"r.{c}") for c in point_columns]
     return joined.select(*kept).unionByName(lonely)

@@ -8,7 +8,7 @@ from sieveline.operators.baseline import group_zscore
 from sieveline.operators.confusion import evaluate
 from sieveline.operators.firsts import distinct_entities, first_seen
 from sieveline.operators import intervals
-from sieveline.operators.heavy import heavy_cells, mark_heavy, salts_of
+from sieveline.operators.heavy import heavy_cells, join_salts, joined_cells, mark_heavy, salts_of
 from sieveline.operators.intervals import first_match_after, first_match_among, interval_join, lookback_join
 from sieveline.operators.lookup import attach_by_frequency, frequency
 from sieveline.operators.neighbours import previous_value
@@ -103,6 +103,46 @@ def test_interval_join_on_time_alone(spark, replicate):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("replicate", ["starts", "points"])
+def test_a_crowded_join_is_dealt_over_tasks_by_its_pairs(spark, replicate):
+    # Few rows, which adaptive execution merges into one task; three quarters of the starts lie within one second.
+    starts = spark.range(400).selectExpr("timestamp_millis(CASE WHEN id % 4 = 0 THEN id * 60000 ELSE id END) AS s", "id AS i")
+    points = spark.range(400).selectExpr("timestamp_millis(CASE WHEN id % 2 = 0 THEN id * 60000 ELSE 900 + id % 7 END) AS p", "id AS j")
+    moment = lambda n, k, near: n * 60000 if n % k == 0 else near
+    want = sorted(
+        (i, j) for i in range(400) for j in range(400) if 0 <= (moment(j, 2, 900 + j % 7) - (i * 60000 if i % 4 == 0 else i)) <= 1800000
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = interval_join(starts, points, "s", "p", "30 minutes", split=True, replicate=replicate, pairs=2000)
+        assert sorted((r.i, r.j) for r in got.collect()) == want
+        tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) >= 8 and max(tasks) < 0.3 * len(want)
+        # The end of an interval is told once a start, not once a pair.
+        (join,) = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+        assert "INTERVAL" not in join and "__bound" in join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_joined_cells_count_pairs_of_ordinary_cells_too(spark):
+    left = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] * 20 + [(None,)] * 9, "k string")
+    right = spark.createDataFrame([("a",)] * 7 + [("b",)] * 2 + [(None,)] * 9, "k string")
+    cells, tasks = joined_cells([left, right], ["k"], floor=10, pairs=16)
+    assert rows(cells, "k", "__rows0", "__rows1") == [("a", 6, 7), ("c", 20, 0)] and tasks == 3  # 42 and 6 pairs
+    salted = cells.select("k", *[s.alias(f"s{n}") for n, s in enumerate(join_salts(10, 16))])
+    assert rows(salted, "k", "s0", "s1") == [("a", 2, 2), ("c", 2, 1)]
+    assert joined_cells([left, right], ["k"], floor=20, pairs=42) == (None, 2)
+    assert joined_cells([left.where("false"), right.where("false")], ["k"]) == (None, 0)
+
+
+def test_joined_cells_keep_times_whole(spark):
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.sql(f"SELECT CAST('2024-03-31 02:30:00.000001' AS {kind}) AS t FROM range(3)")
+        cells, _ = joined_cells([df, df], ["t"], floor=1)
+        assert cells.schema["t"].dataType == df.schema["t"].dataType and mark_heavy(df, cells, ["t"]).where("__rows1 = 3").count() == 3
+
+
 def test_interval_edges_are_inclusive(spark):
     starts = spark.createDataFrame([("k", T0)], "k string, s timestamp_ntz")
     hour = timedelta(hours=1)
