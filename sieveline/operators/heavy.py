@@ -73,14 +73,15 @@ def heavy_cells(
     return cells.sparkSession.createDataFrame(found, cells.schema) if found.num_rows else None
 
 
-def joined_cells(
+def counted_join(
     sides: Sequence[DataFrame],
     cell: Sequence[str],
     floor: int = FLOOR_ROWS,
     pairs: int = TASK_PAIRS,
     most: int = MOST_CELLS,
-) -> tuple[DataFrame | None, int]:
-    """:func:`heavy_cells` of the two sides of a join, and how many tasks of ``pairs`` pairs each the join has work for.
+) -> tuple[DataFrame | None, int, float]:
+    """:func:`heavy_cells` of the two sides of a join, how many tasks of ``pairs`` pairs each the join has work for, and
+    the pairs that a row takes part in, on average.
 
     A cell is heavy as well whose sides make more than ``pairs`` pairs, however few their rows.  All of it comes from
     the same one job: the cells that are not heavy come to the driver as one row.
@@ -97,14 +98,25 @@ def joined_cells(
         .select("__cell.*", *counts, "__met")
     )
     table = found.toArrow()
-    tasks = min(ceil((pc.sum(table["__met"]).as_py() or 0) / pairs), MOST_TASKS)
+    total, rows = (sum(pc.sum(table[c]).as_py() or 0 for c in names) for names in (["__met"], counts))
     kept = table.filter(pc.is_valid(table[cell[-1]])).drop_columns(["__met"])
     cells = counted.sparkSession.createDataFrame(kept, found.drop("__met").schema) if kept.num_rows else None
-    return cells, tasks
+    return cells, min(ceil(total / pairs), MOST_TASKS), total / max(rows, 1)
+
+
+def joined_cells(
+    sides: Sequence[DataFrame],
+    cell: Sequence[str],
+    floor: int = FLOOR_ROWS,
+    pairs: int = TASK_PAIRS,
+    most: int = MOST_CELLS,
+) -> tuple[DataFrame | None, int]:
+    """The heavy cells and the tasks that :func:`counted_join` tells."""
+    return counted_join(sides, cell, floor, pairs, most)[:2]
 
 
 def join_salts(floor: int = FLOOR_ROWS, pairs: int = TASK_PAIRS) -> list[Column]:
-    """Each side's salts in a join whose cells are marked by :func:`joined_cells`: ``floor`` rows to a salt, or as many
+    """Each side's salts in a join whose cells are marked by :func:`counted_join`: ``floor`` rows to a salt, or as many
     as meet as many of the other side in ``pairs`` pairs."""
     counts = [F.col(rows_of(at)) for at in range(2)]
     crowded = counts[0].cast("double") * counts[1] > pairs

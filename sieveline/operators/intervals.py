@@ -6,11 +6,16 @@ along time, and salts split what is left inside one bin.  Salts are planned from
 count of both sides, and tasks from the pairs that it foretells: what a join gives may be
 far larger than what it reads.  Only candidates of two neighbouring bins ever meet; the
 exact range test stays on the join condition, with bounds that are told once a row.
+
+A join of many pairs a row meets tiles, short runs of a bin's rows in order of time, instead of rows.
+Tiles apart in time are never opened, and the pairs of two tiles come out in loops whose values
+repeat in runs and at equal distance, so columnar files of a large result stay small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,10 +24,10 @@ from sieveline.functions.clock import bucket_start, shift
 from sieveline.operators.heavy import (
     FLOOR_ROWS,
     TASK_PAIRS,
+    counted_join,
     every_salt,
     heavy_cells,
     join_salts,
-    joined_cells,
     mark_heavy,
     row_spread,
     rows_of,
@@ -33,6 +38,8 @@ from sieveline.operators.slices import SLICE, range_slices
 from sieveline.sources.artifacts import staged
 
 _BIN, _BOUND, _SALTS = "__bin", "__bound", ("__salt0", "__salt1")
+# Rows of a tile: a multiple of eight, as columnar files pack values by eights.
+TILE_ROWS = 64
 
 
 def interval_join(
@@ -55,25 +62,35 @@ def interval_join(
     both sides are counted once, in a job of its own, and each (keys, bin) that is heavy on a
     side, or has many pairs, is cut into as many salts as its rows there ask for, to all of which its
     partners on the other side are copied; where none is heavy the join carries no salts.  A join of
-    more pairs than one task should meet (``pairs``) is dealt over tasks in proportion to its pairs.
+    more pairs than one task should meet (``pairs``) is dealt over tasks in proportion to its pairs; if a
+    row takes part in many, tiles of rows are joined instead of rows.
     """
     if replicate not in ("starts", "points"):
         raise ValueError("replicate is 'starts' or 'points'")
     copy_starts = replicate == "starts"
-    kept = [F.col(f"l.{c}") for c in starts.columns] + [F.col(f"r.{c}") for c in points.columns if c not in keys]
-    starts = starts.withColumn(_BOUND, shift(F.col(start), within))
-    copied, copied_ts, step = (starts, start, 1) if copy_starts else (points, point, -1)
-    single, single_ts = (points, point) if copy_starts else (starts, start)
-
-    first = copied.withColumn(_BIN, bucket_start(copied_ts, within))
-    copied = first.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
-    single = single.withColumn(_BIN, bucket_start(single_ts, within))
+    names = [*starts.columns, *[c for c in points.columns if c not in keys]]
     equi = [*keys, _BIN]
-    heavy, tasks = joined_cells([single, copied], equi, floor, pairs) if split else (None, 0)
+    starts = starts.withColumn(_BOUND, shift(F.col(start), within)).withColumn(_BIN, bucket_start(start, within))
+    points = points.withColumn(_BIN, bucket_start(point, within))
+
+    def placed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The side that goes to one bin, then the one that goes to two."""
+        single, copied, step = (right, left, 1) if copy_starts else (left, right, -1)
+        return single, copied.withColumn(_BIN, F.explode(F.array(F.col(_BIN), shift(F.col(_BIN), within, step))))
+
+    single, copied = placed(starts, points)
+    heavy, tasks, per_row = counted_join([single, copied], equi, floor, pairs) if split else (None, 0, 0.0)
+    size, at = max(min(TILE_ROWS, isqrt(pairs) // 8), 1), int(copy_starts)
+    tiled = tasks > 1 and per_row >= 2 * size
+    if tiled:
+        left = _tiles(starts, equi, start, _BOUND, [c for c in starts.columns if c != _BIN], heavy, at, floor, size)
+        right = _tiles(points, equi, point, point, [c for c in points.columns if c not in equi], heavy, 1 - at, floor, size)
+        single, copied = placed(left, right)
     if heavy is not None:
         salts, sides = join_salts(floor, pairs), []
         for at, side in enumerate((single, copied)):
-            marked = mark_heavy(side.withColumn("__spread", row_spread(side)), heavy, equi)
+            spread = F.col("__tile") if tiled else row_spread(side)
+            marked = mark_heavy(side.withColumn("__spread", spread), heavy, equi)
             salted = marked.withColumn(_SALTS[at], F.pmod("__spread", salts[at]).cast("int"))
             salted = salted.withColumn("__copies", every_salt(salts[1 - at]))
             sides.append(salted.withColumn(_SALTS[1 - at], F.explode("__copies")))
@@ -84,8 +101,60 @@ def interval_join(
         # By number, as adaptive execution would merge tasks by the little they read.
         tasks = max(tasks, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         left, right = (side.repartition(tasks, *equi) for side in (left, right))
-    in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), F.col(f"l.{_BOUND}"))
-    return left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range).select(*kept)
+    if not tiled:
+        in_range = F.col(f"r.{point}").between(F.col(f"l.{start}"), F.col(f"l.{_BOUND}"))
+        kept = [F.col(f"{'l' if c in starts.columns else 'r'}.{c}") for c in names]
+        return left.alias("l").join(right.alias("r"), same_keys("l", "r", equi) & in_range).select(*kept)
+    return _opened(left, right, equi, tasks).where(F.col(point).between(F.col(start), F.col(_BOUND))).select(*names)
+
+
+def _tiles(
+    rows: DataFrame,
+    equi: Sequence[str],
+    first: str,
+    last: str,
+    packed: Sequence[str],
+    heavy: DataFrame | None,
+    side: int,
+    floor: int,
+    size: int,
+) -> DataFrame:
+    """Rows as tiles: up to ``size`` rows of a (keys, bin) that follow each other in time, their ``packed`` columns as a list.
+
+    A tile knows its earliest ``first`` and its latest ``last``.  The rows of a heavy cell are put in order in parts of
+    about ``floor`` rows.
+    """
+    for name in (*equi, first):
+        rows = rows.where(F.col(name).isNotNull())
+    rows = rows.withColumn("__part", F.lit(0)).withColumn("__spread", row_spread(rows))
+    if heavy is not None:
+        parts = F.pmod("__spread", salts_of(F.col(rows_of(side)), floor))
+        rows = mark_heavy(rows, heavy, equi).withColumn("__part", parts.cast("int"))
+    in_time = Window.partitionBy(*equi, "__part").orderBy(first, "__spread")
+    numbered = rows.withColumn("__tile", ((F.row_number().over(in_time) - 1) / size).cast("int"))
+    tiles = numbered.groupBy(*equi, "__part", "__tile").agg(
+        F.collect_list(F.struct(*packed)).alias("__listed"), F.min(first).alias("__first"), F.max(last).alias(_BOUND)
+    )
+    return tiles.withColumn("__tile", F.col("__tile") + F.col("__part")).drop("__part")
+
+
+def _opened(starts: DataFrame, points: DataFrame, equi: Sequence[str], tasks: int) -> DataFrame:
+    """Every pair of rows of two tiles that are near enough in time to hold a pair of the join.
+
+    The side of fewer columns is the inner loop, of tiles and of their rows: the columns of the other stay the same longest.
+    """
+    columns = [side.schema["__listed"].dataType.elementType.names for side in (starts, points)]
+    near = (F.col(f"{_BOUND}0") >= F.col("__first1")) & (F.col("__first0") <= F.col(f"{_BOUND}1"))
+    outer, inner = sorted((0, 1), key=lambda side: -len({*columns[side]} - {_BOUND}))
+    sides = [
+        side.withColumnsRenamed({c: f"{c}{at}" for c in ("__listed", "__first", _BOUND)})
+        for at, side in enumerate((starts, points))
+    ]
+    met = sides[outer].alias("l").join(sides[inner].alias("r"), same_keys("l", "r", equi) & near)
+    # An operator that keeps the join's loop apart from those below, so that rows wait for the sink tile by tile.
+    met = met.select(f"__listed{outer}", f"__listed{inner}").coalesce(tasks)
+    rows = met.select(f"__listed{inner}", F.inline(f"__listed{outer}"))
+    return rows.select(*columns[outer], F.inline(f"__listed{inner}"))
 
 
 def _bounds(points: DataFrame, heavy: DataFrame, point: str, keys: Sequence[str]) -> DataFrame:

@@ -125,6 +125,43 @@ def test_a_crowded_join_is_dealt_over_tasks_by_its_pairs(spark, replicate):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("replicate", ["starts", "points"])
+@pytest.mark.parametrize("floor, pairs", [(10**6, 400), (10, 400), (10**6, 6400)])
+def test_tiles_give_the_rows_of_the_plain_join(spark, replicate, floor, pairs):
+    # Times, keys and whole rows that repeat, are NULL or NaN; keys that are equal but differ in sign keep it.
+    key = "CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') WHEN 2 THEN -0.0D WHEN 3 THEN 0.0D ELSE 1.0D END AS k"
+    time = "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN timestamp_millis(id % 50) ELSE timestamp_seconds(id * 4) END AS"
+    starts = spark.range(300).selectExpr(key, f"{time} s", "id % 90 AS i")
+    points = spark.range(400).selectExpr(key, f"{time} p", "nullif(id % 110, 7) AS j", "id % 5 AS v").repartition(3)
+    joined = lambda **kw: interval_join(starts, points, "s", "p", "20 minutes", ["k"], replicate=replicate, **kw)
+    tiled = joined(split=True, floor=floor, pairs=pairs)
+    assert "collect_list" in tiled._jdf.queryExecution().optimizedPlan().toString()
+    assert tiled.schema["k"].dataType == starts.schema["k"].dataType and tiled.columns == ["k", "s", "i", "p", "j", "v"]
+    assert [*map(repr, rows(tiled, *tiled.columns))] == [*map(repr, rows(joined(), *tiled.columns))]
+
+
+@pytest.mark.parametrize("replicate", ["starts", "points"])
+def test_a_crowded_join_is_small_as_a_file(spark, replicate, tmp_path):
+    # Without tiles a pair took 1.6 bytes here; as many times and ids as rows, so no repeats help.
+    starts = spark.range(2000).selectExpr("timestamp_millis(id * 7919 % 3600000) AS s", "id AS i", "concat('user', id) AS u")
+    points = spark.range(2000).selectExpr("timestamp_millis(id * 6007 % 3600000) AS p", "id AS j", "id * 3 AS v", "concat('name', id) AS w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        interval_join(starts, points, "s", "p", "30 minutes", split=True, replicate=replicate, pairs=2**18).write.parquet(f"{tmp_path}/pairs")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < spark.read.parquet(f"{tmp_path}/pairs").count()
+
+
+def test_few_pairs_a_row_are_joined_as_rows(spark):
+    starts = spark.range(900).selectExpr("timestamp_seconds(id * 600) AS s", "id AS i")
+    points = spark.range(900).selectExpr("timestamp_seconds(id * 600) AS p", "id AS j")
+    dealt = interval_join(starts, points, "s", "p", "30 minutes", split=True, pairs=400)
+    assert "collect_list" not in dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.count() == 4 * 900 - 6
+
+
 def test_joined_cells_count_pairs_of_ordinary_cells_too(spark):
     left = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] * 20 + [(None,)] * 9, "k string")
     right = spark.createDataFrame([("a",)] * 7 + [("b",)] * 2 + [(None,)] * 9, "k string")
